@@ -113,14 +113,8 @@ def _left_first(s: _Sides) -> Column:
     return arrival_before(_pos(LEFT), _pos(RIGHT))
 
 
-def _matched(s: _Sides, ts: str, id: str) -> DataFrame:
-    r3 = _exploded(s.right, RIGHT)
-    cond = (
-        (F.col("key") == F.col("r__key"))
-        & (F.col("l__b") == F.col("r__bt"))
-        & _in_window(F.col("l__t"), F.col("r__t"), s.w)
-    )
-    m = s.left.join(r3, cond, "inner")
+def _pair_exprs(s: _Sides, ts: str, id: str) -> dict[str, Column]:
+    """Output columns of a matched pair: the later-arrived row emits it."""
     lf = _left_first(s)
 
     def later(lc: str, rc: str) -> Column:
@@ -129,20 +123,50 @@ def _matched(s: _Sides, ts: str, id: str) -> DataFrame:
     def earlier(lc: str, rc: str) -> Column:
         return F.when(lf, F.col(lc)).otherwise(F.col(rc))
 
-    return m.select(
-        "key",
-        F.greatest(F.col("l_" + ts), F.col("r_" + ts)).alias("ts"),
-        *s.left_cols,
-        *s.right_cols,
-        later("l__o1", "r__o1").alias("emit_o1"),
-        F.when(lf, F.lit(RIGHT)).otherwise(F.lit(LEFT)).alias("emit_side"),
-        later("l_" + id, "r_" + id).alias("emit_id"),
-        earlier("l__t", "r__t").alias("peer_t"),
-        earlier("l__o1", "r__o1").alias("peer_o1"),
-        earlier("l_" + id, "r_" + id).alias("peer_id"),
+    return {
+        "ts": F.greatest(F.col("l_" + ts), F.col("r_" + ts)),
+        "emit_o1": later("l__o1", "r__o1"),
+        "emit_side": F.when(lf, F.lit(RIGHT)).otherwise(F.lit(LEFT)),
+        "emit_id": later("l_" + id, "r_" + id),
+        "peer_t": earlier("l__t", "r__t"),
+        "peer_o1": earlier("l__o1", "r__o1"),
+        "peer_id": earlier("l_" + id, "r_" + id),
+    }
+
+
+def _solo_exprs(side: int, ts: str, id: str) -> dict[str, Column]:
+    """Output columns of a row emitted with the other side absent."""
+    p = PREFIX[side]
+    null = F.lit(None).cast("long")
+    return {
+        "ts": F.col(p + ts),
+        "emit_o1": F.col(p + "_o1"),
+        "emit_side": F.lit(side),
+        "emit_id": F.col(p + id),
+        "peer_t": null,
+        "peer_o1": null,
+        "peer_id": null,
+    }
+
+
+_EXPR_COLUMNS = ["ts", *ORDER_COLUMNS]
+
+
+def _pair_condition(s: _Sides) -> Column:
+    return (
+        (F.col("key") == F.col("r__key"))
+        & (F.col("l__b") == F.col("r__bt"))
+        & _in_window(F.col("l__t"), F.col("r__t"), s.w)
     )
 
 
+def _matched(s: _Sides, ts: str, id: str) -> DataFrame:
+    m = s.left.join(_exploded(s.right, RIGHT), _pair_condition(s), "inner")
+    e = _pair_exprs(s, ts, id)
+    return m.select("key", *s.left_cols, *s.right_cols,
+                    *[e[c].alias(c) for c in _EXPR_COLUMNS])
+
+
 def _summary(other: DataFrame, side: int) -> DataFrame:
     """Per (key, target bucket): last time in the previous bucket, first time in the
     own bucket and first time in the next bucket of the ``other`` side."""
@@ -168,53 +192,85 @@ def _summary(other: DataFrame, side: int) -> DataFrame:
     )
 
 
-def _unmatched(s: _Sides, side: int, emit: str, ts: str, id: str) -> DataFrame:
+def _flagged(s: _Sides, side: int, emit: str) -> DataFrame:
+    """The ``side`` rows with ``_un``: true when the join emits the row unmatched.
+
+    Decided from the other side's bucket summary (event-time order, or settled).
+    """
     p = PREFIX[side]
     probe, other_side = (s.left, RIGHT) if side == LEFT else (s.right, LEFT)
     other = s.right if side == LEFT else s.left
     key = "key" if side == LEFT else "r__key"
     t, w = F.col(p + "_t"), F.lit(s.w)
+    summ = _summary(other, other_side)
+    joined = probe.join(
+        summ, (F.col(key) == F.col("s_key")) & (F.col(p + "_b") == F.col("s_b")), "left"
+    )
+    near_prev = F.col("s_prev_max") >= t - w
+    if emit == "settled":
+        found = near_prev | F.col("s_own_min").isNotNull() | (F.col("s_next_min") <= t + w)
+    elif side == LEFT:
+        # right rows at the same instant arrive after the left row
+        found = near_prev | (F.col("s_own_min") < t)
+    else:
+        found = near_prev | (F.col("s_own_min") <= t)
+    return joined.select(*probe.columns, (~F.coalesce(found, F.lit(False))).alias("_un"))
+
+
+def _anti_unmatched(s: _Sides, side: int) -> DataFrame:
+    """Eager unmatched rows under an explicit arrival sequence: exact anti-join."""
+    p = PREFIX[side]
+    probe, other_side = (s.left, RIGHT) if side == LEFT else (s.right, LEFT)
+    other = s.right if side == LEFT else s.left
+    o = PREFIX[other_side]
+    key, okey = ("key", "r__key") if side == LEFT else ("r__key", "key")
+    cond = (
+        (F.col(key) == F.col(okey))
+        & (F.col(p + "_b") == F.col(o + "_bt"))
+        & _in_window(F.col(p + "_t"), F.col(o + "_t"), s.w)
+        & arrival_before(_pos(other_side), _pos(side))
+    )
+    return probe.join(_exploded(other, other_side), cond, "left_anti")
 
+
+def _unmatched(s: _Sides, side: int, emit: str, ts: str, id: str) -> DataFrame:
     if emit == "eager" and s.arrival:
-        o = PREFIX[other_side]
-        other3 = _exploded(other, other_side)
-        okey = "r__key" if side == LEFT else "key"
-        cond = (
-            (F.col(key) == F.col(okey))
-            & (F.col(p + "_b") == F.col(o + "_bt"))
-            & _in_window(t, F.col(o + "_t"), s.w)
-            & arrival_before(_pos(other_side), _pos(side))
-        )
-        rows = probe.join(other3, cond, "left_anti")
+        rows = _anti_unmatched(s, side)
     else:
-        summ = _summary(other, other_side)
-        joined = probe.join(
-            summ, (F.col(key) == F.col("s_key")) & (F.col(p + "_b") == F.col("s_b")), "left"
-        )
-        near_prev = F.col("s_prev_max") >= t - w
-        if emit == "settled":
-            found = near_prev | F.col("s_own_min").isNotNull() | (F.col("s_next_min") <= t + w)
-        elif side == LEFT:
-            # right rows at the same instant arrive after the left row
-            found = near_prev | (F.col("s_own_min") < t)
-        else:
-            found = near_prev | (F.col("s_own_min") <= t)
-        rows = joined.where(~F.coalesce(found, F.lit(False)))
-
+        rows = _flagged(s, side, emit).where(F.col("_un"))
+    key = "key" if side == LEFT else "r__key"
+    other = s.right if side == LEFT else s.left
     null = F.lit(None)
     absent = [null.cast(other.schema[c].dataType).alias(c)
               for c in (s.right_cols if side == LEFT else s.left_cols)]
     present = [F.col(c) for c in (s.left_cols if side == LEFT else s.right_cols)]
+    e = _solo_exprs(side, ts, id)
     return rows.select(
         F.col(key).alias("key"),
-        F.col(p + ts).alias("ts"),
         *(present + absent if side == LEFT else absent + present),
-        F.col(p + "_o1").alias("emit_o1"),
-        F.lit(side).alias("emit_side"),
-        F.col(p + id).alias("emit_id"),
-        null.cast("long").alias("peer_t"),
-        null.cast("long").alias("peer_o1"),
-        null.cast("long").alias("peer_id"),
+        *[e[c].alias(c) for c in _EXPR_COLUMNS],
+    )
+
+
+def _left_and_matched(s: _Sides, emit: str, ts: str, id: str) -> DataFrame:
+    """Matched pairs and left-unmatched rows from one pass over the left side.
+
+    Left rows flagged unmatched get a second copy that is barred from matching;
+    one left outer join on (key, bucket) then yields the pairs (first copies
+    with a partner) and the unmatched rows (second copies). The left side is
+    scanned and shuffled once, and both joins run on the same partitioning.
+    """
+    x = _flagged(s, LEFT, emit)
+    copies = F.when(F.col("_un"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    x = x.withColumn("_copy", F.explode(copies))
+    cond = _pair_condition(s) & (F.col("_copy") == 0)
+    y = x.join(_exploded(s.right, RIGHT), cond, "left")
+    solo = F.col("_copy") == 1
+    y = y.where(solo | F.col("r__key").isNotNull())
+    pe, se = _pair_exprs(s, ts, id), _solo_exprs(LEFT, ts, id)
+    return y.select(
+        "key", *s.left_cols, *s.right_cols,
+        *[F.when(solo, se[c]).otherwise(pe[c]).alias(c) for c in _EXPR_COLUMNS],
     )
 
 
@@ -262,6 +318,8 @@ def interval_outer_join(left: DataFrame, right: DataFrame, *, key: str = "key",
     """
     _check_emit(emit)
     s = _sides(left, right, key, ts, id, window_ms, arrival)
-    parts = [_matched(s, ts, id), _unmatched(s, LEFT, emit, ts, id),
-             _unmatched(s, RIGHT, emit, ts, id)]
-    return _output(parts, s)
+    if emit == "eager" and s.arrival:
+        left = [_matched(s, ts, id), _unmatched(s, LEFT, emit, ts, id)]
+    else:
+        left = [_left_and_matched(s, emit, ts, id)]
+    return _output([*left, _unmatched(s, RIGHT, emit, ts, id)], s)
