@@ -4,7 +4,8 @@ Input rows carry the envelope (``key``, ``ts``, ``id``) and the decoded record a
 a struct column ``value``. A null ``value`` is a tombstone: it is dropped, as a
 keyed join drops it. Rows whose value has a null in a field the schema declares
 non-nullable are rejected (the record builder would refuse them); the rest are
-cast to the schema types and flattened.
+cast to the schema types and flattened. Other envelope columns (a replay
+sequence, Kafka partition) pass through unchanged.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ class Conformed(NamedTuple):
 
 def _flat(df: DataFrame, kind: str, value: str) -> DataFrame:
     fields = FIELDS[kind]
+    extra = [c for c in df.columns if c not in ("key", "ts", "id", value)]
     return df.where(F.col(value).isNotNull()).select(
         F.col("key").cast("string").alias("key"),
         "ts",
         F.col("id").cast("long").alias("id"),
+        *extra,
         *[F.col(f"{value}.{n}").cast(t).alias(n) for n, t, _ in fields],
     )
 
