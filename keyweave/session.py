@@ -14,6 +14,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # keyed state of the streaming join and table lives in RocksDB, off-heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -22,7 +23,14 @@ DEFAULTS = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """A local session for tests and the bench. Clusters bring their own session."""
+    """A local session for tests and the bench. Clusters bring their own session
+    (and ship this package to the Python workers with ``--py-files``)."""
+    # Python workers (stateful processors) import this package: put its root on
+    # their path before the JVM starts, since they inherit its environment.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *[p for p in paths if p]])
     b = SparkSession.builder.master(f"local[{cores}]").appName("keyweave")
     conf = dict(DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

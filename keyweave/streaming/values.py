@@ -1,0 +1,37 @@
+"""Plain Python values for keyed state (pandas NA → None, numpy → builtin).
+
+Arrow hands nullable integer columns to pandas as float64 (NaN for null), and a
+float stored into an integer state field does not round-trip, so integer fields
+are converted back to ``int`` by the schema.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import types as T
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def py(v):
+    if v is None or (not isinstance(v, str) and pd.isna(v)):
+        return None
+    if isinstance(v, pd.Timestamp):
+        return v.to_pydatetime()
+    return v.item() if hasattr(v, "item") else v
+
+
+def records(pdf: pd.DataFrame, schema: T.StructType | None = None) -> list[dict]:
+    ints = set()
+    if schema is not None:
+        ints = {f.name for f in schema.fields if isinstance(f.dataType, _INTEGRAL)}
+    out = []
+    for r in pdf.to_dict("records"):
+        d = {}
+        for k, v in r.items():
+            v = py(v)
+            if v is not None and k in ints:
+                v = int(v)
+            d[k] = v
+        out.append(d)
+    return out
