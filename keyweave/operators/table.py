@@ -41,15 +41,20 @@ def changelog(joined_flat: DataFrame, by: str = "empId") -> DataFrame:
 
 def last_write_wins(updates: DataFrame, *, key: str = "key",
                     order: Iterable[str] = tuple(ORDER_COLUMNS),
-                    values: Iterable[str] | None = None) -> DataFrame:
+                    values: Iterable[str] | None = None, keep_order: bool = False) -> DataFrame:
     """Latest value per ``key`` by the tuple ``order``.
 
+    ``keep_order`` also returns the order columns of the winning row (for a
+    second fold over several partial tables).
+
     ``max_by`` is an ordinary aggregate, so Spark combines map-side before the
     shuffle: a key that holds a third of all updates leaves every map task as
     one row.
     """
     order = list(order)
     values = [c for c in (values or updates.columns) if c != key and c not in order]
+    if keep_order:
+        values += order
     latest = F.max_by(F.struct(*values), F.struct(*order)).alias("_v")
     return (
         updates.where(F.col(key).isNotNull())

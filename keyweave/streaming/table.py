@@ -69,9 +69,8 @@ class TableSink:
         self.order = list(order)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        latest = last_write_wins(batch, key=self.key, order=self.order,
-                                 values=[c for c in batch.columns])
         # keep the order columns for the fold across batches
+        latest = last_write_wins(batch, key=self.key, order=self.order, keep_order=True)
         (latest.write.mode("overwrite")
          .parquet(f"{self.path}/updates/batch={int(batch_id)}"))
 
