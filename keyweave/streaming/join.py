@@ -11,15 +11,16 @@ and table operators apply unchanged.
   micro-batch) joins the buffered rows of the other side in its window, or is
   emitted alone at once. Buffers are cut by event-time timers once the watermark
   (max event time minus the grace period) has passed ``ts + window``; rows older
-  than the watermark are late and dropped.
+  than the watermark are late and dropped. Keyed state is touched once per key and
+  micro-batch (one list read, one write, a timer only when the key's latest time
+  grows), since every state call is a round trip to the executor's state store.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import (
@@ -31,7 +32,6 @@ from pyspark.sql.streaming.stateful_processor import (
 
 from keyweave.functions.timecols import epoch_micros, window_micros
 from keyweave.operators.interval_join import LEFT, ORDER_COLUMNS, PREFIX, RIGHT
-from keyweave.streaming.values import records
 
 DEFAULT_GRACE = "24 hours"
 _ORDER_TYPES = {"emit_o1": T.LongType(), "emit_side": T.IntegerType(), "emit_id": T.LongType(),
@@ -54,11 +54,26 @@ def join_output_schema(left: DataFrame, right: DataFrame, key: str = "key",
     )
 
 
+def _as_micros(fields: list[T.StructField]) -> list[T.StructField]:
+    """``timestamp`` fields travel through Python as epoch microseconds (exact, and
+    free of the time-zone handling of Python datetimes)."""
+    return [T.StructField(f.name, T.LongType(), True) if isinstance(f.dataType, T.TimestampType)
+            else f for f in fields]
+
+
 def tagged_union(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str = "ts",
                  id: str = "id", arrival: str | None = None) -> DataFrame:
-    """One stream of both sides: ``key, side, t, o1, aid`` (arrival position) and
-    both sides' prefixed columns."""
-    lf, rf = _side_columns(left, LEFT, key), _side_columns(right, RIGHT, key)
+    """One stream of both sides: ``key, side, t, o1, aid`` (arrival position), the
+    event time ``ts`` (for the watermark) and both sides' prefixed columns, with
+    ``timestamp`` value columns as epoch microseconds."""
+    lf = _as_micros(_side_columns(left, LEFT, key))
+    rf = _as_micros(_side_columns(right, RIGHT, key))
+
+    def value(df: DataFrame, f: T.StructField):
+        c = f.name[2:]
+        if isinstance(df.schema[c].dataType, T.TimestampType):
+            return F.unix_micros(F.col(c)).alias(f.name)
+        return F.col(c).alias(f.name)
 
     def tag(df: DataFrame, side: int) -> DataFrame:
         own = lf if side == LEFT else rf
@@ -71,7 +86,7 @@ def tagged_union(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str
             (F.col(arrival).cast("long") if arrival else t).alias("o1"),
             F.col(id).cast("long").alias("aid"),
             F.col(ts).alias("ts"),
-            *[F.col(f.name[2:]).alias(f.name) for f in own],
+            *[value(df, f) for f in own],
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in other],
         )
 
@@ -84,33 +99,49 @@ class EagerJoinProcessor(StatefulProcessor):
 
     def __init__(self, window_ms: int, input_schema: T.StructType, output_schema: T.StructType):
         self.w = window_micros(window_ms)
-        self.input_schema = input_schema
-        self.cols = [f.name for f in input_schema.fields]
+        # buffered rows keep every input column but the watermark column
+        self.input_schema = T.StructType([f for f in input_schema.fields if f.name != "ts"])
+        self.cols = [f.name for f in self.input_schema.fields]
         self.left_cols = [c for c in self.cols if c.startswith("l_")]
         self.right_cols = [c for c in self.cols if c.startswith("r_")]
         self.out_cols = [f.name for f in output_schema.fields]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = {LEFT: handle.getListState("left", self.input_schema),
-                    RIGHT: handle.getListState("right", self.input_schema)}
+        # both sides in one list (rows carry ``side``): one read and one write
+        # per key and micro-batch
+        self.buf = handle.getListState("buffer", self.input_schema)
 
     # -- state helpers --------------------------------------------------------
-    def _load(self, side: int) -> list[dict]:
-        return [dict(zip(self.cols, tup)) for tup in self.buf[side].get()]
-
-    def _store(self, side: int, rows: list[dict]) -> None:
+    def _load(self) -> dict[int, list[dict]]:
+        bufs: dict[int, list[dict]] = {LEFT: [], RIGHT: []}
+        for tup in self.buf.get():
+            r = dict(zip(self.cols, tup))
+            bufs[r["side"]].append(r)
+        return bufs
+
+    def _store(self, bufs: dict[int, list[dict]]) -> None:
+        rows = bufs[LEFT] + bufs[RIGHT]
         if rows:
-            self.buf[side].put([tuple(r[c] for c in self.cols) for r in rows])
+            self.buf.put([tuple(r[c] for c in self.cols) for r in rows])
         else:
-            self.buf[side].clear()
+            self.buf.clear()
 
-    def _reset_timer(self, bufs: dict[int, list[dict]]) -> None:
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
+    @staticmethod
+    def _max_t(bufs: dict[int, list[dict]]) -> int | None:
         ts = [r["t"] for rows in bufs.values() for r in rows]
-        if ts:
-            self.handle.registerTimer((max(ts) + self.w) // 1000 + 1)
+        return max(ts) if ts else None
+
+    def _cover(self, before: int | None, bufs: dict[int, list[dict]]) -> None:
+        """Keep a clean-up timer at or after ``t + window`` of every buffered row.
+
+        Invariant: the buffer's latest row has a timer at its expiry. A new timer is
+        needed only when the latest time grows; older timers stay and fire as
+        partial clean-ups, so no timer is listed or deleted.
+        """
+        after = self._max_t(bufs)
+        if after is not None and (before is None or after > before):
+            self.handle.registerTimer((after + self.w) // 1000 + 1)
 
     def _prune(self, bufs: dict[int, list[dict]], wm_ms: int) -> None:
         if wm_ms > 0:
@@ -126,8 +157,7 @@ class EagerJoinProcessor(StatefulProcessor):
             out[c] = lrec[c] if lrec is not None else None
         for c in self.right_cols:
             out[c] = rrec[c] if rrec is not None else None
-        both = [r["ts"] for r in (lrec, rrec) if r is not None]
-        out["ts"] = max(both)
+        out["ts"] = max(r["t"] for r in (lrec, rrec) if r is not None)
         out.update(emit_o1=emit["o1"], emit_side=emit["side"], emit_id=emit["aid"])
         if peer is None:
             out.update(peer_t=None, peer_o1=None, peer_id=None)
@@ -135,17 +165,18 @@ class EagerJoinProcessor(StatefulProcessor):
             out.update(peer_t=peer["t"], peer_o1=peer["o1"], peer_id=peer["aid"])
         return out
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
-                        timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row],
+                        timerValues: TimerValues) -> Iterator[Row]:
         k = key[0]
-        batch = pd.concat(list(rows), ignore_index=True)
         wm_ms = timerValues.getCurrentWatermarkInMs()
+        batch = [r.asDict() for r in rows]
         if wm_ms > 0:
-            batch = batch[batch["t"] >= wm_ms * 1000]  # late beyond the grace period
-        batch = batch.sort_values(["o1", "side", "aid"], kind="mergesort")
-        bufs = {LEFT: self._load(LEFT), RIGHT: self._load(RIGHT)}
+            batch = [r for r in batch if r["t"] >= wm_ms * 1000]  # behind the grace period
+        batch.sort(key=lambda r: (r["o1"], r["side"], r["aid"]))
+        bufs = self._load()
+        before = self._max_t(bufs)
         out = []
-        for rec in records(batch, self.input_schema):
+        for rec in batch:
             side = rec["side"]
             other = [o for o in bufs[1 - side] if abs(o["t"] - rec["t"]) <= self.w]
             other.sort(key=lambda o: (o["t"], o["o1"], o["aid"]))
@@ -157,19 +188,18 @@ class EagerJoinProcessor(StatefulProcessor):
                 out.append(self._row(k, lrec, rrec, rec, o))
             bufs[side].append(rec)
         self._prune(bufs, wm_ms)
-        self._store(LEFT, bufs[LEFT])
-        self._store(RIGHT, bufs[RIGHT])
-        self._reset_timer(bufs)
-        if out:
-            yield pd.DataFrame(out, columns=self.out_cols)
+        self._store(bufs)
+        self._cover(before, bufs)
+        for o in out:
+            yield Row(**{c: o[c] for c in self.out_cols})
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        bufs = {LEFT: self._load(LEFT), RIGHT: self._load(RIGHT)}
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        bufs = self._load()
+        n = len(bufs[LEFT]) + len(bufs[RIGHT])
         self._prune(bufs, timerValues.getCurrentWatermarkInMs())
-        self._store(LEFT, bufs[LEFT])
-        self._store(RIGHT, bufs[RIGHT])
-        self._reset_timer(bufs)
+        if len(bufs[LEFT]) + len(bufs[RIGHT]) != n:
+            self._store(bufs)
         return iter([])
 
     def close(self) -> None:
@@ -183,11 +213,15 @@ def eager_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 100
     u = tagged_union(left, right, key=key, ts=ts, id=id, arrival=arrival).withWatermark(
         "ts", grace)
     out_schema = join_output_schema(left, right, key, ts)
-    state_schema = T.StructType([f for f in u.schema.fields])
-    proc = EagerJoinProcessor(window_ms, state_schema, out_schema)
-    return u.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=out_schema, outputMode="Append",
+    py_schema = T.StructType(_as_micros(out_schema.fields))
+    proc = EagerJoinProcessor(window_ms, u.schema, py_schema)
+    j = u.groupBy("key").transformWithState(
+        statefulProcessor=proc, outputStructType=py_schema, outputMode="Append",
         timeMode="EventTime")
+    return j.select(*[
+        F.timestamp_micros(F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+        for f in out_schema.fields])
 
 
 def settled_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1000,

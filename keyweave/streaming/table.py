@@ -15,8 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import (
@@ -27,7 +26,6 @@ from pyspark.sql.streaming.stateful_processor import (
 
 from keyweave.operators.interval_join import ORDER_COLUMNS
 from keyweave.operators.table import last_write_wins
-from keyweave.streaming.values import records
 
 
 class LastWriteWinsProcessor(StatefulProcessor):
@@ -39,13 +37,12 @@ class LastWriteWinsProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.latest = handle.getValueState("latest", self.schema)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
-                        timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(self.order, na_position="first", kind="mergesort")
-        last = pdf.iloc[[-1]][self.cols]
-        self.latest.update(tuple(records(last, self.schema)[0][c] for c in self.cols))
-        yield last
+    def handleInputRows(self, key, rows: Iterator[Row],
+                        timerValues: TimerValues) -> Iterator[Row]:
+        # nulls sort first, as in ``max_by`` over the order struct
+        last = max(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in self.order))
+        self.latest.update(tuple(last[c] for c in self.cols))
+        yield Row(**{c: last[c] for c in self.cols})
 
     def close(self) -> None:
         pass
@@ -56,7 +53,7 @@ def lww_stream(updates: DataFrame, *, key: str = "key",
     """Stream of table updates (latest per key per micro-batch) from a changelog."""
     schema = updates.schema
     proc = LastWriteWinsProcessor(schema, order)
-    return updates.groupBy(key).transformWithStateInPandas(
+    return updates.groupBy(key).transformWithState(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode="None")
 
 

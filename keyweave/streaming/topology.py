@@ -27,21 +27,34 @@ def joined_stream(personal: DataFrame, address: DataFrame, *, emit: str = "eager
     return flatten_full_details(j)
 
 
-def table_updates(personal: DataFrame, address: DataFrame, **kw) -> DataFrame:
-    """Changelog of the last-write-wins table keyed by empId (``key`` column)."""
-    return lww_stream(changelog(joined_stream(personal, address, **kw)))
+def table_updates(personal: DataFrame, address: DataFrame, *, table: str = "sink",
+                  **kw) -> DataFrame:
+    """Changelog of the last-write-wins table keyed by empId (``key`` column).
+
+    ``table="sink"``: every joined row, re-keyed; the sink folds them per
+    micro-batch with ``max_by`` (JVM-side, map-side combined). ``table="state"``:
+    the latest row per key is also kept in keyed state (RocksDB) by
+    :class:`~keyweave.streaming.table.LastWriteWinsProcessor`, readable live with
+    the ``statestore`` source, at the cost of a Python stateful stage.
+    """
+    upd = changelog(joined_stream(personal, address, **kw))
+    if table == "state":
+        return lww_stream(upd)
+    if table != "sink":
+        raise ValueError("table must be 'sink' or 'state'")
+    return upd
 
 
 def start_employee_table(spark: SparkSession, personal: DataFrame, address: DataFrame,
                          table_path: str, *, name: str = "employee_table",
                          checkpoint: str | None = None, trigger: dict | None = None,
-                         **kw) -> StreamingQuery:
+                         table: str = "sink", **kw) -> StreamingQuery:
     """Run the topology into the log-structured table at ``table_path``.
 
     The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``; a restart
     with the same checkpoint resumes from the last committed micro-batch.
     """
-    upd = table_updates(personal, address, **kw)
+    upd = table_updates(personal, address, table=table, **kw)
     w = (upd.writeStream.queryName(name).outputMode("append")
          .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
          .foreachBatch(TableSink(table_path)))

@@ -102,7 +102,8 @@ def test_eager_drops_rows_behind_watermark(spark, mk, folder):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
-def test_eager_table_restart_equals_batch(spark, folder):
+@pytest.mark.parametrize("table", ["sink", "state"])
+def test_eager_table_restart_equals_batch(spark, folder, table):
     """Four slices; the query stops after two and resumes from its checkpoint."""
     write_event_replay(spark, SF, f"{folder}/all", 4)
     import shutil
@@ -116,7 +117,7 @@ def test_eager_table_restart_equals_batch(spark, folder):
             spark, replay_stream(spark, f"{folder}/src", "personal"),
             replay_stream(spark, f"{folder}/src", "address"), f"{folder}/table",
             name="restart", checkpoint=f"{folder}/ck", trigger={"availableNow": True},
-            emit="eager", window_ms=catalog.WINDOW_MS)
+            emit="eager", window_ms=catalog.WINDOW_MS, table=table)
         q.awaitTermination()
 
     copy(0), copy(1)
