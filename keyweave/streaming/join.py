@@ -30,7 +30,7 @@ from pyspark.sql.streaming.stateful_processor import (
     TimerValues,
 )
 
-from keyweave.functions.timecols import epoch_micros, window_micros
+from keyweave.functions.timecols import bucket_of, epoch_micros, window_micros
 from keyweave.operators.interval_join import LEFT, ORDER_COLUMNS, PREFIX, RIGHT
 
 DEFAULT_GRACE = "24 hours"
@@ -95,24 +95,30 @@ def tagged_union(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str
 
 
 class EagerJoinProcessor(StatefulProcessor):
-    """Record-at-a-time eager outer join for one message key."""
+    """Record-at-a-time eager outer join for one ``(message key, time bucket)``.
 
-    def __init__(self, window_ms: int, input_schema: T.StructType, output_schema: T.StructType):
+    The group holds the rows whose home is its bucket (``home`` true: they probe)
+    and copies of the neighbouring bucket's rows that can reach it (they are only
+    stored), so every partner of a home row is in the group and each pair is
+    produced once, by the home row of the later-arrived side.
+    """
+
+    def __init__(self, window_ms: int, width: int, input_schema: T.StructType,
+                 output_schema: T.StructType):
         self.w = window_micros(window_ms)
-        # buffered rows keep every input column but the watermark column
-        self.input_schema = T.StructType([f for f in input_schema.fields if f.name != "ts"])
-        self.cols = [f.name for f in self.input_schema.fields]
+        self.width = width
+        # stored rows keep every input column but the watermark, group and role
+        self.state_schema = T.StructType(
+            [f for f in input_schema.fields if f.name not in ("ts", "g", "home")])
+        self.cols = [f.name for f in self.state_schema.fields]
         self.left_cols = [c for c in self.cols if c.startswith("l_")]
         self.right_cols = [c for c in self.cols if c.startswith("r_")]
         self.out_cols = [f.name for f in output_schema.fields]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # both sides in one list (rows carry ``side``): one read and one write
-        # per key and micro-batch
-        self.buf = handle.getListState("buffer", self.input_schema)
+        self.buf = handle.getListState("buffer", self.state_schema)
 
-    # -- state helpers --------------------------------------------------------
     def _load(self) -> dict[int, list[dict]]:
         bufs: dict[int, list[dict]] = {LEFT: [], RIGHT: []}
         for tup in self.buf.get():
@@ -120,36 +126,6 @@ class EagerJoinProcessor(StatefulProcessor):
             bufs[r["side"]].append(r)
         return bufs
 
-    def _store(self, bufs: dict[int, list[dict]]) -> None:
-        rows = bufs[LEFT] + bufs[RIGHT]
-        if rows:
-            self.buf.put([tuple(r[c] for c in self.cols) for r in rows])
-        else:
-            self.buf.clear()
-
-    @staticmethod
-    def _max_t(bufs: dict[int, list[dict]]) -> int | None:
-        ts = [r["t"] for rows in bufs.values() for r in rows]
-        return max(ts) if ts else None
-
-    def _cover(self, before: int | None, bufs: dict[int, list[dict]]) -> None:
-        """Keep a clean-up timer at or after ``t + window`` of every buffered row.
-
-        Invariant: the buffer's latest row has a timer at its expiry. A new timer is
-        needed only when the latest time grows; older timers stay and fire as
-        partial clean-ups, so no timer is listed or deleted.
-        """
-        after = self._max_t(bufs)
-        if after is not None and (before is None or after > before):
-            self.handle.registerTimer((after + self.w) // 1000 + 1)
-
-    def _prune(self, bufs: dict[int, list[dict]], wm_ms: int) -> None:
-        if wm_ms > 0:
-            cut = wm_ms * 1000 - self.w
-            for side in bufs:
-                bufs[side] = [r for r in bufs[side] if r["t"] >= cut]
-
-    # -- output rows ----------------------------------------------------------
     def _row(self, key, lrec: dict | None, rrec: dict | None, emit: dict,
              peer: dict | None) -> dict:
         out = {"key": key}
@@ -167,39 +143,45 @@ class EagerJoinProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row],
                         timerValues: TimerValues) -> Iterator[Row]:
-        k = key[0]
+        k, g = key
+        end = (g + 1) * self.width  # home rows of this group have t < end
         wm_ms = timerValues.getCurrentWatermarkInMs()
         batch = [r.asDict() for r in rows]
         if wm_ms > 0:
+            if wm_ms * 1000 >= end:
+                return  # every home row would be late: nothing can match here
             batch = [r for r in batch if r["t"] >= wm_ms * 1000]  # behind the grace period
+        if not batch:
+            return
         batch.sort(key=lambda r: (r["o1"], r["side"], r["aid"]))
-        bufs = self._load()
-        before = self._max_t(bufs)
+        # the buffer is read only when a home row has to probe it
+        bufs = self._load() if any(r["home"] for r in batch) else None
+        fresh = (not bufs[LEFT] and not bufs[RIGHT]) if bufs is not None \
+            else not self.buf.exists()
         out = []
         for rec in batch:
             side = rec["side"]
-            other = [o for o in bufs[1 - side] if abs(o["t"] - rec["t"]) <= self.w]
-            other.sort(key=lambda o: (o["t"], o["o1"], o["aid"]))
-            if not other:
-                out.append(self._row(k, rec if side == LEFT else None,
-                                     rec if side == RIGHT else None, rec, None))
-            for o in other:
-                lrec, rrec = (rec, o) if side == LEFT else (o, rec)
-                out.append(self._row(k, lrec, rrec, rec, o))
-            bufs[side].append(rec)
-        self._prune(bufs, wm_ms)
-        self._store(bufs)
-        self._cover(before, bufs)
+            if rec["home"]:
+                other = [o for o in bufs[1 - side] if abs(o["t"] - rec["t"]) <= self.w]
+                other.sort(key=lambda o: (o["t"], o["o1"], o["aid"]))
+                if not other:
+                    out.append(self._row(k, rec if side == LEFT else None,
+                                         rec if side == RIGHT else None, rec, None))
+                for o in other:
+                    lrec, rrec = (rec, o) if side == LEFT else (o, rec)
+                    out.append(self._row(k, lrec, rrec, rec, o))
+            if bufs is not None:
+                bufs[side].append(rec)
+        self.buf.appendList([tuple(r[c] for c in self.cols) for r in batch])
+        if fresh:
+            # the whole group expires once no home row can arrive any more
+            self.handle.registerTimer(end // 1000 + 1)
         for o in out:
             yield Row(**{c: o[c] for c in self.out_cols})
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        bufs = self._load()
-        n = len(bufs[LEFT]) + len(bufs[RIGHT])
-        self._prune(bufs, timerValues.getCurrentWatermarkInMs())
-        if len(bufs[LEFT]) + len(bufs[RIGHT]) != n:
-            self._store(bufs)
+        self.buf.clear()
         return iter([])
 
     def close(self) -> None:
@@ -209,13 +191,29 @@ class EagerJoinProcessor(StatefulProcessor):
 def eager_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1000,
                       grace: str = DEFAULT_GRACE, key: str = "key", ts: str = "ts",
                       id: str = "id", arrival: str | None = None) -> DataFrame:
-    """Streaming eager outer join; ``ts`` must be a ``timestamp`` column."""
-    u = tagged_union(left, right, key=key, ts=ts, id=id, arrival=arrival).withWatermark(
-        "ts", grace)
+    """Streaming eager outer join; ``ts`` must be a ``timestamp`` column.
+
+    State is keyed by ``(key, bucket)`` with buckets two windows wide: a row is
+    sent to its home bucket and, as a stored copy, to the one neighbour its
+    window reaches (the previous bucket from the first half, the next from the
+    second). A hot key is spread over its active buckets, each group's list only
+    grows by appends, and a group is dropped whole when the watermark passes it.
+    """
+    w = window_micros(window_ms)
+    width = 2 * max(w, 1)
+    t = F.col("t")
+    b = bucket_of(t, width)
+    nb = F.when(t - b * F.lit(width) < F.lit(w), b - 1).otherwise(b + 1)
+    u = tagged_union(left, right, key=key, ts=ts, id=id, arrival=arrival)
+    u = (u.withColumn("_g", F.explode(F.array(
+            F.struct(b.alias("g"), F.lit(True).alias("home")),
+            F.struct(nb.alias("g"), F.lit(False).alias("home")))))
+         .select(*u.columns, F.col("_g.g").alias("g"), F.col("_g.home").alias("home"))
+         .withWatermark("ts", grace))
     out_schema = join_output_schema(left, right, key, ts)
     py_schema = T.StructType(_as_micros(out_schema.fields))
-    proc = EagerJoinProcessor(window_ms, u.schema, py_schema)
-    j = u.groupBy("key").transformWithState(
+    proc = EagerJoinProcessor(window_ms, width, u.schema, py_schema)
+    j = u.groupBy("key", "g").transformWithState(
         statefulProcessor=proc, outputStructType=py_schema, outputMode="Append",
         timeMode="EventTime")
     return j.select(*[
