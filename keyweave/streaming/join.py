@@ -3,10 +3,11 @@
 Both produce the same columns as the batch ``interval_outer_join`` so the flatten
 and table operators apply unchanged.
 
-* ``settled``: Spark's native stream-stream full outer join with watermarks on
-  both sides; unmatched rows leave once the watermark has passed their window.
+* ``settled``: the same processor emits pairs at once and a row with no partner
+  once the watermark has closed its group; or (``method="native"``) Spark's
+  stream-stream full outer join with watermarks on both sides.
 * ``eager``: the two sides are tagged and unioned, grouped by message key and fed
-  to :class:`EagerJoinProcessor`, which keeps one window buffer per side in
+  to :class:`IntervalJoinProcessor`, which keeps one window buffer per side in
   keyed list state. Each arriving row (in ``(o1, side, id)`` order within a
   micro-batch) joins the buffered rows of the other side in its window, or is
   emitted alone at once. Buffers are cut by event-time timers once the watermark
@@ -94,8 +95,9 @@ def tagged_union(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str
     return tag(left, LEFT).select(cols).unionByName(tag(right, RIGHT).select(cols))
 
 
-class EagerJoinProcessor(StatefulProcessor):
-    """Record-at-a-time eager outer join for one ``(message key, time bucket)``.
+class IntervalJoinProcessor(StatefulProcessor):
+    """Record-at-a-time outer join for one ``(message key, time bucket)``, eager
+    (unmatched rows at arrival) or settled (unmatched rows when the group closes).
 
     The group holds the rows whose home is its bucket (``home`` true: they probe)
     and copies of the neighbouring bucket's rows that can reach it (they are only
@@ -104,12 +106,13 @@ class EagerJoinProcessor(StatefulProcessor):
     """
 
     def __init__(self, window_ms: int, width: int, input_schema: T.StructType,
-                 output_schema: T.StructType):
+                 output_schema: T.StructType, emit: str = "eager"):
         self.w = window_micros(window_ms)
         self.width = width
-        # stored rows keep every input column but the watermark, group and role
+        self.settled = emit == "settled"
+        # stored rows keep every input column but the watermark and group columns
         self.state_schema = T.StructType(
-            [f for f in input_schema.fields if f.name not in ("ts", "g", "home")])
+            [f for f in input_schema.fields if f.name not in ("ts", "g")])
         self.cols = [f.name for f in self.state_schema.fields]
         self.left_cols = [c for c in self.cols if c.startswith("l_")]
         self.right_cols = [c for c in self.cols if c.startswith("r_")]
@@ -144,12 +147,12 @@ class EagerJoinProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row],
                         timerValues: TimerValues) -> Iterator[Row]:
         k, g = key
-        end = (g + 1) * self.width  # home rows of this group have t < end
+        horizon = self._horizon(g)
         wm_ms = timerValues.getCurrentWatermarkInMs()
         batch = [r.asDict() for r in rows]
         if wm_ms > 0:
-            if wm_ms * 1000 >= end:
-                return  # every home row would be late: nothing can match here
+            if wm_ms * 1000 >= horizon:
+                return  # the group is closed: nothing arriving now can match here
             batch = [r for r in batch if r["t"] >= wm_ms * 1000]  # behind the grace period
         if not batch:
             return
@@ -164,7 +167,7 @@ class EagerJoinProcessor(StatefulProcessor):
             if rec["home"]:
                 other = [o for o in bufs[1 - side] if abs(o["t"] - rec["t"]) <= self.w]
                 other.sort(key=lambda o: (o["t"], o["o1"], o["aid"]))
-                if not other:
+                if not other and not self.settled:
                     out.append(self._row(k, rec if side == LEFT else None,
                                          rec if side == RIGHT else None, rec, None))
                 for o in other:
@@ -174,31 +177,45 @@ class EagerJoinProcessor(StatefulProcessor):
                 bufs[side].append(rec)
         self.buf.appendList([tuple(r[c] for c in self.cols) for r in batch])
         if fresh:
-            # the whole group expires once no home row can arrive any more
-            self.handle.registerTimer(end // 1000 + 1)
+            self.handle.registerTimer(horizon // 1000 + 1)
         for o in out:
             yield Row(**{c: o[c] for c in self.out_cols})
 
+    def _horizon(self, g: int) -> int:
+        """Event time after which the group is closed.
+
+        Home rows have ``t < end``. Eager: once they are late, nothing can probe.
+        Settled: a window later, when no partner of a home row can still arrive.
+        """
+        end = (g + 1) * self.width
+        return end + self.w if self.settled else end
+
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        if self.settled:
+            # home rows with no partner at all leave now, once
+            bufs = self._load()
+            for side in (LEFT, RIGHT):
+                for rec in sorted(bufs[side], key=lambda r: (r["o1"], r["aid"])):
+                    if rec["home"] and not any(abs(o["t"] - rec["t"]) <= self.w
+                                               for o in bufs[1 - side]):
+                        o = self._row(key[0], rec if side == LEFT else None,
+                                      rec if side == RIGHT else None, rec, None)
+                        yield Row(**{c: o[c] for c in self.out_cols})
         self.buf.clear()
-        return iter([])
 
     def close(self) -> None:
         pass
 
 
-def eager_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1000,
-                      grace: str = DEFAULT_GRACE, key: str = "key", ts: str = "ts",
-                      id: str = "id", arrival: str | None = None) -> DataFrame:
-    """Streaming eager outer join; ``ts`` must be a ``timestamp`` column.
-
-    State is keyed by ``(key, bucket)`` with buckets two windows wide: a row is
-    sent to its home bucket and, as a stored copy, to the one neighbour its
-    window reaches (the previous bucket from the first half, the next from the
-    second). A hot key is spread over its active buckets, each group's list only
-    grows by appends, and a group is dropped whole when the watermark passes it.
-    """
+def _bucketed_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int, grace: str,
+                          key: str, ts: str, id: str, arrival: str | None,
+                          emit: str) -> DataFrame:
+    """State keyed by ``(key, bucket)`` with buckets two windows wide: a row is sent
+    to its home bucket and, as a stored copy, to the one neighbour its window
+    reaches (the previous bucket from the first half, the next from the second).
+    A hot key is spread over its active buckets, each group's list only grows by
+    appends, and a group is dropped whole when the watermark passes it."""
     w = window_micros(window_ms)
     width = 2 * max(w, 1)
     t = F.col("t")
@@ -212,7 +229,7 @@ def eager_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 100
          .withWatermark("ts", grace))
     out_schema = join_output_schema(left, right, key, ts)
     py_schema = T.StructType(_as_micros(out_schema.fields))
-    proc = EagerJoinProcessor(window_ms, width, u.schema, py_schema)
+    proc = IntervalJoinProcessor(window_ms, width, u.schema, py_schema, emit=emit)
     j = u.groupBy("key", "g").transformWithState(
         statefulProcessor=proc, outputStructType=py_schema, outputMode="Append",
         timeMode="EventTime")
@@ -222,10 +239,29 @@ def eager_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 100
         for f in out_schema.fields])
 
 
+def eager_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1000,
+                      grace: str = DEFAULT_GRACE, key: str = "key", ts: str = "ts",
+                      id: str = "id", arrival: str | None = None) -> DataFrame:
+    """Streaming eager outer join; ``ts`` must be a ``timestamp`` column."""
+    return _bucketed_join_stream(left, right, window_ms=window_ms, grace=grace, key=key,
+                                 ts=ts, id=id, arrival=arrival, emit="eager")
+
+
 def settled_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1000,
                         grace: str = DEFAULT_GRACE, key: str = "key", ts: str = "ts",
-                        id: str = "id") -> DataFrame:
-    """Native stream-stream full outer join; unmatched rows after the watermark."""
+                        id: str = "id", method: str = "bucketed") -> DataFrame:
+    """Streaming settled outer join: pairs at once, unmatched rows once no partner
+    can arrive any more.
+
+    ``method="bucketed"`` (default): the ``(key, bucket)`` processor, which spreads a
+    hot key over its time buckets. ``method="native"``: Spark's stream-stream full
+    outer join, whose state is keyed by the message key alone.
+    """
+    if method == "bucketed":
+        return _bucketed_join_stream(left, right, window_ms=window_ms, grace=grace, key=key,
+                                     ts=ts, id=id, arrival=None, emit="settled")
+    if method != "native":
+        raise ValueError("method must be 'bucketed' or 'native'")
     w = window_micros(window_ms)
     lf, rf = _side_columns(left, LEFT, key), _side_columns(right, RIGHT, key)
     lw = left.where(F.col(key).isNotNull()).withWatermark(ts, grace).select(

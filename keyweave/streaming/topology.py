@@ -15,13 +15,17 @@ from keyweave.streaming.table import TableSink, lww_stream
 
 def joined_stream(personal: DataFrame, address: DataFrame, *, emit: str = "eager",
                   window_ms: int = DEFAULT_WINDOW_MS, grace: str = DEFAULT_GRACE,
-                  arrival: str | None = None) -> DataFrame:
-    """Flattened join rows (message key, emission order), streaming."""
+                  arrival: str | None = None, settled_method: str = "bucketed") -> DataFrame:
+    """Flattened join rows (message key, emission order), streaming.
+
+    ``settled_method``: ``"bucketed"`` ((key, time bucket) state, hot keys spread)
+    or ``"native"`` (Spark's stream-stream outer join, state per key)."""
     if emit == "eager":
         j = eager_join_stream(personal, address, window_ms=window_ms, grace=grace,
                               arrival=arrival)
     elif emit == "settled":
-        j = settled_join_stream(personal, address, window_ms=window_ms, grace=grace)
+        j = settled_join_stream(personal, address, window_ms=window_ms, grace=grace,
+                                method=settled_method)
     else:
         raise ValueError("emit must be 'eager' or 'settled'")
     return flatten_full_details(j)

@@ -92,6 +92,31 @@ def test_eager_edges_and_many_to_many(spark, mk, folder):
     assert by_key["m"] == [(5, None), (6, None), (5, 7), (6, 7), (5, 8), (6, 8)]
 
 
+def test_settled_fixture_cases(spark, mk, folder):
+    write_batches(mk, folder, "personal", [
+        [("e", 10000, 1, P(1)), ("o", 10000, 3, P(2)), ("m", 10000, 5, P(3)),
+         ("m", 10100, 6, P(3))],
+        [("z", 500000, 90, P(9))],  # moves the watermark past everything above
+    ])
+    write_batches(mk, folder, "address", [
+        [("e", 11000, 2, A(1)), ("o", 11001, 4, A(2)), ("m", 10200, 7, A(3)),
+         ("m", 10300, 8, A(3))],
+        [],
+    ])
+    j = settled_join_stream(src(spark, folder, "personal"), src(spark, folder, "address"),
+                            window_ms=1000, grace="1 second")
+    run_to_end(j, folder, "out")
+    got = spark.read.parquet(f"{folder}/out").where("key != 'z'")
+    nf = lambda v: (v is not None, v or 0)  # noqa: E731  nulls first
+    by_key = {}
+    for r in got.collect():
+        by_key.setdefault(r.key, []).append((r.l_id, r.r_id))
+    for v in by_key.values():
+        v.sort(key=lambda p: (nf(p[0]), nf(p[1])))
+    assert by_key == {"e": [(1, 2)], "o": [(None, 4), (3, None)],
+                      "m": [(5, 7), (5, 8), (6, 7), (6, 8)]}
+
+
 def test_eager_drops_rows_behind_watermark(spark, mk, folder):
     write_batches(mk, folder, "personal", [[("a", 100000, 1, P(1))], []])
     write_batches(mk, folder, "address", [[], [("a", 10000, 2, A(1))]])
@@ -132,7 +157,8 @@ def test_eager_table_restart_equals_batch(spark, folder, table):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
-def test_settled_join_equals_batch(spark, folder):
+@pytest.mark.parametrize("method", ["bucketed", "native"])
+def test_settled_join_equals_batch(spark, folder, method):
     """Native stream-stream outer join; a far-future sentinel per side moves the
     watermark past every real row so all unmatched rows are released."""
     write_event_replay(spark, SF, f"{folder}/src", 3)
@@ -146,14 +172,15 @@ def test_settled_join_equals_batch(spark, folder):
         s.write.parquet(f"{folder}/src/{kind}/part-0003")
     p = replay_stream(spark, f"{folder}/src", "personal")
     a = replay_stream(spark, f"{folder}/src", "address")
-    run_to_end(settled_join_stream(p, a, window_ms=catalog.WINDOW_MS), folder, "out")
+    run_to_end(settled_join_stream(p, a, window_ms=catalog.WINDOW_MS, method=method),
+               folder, "out")
     got = spark.read.parquet(f"{folder}/out").where("key != '__sentinel__'").select(
-        "l_id", "r_id", "emit_id")
+        "l_id", "r_id", "emit_id", "ts")
     bl = conform(read_raw(spark, f"{folder}/src/personal/part-000[0-2]", "personal"),
                  "personal").ok
     br = conform(read_raw(spark, f"{folder}/src/address/part-000[0-2]", "address"),
                  "address").ok
     want = interval_outer_join(bl, br, window_ms=catalog.WINDOW_MS, emit="settled").select(
-        "l_id", "r_id", "emit_id")
+        "l_id", "r_id", "emit_id", "ts")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
