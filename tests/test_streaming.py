@@ -19,7 +19,7 @@ from keyweave.sources.conform import conform
 from keyweave.sources.files import read_raw
 from keyweave.streaming.bench import replay_stream, write_event_replay
 from keyweave.streaming.join import eager_join_stream, settled_join_stream
-from keyweave.streaming.table import read_table
+from keyweave.streaming.table import read_state_table, read_table
 from keyweave.streaming.topology import start_employee_table
 from tests.test_fixtures import A, P
 
@@ -154,6 +154,10 @@ def test_eager_table_restart_equals_batch(spark, folder, table):
     got = got.select(want.columns)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    if table == "state":
+        live = read_state_table(spark, f"{folder}/ck").select(want.columns)
+        assert live.count() == want.count()
+        assert live.exceptAll(want).count() == 0
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
