@@ -92,7 +92,9 @@ def compact_table(spark: SparkSession, path: str, upto_batch: int, *, key: str =
     base = f"{path.rstrip('/')}/updates"
     u = spark.read.option("basePath", base).parquet(base).where(F.col("batch") <= upto_batch)
     values = [c for c in u.columns if c not in (key, "batch")]
-    folded = last_write_wins(u, key=key, order=["batch", *order], values=values)
+    # keep the order columns for later folds; ``batch`` is the folder name
+    folded = last_write_wins(u, key=key, order=["batch", *order], values=values,
+                             keep_order=True).drop("batch")
     tmp = f"{path.rstrip('/')}/compact-{upto_batch}"
     folded.write.mode("overwrite").parquet(tmp)
     jvm = spark.sparkContext._jvm
