@@ -8,7 +8,7 @@
   own latest-per-key rows under ``updates/batch=<id>`` (a retried batch overwrites
   its own folder, so the sink is idempotent). :func:`read_table` folds all
   batches with ``max_by`` over ``(batch, emission order)``; :func:`compact_table`
-  writes that fold as a new base so reads stay short.
+  writes that fold as a snapshot ``base-<n>`` so reads stay short.
 """
 
 from __future__ import annotations
@@ -72,11 +72,52 @@ class TableSink:
          .parquet(f"{self.path}/updates/batch={int(batch_id)}"))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def _bases(spark: SparkSession, path: str) -> list[int]:
+    """Batch numbers of the finished compacted snapshots ``base-<n>``."""
+    fs, root, _ = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    return sorted(int(n[5:]) for n in (st.getPath().getName() for st in fs.listStatus(root))
+                  if n.startswith("base-") and n[5:].isdigit())
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows that define the table: the newest snapshot and every update folder.
+
+    Both carry ``batch`` (the snapshot keeps each row's own batch), so folding
+    them together is correct whether or not the folded update folders have been
+    removed yet.
+    """
+    root = path.rstrip("/")
+    parts = []
+    fs, _, jvm = _fs(spark, root)
+    upd = jvm.org.apache.hadoop.fs.Path(f"{root}/updates")
+    if fs.exists(upd) and any(st.getPath().getName().startswith("batch=")
+                              for st in fs.listStatus(upd)):
+        parts.append(spark.read.option("basePath", f"{root}/updates").parquet(f"{root}/updates"))
+    bases = _bases(spark, root)
+    if bases:
+        parts.append(spark.read.parquet(f"{root}/base-{bases[-1]}"))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p.select(out.columns))
+    return out
+
+
 def read_table(spark: SparkSession, path: str, *, key: str = "key",
                order: list[str] = ORDER_COLUMNS) -> DataFrame:
     """Current table: the latest update per key over all micro-batches."""
-    u = spark.read.option("basePath", f"{path.rstrip('/')}/updates").parquet(
-        f"{path.rstrip('/')}/updates")
+    u = _log(spark, path)
+    if u is None:
+        raise FileNotFoundError(f"no table at {path}")
     values = [c for c in u.columns if c not in (key, "batch")]
     return last_write_wins(u, key=key, order=["batch", *order],
                            values=values).drop(*[c for c in order if c in values])
@@ -84,28 +125,39 @@ def read_table(spark: SparkSession, path: str, *, key: str = "key",
 
 def compact_table(spark: SparkSession, path: str, upto_batch: int, *, key: str = "key",
                   order: list[str] = ORDER_COLUMNS) -> None:
-    """Fold batches ``<= upto_batch`` into one folder ``batch=<upto_batch>``.
+    """Fold the newest snapshot and the update folders ``batch <= upto_batch`` into a
+    new snapshot ``base-<upto_batch>``, then remove what it replaces.
 
-    The fold is written beside the log first and then swapped in, so a reader
-    sees either the old batches or the compacted one.
+    Crash-safe at every step: the snapshot is written under a temporary name and
+    renamed when complete, and readers fold snapshot and updates together, so
+    until the old folders are gone they only count twice, which the fold ignores.
+    The streaming sink may keep writing later batches meanwhile.
     """
-    base = f"{path.rstrip('/')}/updates"
-    u = spark.read.option("basePath", base).parquet(base).where(F.col("batch") <= upto_batch)
+    root = path.rstrip("/")
+    u = _log(spark, root)
+    if u is None:
+        return
+    u = u.where(F.col("batch") <= upto_batch)
     values = [c for c in u.columns if c not in (key, "batch")]
-    # keep the order columns for later folds; ``batch`` is the folder name
     folded = last_write_wins(u, key=key, order=["batch", *order], values=values,
-                             keep_order=True).drop("batch")
-    tmp = f"{path.rstrip('/')}/compact-{upto_batch}"
+                             keep_order=True)
+    tmp = f"{root}/_tmp-base-{upto_batch}"
     folded.write.mode("overwrite").parquet(tmp)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(conf)
-    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(base)):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and int(name.split("=", 1)[1]) <= upto_batch:
-            fs.delete(st.getPath(), True)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(tmp),
-              jvm.org.apache.hadoop.fs.Path(f"{base}/batch={upto_batch}"))
+    fs, _, jvm = _fs(spark, root)
+    P = jvm.org.apache.hadoop.fs.Path
+    final = P(f"{root}/base-{upto_batch}")
+    if fs.exists(final):
+        fs.delete(final, True)
+    fs.rename(P(tmp), final)
+    updates = P(f"{root}/updates")
+    if fs.exists(updates):
+        for st in fs.listStatus(updates):
+            name = st.getPath().getName()
+            if name.startswith("batch=") and int(name.split("=", 1)[1]) <= upto_batch:
+                fs.delete(st.getPath(), True)
+    for n in _bases(spark, root):
+        if n < upto_batch:
+            fs.delete(P(f"{root}/base-{n}"), True)
 
 
 def read_state_table(spark: SparkSession, checkpoint: str, *,

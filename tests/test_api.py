@@ -89,6 +89,28 @@ def test_table_sink_fold_and_compaction(spark):
     sink(spark.createDataFrame([(2, 0, "f")], "k int, o int, v string"), 2)
     got = {r.k: r.v for r in read_table(spark, d, key="k", order=order).collect()}
     assert got == {1: "d", 2: "f", 3: "e"}
+    compact_table(spark, d, 2, key="k", order=order)  # snapshot on top of a snapshot
+    sink(spark.createDataFrame([(1, 9, "g")], "k int, o int, v string"), 3)
+    got = {r.k: r.v for r in read_table(spark, d, key="k", order=order).collect()}
+    assert got == {1: "g", 2: "f", 3: "e"}
+
+
+def test_compaction_interrupted_before_clean_up(spark):
+    """A snapshot whose update folders were not removed yet reads the same."""
+    import shutil
+
+    d = _folder(spark)
+    order = ["o"]
+    sink = TableSink(d, key="k", order=order)
+    sink(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, o int, v string"), 0)
+    sink(spark.createDataFrame([(1, 0, "c")], "k int, o int, v string"), 1)
+    keep = f"{d}-copy"
+    shutil.copytree(f"{d}/updates", keep)
+    compact_table(spark, d, 1, key="k", order=order)
+    shutil.rmtree(f"{d}/updates")
+    shutil.copytree(keep, f"{d}/updates")  # as if the job died before deleting them
+    got = {r.k: r.v for r in read_table(spark, d, key="k", order=order).collect()}
+    assert got == {1: "c", 2: "b"}
 
 
 def test_last_write_wins_keeps_order_columns(spark):
