@@ -21,7 +21,7 @@ from keyweave.plans import catalog  # noqa: E402
 from keyweave.session import local_session  # noqa: E402
 
 HEADLINE = ["join_settled", "join_eager", "emp_table", "emp_table_settled", "join_matched",
-            "emp_lookup"]
+            "emp_lookup", "join_hot_key"]
 
 
 def run(df) -> float:

@@ -9,6 +9,8 @@ double at the edge, as in the Spark queries.
 from __future__ import annotations
 
 from keyweave.plans.catalog import (
+    HOT_KEY,
+    HOT_KEY_BELOW,
     NULL_AGE_FROM,
     NULL_KEY_BELOW,
     REFERENCE_WINDOW_MS,
@@ -27,6 +29,7 @@ S = "CAST(NULL AS VARCHAR)"
 
 KEY = "CAST(user_id AS VARCHAR)"
 NULL_KEY = f"CASE WHEN value >= {NULL_KEY_BELOW} THEN CAST(user_id AS VARCHAR) END"
+HOT = f"CASE WHEN value < {HOT_KEY_BELOW} THEN '{HOT_KEY}' ELSE CAST(user_id AS VARCHAR) END"
 
 
 def _d(c: str, alias: str | None = None) -> str:
@@ -161,6 +164,8 @@ def oracle_sql() -> dict[str, str]:
         "join_settled": _with(_join_ctes(emit="settled")) + "\nSELECT key, ts, l_id, r_id FROM j",
         "join_null_keys": _with(_join_ctes(key=NULL_KEY))
         + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
+        "join_hot_key": _with(_join_ctes(key=HOT))
+        + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
         "flatten_join": _with(_join_ctes(), _flat_cte())
         + f"\nSELECT {_full_select(['key', 'ts'], ['l_id', 'r_id'])} FROM f",
         "flatten_empid_precedence": _with(_join_ctes(shift=EMPID_SHIFT), _flat_cte())
