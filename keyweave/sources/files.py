@@ -44,6 +44,11 @@ def write_replay(raw: DataFrame, path: str, slices: int, *, bounds: tuple[int, i
     Folder ``part-<i>`` holds the i-th equal-width time slice of ``bounds`` (use the
     same bounds for every stream of a replay so one trigger covers the same time
     span on each). The slicing runs in Spark; no rows pass through the driver.
+
+    Test and bench tooling: each slice is one file, because the file source orders
+    files by modification time and one file per trigger keeps a micro-batch equal
+    to a time slice. For more data, raise ``slices`` (the time span per file), not
+    the file size.
     """
     from pyspark.sql import functions as F
 
