@@ -28,8 +28,8 @@ Physical plan, chosen to survive hot keys at scale:
   first time of the own and the next bucket. With bucket width = window, every
   "is there another-side row in my window (that arrived before me)" question is a
   comparison against that summary, so a hot key collapses map-side into a few
-  summary rows and the probe is linear. The probe reuses the same
-  ``(key, bucket)`` shuffle of the probing side as the matched join.
+  summary rows and the probe is linear. Both probes and the pairs come from one
+  full outer join on the shared ``(key, bucket)`` partitioning (see ``_one_pass``).
 * With an explicit arrival sequence the eager condition is two-dimensional (time
   window and arrival rank), so unmatched rows come from exact left-anti joins on
   ``(key, bucket)`` with the arrival comparison as residual.
@@ -192,6 +192,21 @@ def _summary(other: DataFrame, side: int) -> DataFrame:
     )
 
 
+def _found(side: int, emit: str, t: Column, w: int) -> Column:
+    """Whether a ``side`` row at time ``t`` has a partner that counts, from the other
+    side's summary columns ``s_prev_max, s_own_min, s_next_min`` (null: none)."""
+    w = F.lit(w)
+    near_prev = F.col("s_prev_max") >= t - w
+    if emit == "settled":
+        found = near_prev | F.col("s_own_min").isNotNull() | (F.col("s_next_min") <= t + w)
+    elif side == LEFT:
+        # right rows at the same instant arrive after the left row
+        found = near_prev | (F.col("s_own_min") < t)
+    else:
+        found = near_prev | (F.col("s_own_min") <= t)
+    return F.coalesce(found, F.lit(False))
+
+
 def _flagged(s: _Sides, side: int, emit: str) -> DataFrame:
     """The ``side`` rows with ``_un``: true when the join emits the row unmatched.
 
@@ -201,20 +216,11 @@ def _flagged(s: _Sides, side: int, emit: str) -> DataFrame:
     probe, other_side = (s.left, RIGHT) if side == LEFT else (s.right, LEFT)
     other = s.right if side == LEFT else s.left
     key = "key" if side == LEFT else "r__key"
-    t, w = F.col(p + "_t"), F.lit(s.w)
     summ = _summary(other, other_side)
     joined = probe.join(
         summ, (F.col(key) == F.col("s_key")) & (F.col(p + "_b") == F.col("s_b")), "left"
     )
-    near_prev = F.col("s_prev_max") >= t - w
-    if emit == "settled":
-        found = near_prev | F.col("s_own_min").isNotNull() | (F.col("s_next_min") <= t + w)
-    elif side == LEFT:
-        # right rows at the same instant arrive after the left row
-        found = near_prev | (F.col("s_own_min") < t)
-    else:
-        found = near_prev | (F.col("s_own_min") <= t)
-    return joined.select(*probe.columns, (~F.coalesce(found, F.lit(False))).alias("_un"))
+    return joined.select(*probe.columns, (~_found(side, emit, F.col(p + "_t"), s.w)).alias("_un"))
 
 
 def _anti_unmatched(s: _Sides, side: int) -> DataFrame:
@@ -252,25 +258,40 @@ def _unmatched(s: _Sides, side: int, emit: str, ts: str, id: str) -> DataFrame:
     )
 
 
-def _left_and_matched(s: _Sides, emit: str, ts: str, id: str) -> DataFrame:
-    """Matched pairs and left-unmatched rows from one pass over the left side.
+def _copies(flag: Column) -> Column:
+    """One copy of every row, and a second (solo) copy of flagged rows."""
+    return F.explode(F.when(flag, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+
+
+def _one_pass(s: _Sides, emit: str, ts: str, id: str) -> DataFrame:
+    """Pairs and both sides' unmatched rows from one full outer join.
 
-    Left rows flagged unmatched get a second copy that is barred from matching;
-    one left outer join on (key, bucket) then yields the pairs (first copies
-    with a partner) and the unmatched rows (second copies). The left side is
-    scanned and shuffled once, and both joins run on the same partitioning.
+    Left rows get their flag from the right side's summary, joined on the left's
+    ``(key, bucket)``. Right rows are copied to the three buckets their window
+    reaches; the left side's summary is joined to the copies on the same
+    ``(key, bucket)`` and the home copy's flag is the row's. A flagged row gets a
+    second copy that is barred from matching, so one full outer join on the
+    shared partitioning gives the pairs (first copies that meet) and the unmatched
+    rows (second copies). Each side is scanned and shuffled once for its rows.
     """
-    x = _flagged(s, LEFT, emit)
-    copies = F.when(F.col("_un"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    x = x.withColumn("_copy", F.explode(copies))
-    cond = _pair_condition(s) & (F.col("_copy") == 0)
-    y = x.join(_exploded(s.right, RIGHT), cond, "left")
-    solo = F.col("_copy") == 1
-    y = y.where(solo | F.col("r__key").isNotNull())
-    pe, se = _pair_exprs(s, ts, id), _solo_exprs(LEFT, ts, id)
+    x = _flagged(s, LEFT, emit).withColumn("_copy", _copies(F.col("_un")))
+    r = _exploded(s.right, RIGHT)
+    lsum = _summary(s.left, LEFT)
+    r = r.join(lsum, (F.col("r__key") == F.col("s_key")) & (F.col("r__bt") == F.col("s_b")),
+               "left")
+    run = (F.col("r__bt") == F.col("r__b")) & ~_found(RIGHT, emit, F.col("r__t"), s.w)
+    r = r.select(*s.right.columns, "r__bt", _copies(run).alias("_rcopy"))
+    cond = _pair_condition(s) & (F.col("_copy") == 0) & (F.col("_rcopy") == 0)
+    y = x.join(r, cond, "full_outer")
+    lsolo = F.coalesce(F.col("_copy") == 1, F.lit(False))
+    rsolo = F.coalesce(F.col("_rcopy") == 1, F.lit(False))
+    pair = F.col("key").isNotNull() & F.col("r__key").isNotNull()
+    y = y.where(lsolo | rsolo | pair)
+    pe, le, re_ = _pair_exprs(s, ts, id), _solo_exprs(LEFT, ts, id), _solo_exprs(RIGHT, ts, id)
     return y.select(
-        "key", *s.left_cols, *s.right_cols,
-        *[F.when(solo, se[c]).otherwise(pe[c]).alias(c) for c in _EXPR_COLUMNS],
+        F.coalesce(F.col("key"), F.col("r__key")).alias("key"), *s.left_cols, *s.right_cols,
+        *[F.when(lsolo, le[c]).when(rsolo, re_[c]).otherwise(pe[c]).alias(c)
+          for c in _EXPR_COLUMNS],
     )
 
 
@@ -319,7 +340,8 @@ def interval_outer_join(left: DataFrame, right: DataFrame, *, key: str = "key",
     _check_emit(emit)
     s = _sides(left, right, key, ts, id, window_ms, arrival)
     if emit == "eager" and s.arrival:
-        left = [_matched(s, ts, id), _unmatched(s, LEFT, emit, ts, id)]
+        parts = [_matched(s, ts, id), _unmatched(s, LEFT, emit, ts, id),
+                 _unmatched(s, RIGHT, emit, ts, id)]
     else:
-        left = [_left_and_matched(s, emit, ts, id)]
-    return _output([*left, _unmatched(s, RIGHT, emit, ts, id)], s)
+        parts = [_one_pass(s, emit, ts, id)]
+    return _output(parts, s)

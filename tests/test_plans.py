@@ -66,7 +66,7 @@ def test_table_aggregates_before_its_shuffle(spark):
     assert p.index("partial_max_by") > i_exchange  # printed top-down: below = later
 
 
-@pytest.mark.parametrize("name,limit", [("join_eager", 5), ("join_settled", 5), ("emp_table", 6)])
+@pytest.mark.parametrize("name,limit", [("join_eager", 4), ("join_settled", 4), ("emp_table", 5)])
 def test_exchange_count(spark, name, limit):
     p = plan(spark, name)
     n = len(re.findall(r"\bExchange hashpartitioning", p))
