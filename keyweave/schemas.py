@@ -42,7 +42,6 @@ RECORD_NAMES = {
     "vehicle": "EmployeeVehicle",
     "full": "EmpFullDetails",
 }
-AVRO_NAMESPACE = "com.services.streamsDemo.avro.schema"
 # Topic names the three streams are read from.
 TOPICS = {
     "address": "Address-Details",
@@ -99,13 +98,17 @@ def stream_schema(kind: str) -> T.StructType:
 _AVRO_TYPES = {T.IntegerType: "int", T.FloatType: "float", T.StringType: "string"}
 
 
-def avro_schema_json(kind: str) -> str:
-    """Avro JSON schema of a record, for ``from_avro`` / ``to_avro``."""
+def avro_schema_json(kind: str, namespace: str | None = None) -> str:
+    """Avro JSON schema of a record, for ``from_avro`` / ``to_avro``.
+
+    Decoding depends only on the field layout; pass the producers' ``namespace``
+    when the schema must carry the same full record name (e.g. to register it).
+    """
     fields = []
     for name, dtype, nullable in FIELDS[kind]:
         base = _AVRO_TYPES[type(dtype)]
         fields.append({"name": name, "type": ["null", base] if nullable else base})
-    return json.dumps(
-        {"type": "record", "name": RECORD_NAMES[kind], "namespace": AVRO_NAMESPACE,
-         "fields": fields}
-    )
+    schema = {"type": "record", "name": RECORD_NAMES[kind], "fields": fields}
+    if namespace:
+        schema["namespace"] = namespace
+    return json.dumps(schema)
