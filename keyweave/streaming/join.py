@@ -208,6 +208,19 @@ class IntervalJoinProcessor(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state(spark) -> None:
+    """``transformWithState`` needs the RocksDB state store. Set it when the session
+    still has the default provider; a provider chosen by the cluster is kept (and
+    Spark reports it if it cannot serve keyed state)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    cur = spark.conf.get(key, None)
+    if not cur or cur.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
+
+
 def _bucketed_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int, grace: str,
                           key: str, ts: str, id: str, arrival: str | None,
                           emit: str) -> DataFrame:
@@ -216,6 +229,7 @@ def _bucketed_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int,
     reaches (the previous bucket from the first half, the next from the second).
     A hot key is spread over its active buckets, each group's list only grows by
     appends, and a group is dropped whole when the watermark passes it."""
+    ensure_rocksdb_state(left.sparkSession)
     w = window_micros(window_ms)
     width = 2 * max(w, 1)
     t = F.col("t")

@@ -51,6 +51,9 @@ class LastWriteWinsProcessor(StatefulProcessor):
 def lww_stream(updates: DataFrame, *, key: str = "key",
                order: list[str] = ORDER_COLUMNS) -> DataFrame:
     """Stream of table updates (latest per key per micro-batch) from a changelog."""
+    from keyweave.streaming.join import ensure_rocksdb_state
+
+    ensure_rocksdb_state(updates.sparkSession)
     schema = updates.schema
     proc = LastWriteWinsProcessor(schema, order)
     return updates.groupBy(key).transformWithState(
