@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyweave.llm.common import table
+from keyweave.llm.common import crc_mod, table
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,21 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.langid import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, crc_mod("doc_id", 3) != 1)
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyweave.llm.decontaminate import measure
 
@@ -33,8 +48,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.gbt import predict, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    return predict(docs, trees).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
+    "op4_language_id": op4_language_id,
+    "op5_html_text": op5_html_text,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
 }
