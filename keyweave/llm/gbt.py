@@ -182,7 +182,7 @@ def predict(docs: DataFrame, trees: Trees, *, text: str = "text", cut: float = 0
     """``docs`` without the text, with score and predicted."""
     model = docs.sparkSession.sparkContext.broadcast(trees)  # rounds * 2**(depth + 1) nodes at most
     keep = [c for c in docs.columns if c not in (text, "score", "predicted")]
-    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "int")
+    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "integer")
 
     def run(batches):
         for b in batches:

@@ -16,6 +16,18 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.order_minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.compact_windows import passages
+
+    return passages(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyweave.llm.langid import identify, train
 
@@ -59,6 +71,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
+    "op2_order_minhash": op2_order_minhash,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
     "op5_html_text": op5_html_text,
     "op7_decontaminate": op7_decontaminate,
