@@ -69,6 +69,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op10_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.trie_lm import lm_scores
+
+    held = crc_mod("doc_id", 7) == 2
+    return lm_scores(table(spark, sf_dir, "documents"), ~held, on_files=True).select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_order_minhash": op2_order_minhash,
@@ -78,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
+    "op10_trie_lm": op10_trie_lm,
 }
