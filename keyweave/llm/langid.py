@@ -218,3 +218,25 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
                  pa.array([x[1] for x in p], pa.float64())], names=schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model: Model, *, text: str = "text",
+             min_score: float = 0.5) -> DataFrame:
+    """The documents whose language is known with at least ``min_score``; columns as they were.
+
+    Without a fitted language only texts without letters go.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def keep(batches):
+        m = shared.value
+        for b in batches:
+            texts = b.column(at).to_pylist()
+            if m.languages:
+                good = [p[0] != UND and p[1] >= min_score for p in map(m.predict, texts)]
+            else:
+                good = [len(grams(t, m.bits)) > 0 for t in texts]
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -21,6 +21,55 @@ r as (
            as rank, vec_id, score
   from s)
 select query_id, rank, vec_id, score from r where rank <= 5
+""",
+    "op6_warc_revisits": r"""
+with a as (
+  select page_id, html, trim(url, ' ') as url, strlen(html) as size, length(url) as letters,
+         regexp_replace(trim(url, ' '), '#.*$', '') as plain
+  from pages),
+b as (select *, lower(regexp_extract(plain, '^([A-Za-z][A-Za-z0-9+.-]*://)?([^/?]*)')) as head
+      from a),
+c as (select *, substr(plain, length(head) + 1) as rest,
+             regexp_replace(regexp_replace(regexp_replace(head, '^https?://', ''),
+                                           '^www\.', ''), ':(80|443)$', '') as host from b),
+d as (select *, regexp_replace(regexp_replace(rest, '\?.*$', ''), '/+$', '') as path,
+             list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+               lambda p: p <> '' and split_part(p, '=', 1) not in (
+                 'utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'ref',
+                 'fbclid', 'gclid'))) as params from c),
+e as (
+  select page_id, host || path || case when len(params) > 0
+           then '?' || array_to_string(params, '&') else '' end as canonical_url,
+         md5(html) as digest, size, letters, (page_id * 7919) % 100000 as first,
+         (page_id * 7919) % 100000 + 1 + (coalesce(size, 0) * 31) % 172800 as again,
+         case when letters % 4 <> 0 then '"' || md5(html) || '"' end as etag,
+         case when letters % 3 <> 0 then (1699000000 + size)::varchar end as modified
+  from d),
+r as (
+  select q.page_id * 2 + 1 as record_id, q.canonical_url, q.again, q.etag, q.modified, q.letters,
+         s.page_id as sid, s.first as sfirst, s.etag as setag, s.modified as smod,
+         s.digest as sdigest, s.size as ssize,
+         row_number() over (partition by q.page_id order by s.first desc, s.page_id desc) as k
+  from e q left join e s on s.canonical_url = q.canonical_url and s.first < q.again),
+o as (
+  select *, case when sid is null then 'no response'
+                 when etag is not null and setag is not null
+                   then case when etag = setag then 'resolved' else 'changed' end
+                 when modified is not null and smod is not null
+                   then case when modified = smod then 'resolved' else 'changed' end
+                 else 'unverified' end as outcome
+  from r where k = 1),
+g as (select *, outcome in ('resolved', 'unverified') as good from o)
+select record_id, canonical_url, (1700000000 + again)::bigint as date_s, outcome,
+       case when good then sid * 2 end as source_id,
+       case when good then (1700000000 + sfirst)::bigint end as source_date_s,
+       case when good then sdigest end as payload_digest,
+       case when good then ssize::bigint end as payload_length,
+       case when good then array_to_string(list_filter([
+         'cache-control: max-age=' || coalesce(letters, 0), 'content-type: text/html',
+         'etag: ' || coalesce(etag, setag), 'last-modified: ' || smod],
+         lambda x: x is not null), chr(10)) end as headers
+from g
 """,
     "op7_decontaminate": rf"""
 with d as (select row_number() over () as rid, doc_id, {WORDS} as w from documents),

@@ -198,17 +198,10 @@ def components(edges: DataFrame, name: str = "classes") -> DataFrame:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5,
-                    threshold: float = 0.8, bands: int = 20, rows: int = 2,
-                    tuple_size: int = 2) -> DataFrame:
-    """One row per document: doc_id, class_id (least id of its class), n_links.
-
-    ``n_links`` counts the verified links of the document's text to other texts, and
-    ``class_size`` the documents of the class.
-    """
-    rows_ = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    some = rows_.where(F.col("text").isNotNull()).select("doc_id", text_key().alias("tid"), "text")
-    keyed = some.select("doc_id", "tid")
+def _text_classes(some: DataFrame, k: int, threshold: float, bands: int, rows: int,
+                  tuple_size: int) -> DataFrame:
+    """By text (tid) of ``some`` (doc_id, tid, text): root (the class's least text), least (the
+    text's least id), n (its documents) and n_links (its verified links to other texts)."""
     every = _sketch(some.select("tid", "text"), k, bands, rows, tuple_size)
     every = materialise(every, "buckets")
     shared = every.groupBy("bucket").agg(F.min("tid").alias("lo"), F.max("tid").alias("hi")) \
@@ -251,20 +244,53 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             break
     degree = links.select(F.explode(F.array("a", "b")).alias("t")).groupBy("t").agg(
         F.count("*").alias("n_links"))
-    per_text = keyed.groupBy("tid").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    per_text = some.groupBy("tid").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     per_text = materialise(per_text.join(classes, F.col("tid") == F.col("node"), "left").join(
         degree, F.col("tid") == F.col("t"), "left").select(
         "tid", F.coalesce("root", "tid").alias("root"), "least", "n",
         F.coalesce("n_links", F.lit(0)).alias("n_links")), "per-text")
+    return per_text
+
+
+def _texts_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.where(F.col(text).isNotNull()).select(
+        F.col(doc_id).alias("doc_id"), text_key(text).alias("tid"), F.col(text).alias("text"))
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5,
+                    threshold: float = 0.8, bands: int = 20, rows: int = 2,
+                    tuple_size: int = 2) -> DataFrame:
+    """One row per document: doc_id, class_id (least id of its class), class_size (the class's
+    documents) and n_links (verified links of the document's text to other texts)."""
+    some = _texts_of(docs, doc_id, text)
+    per_text = _text_classes(some, k, threshold, bands, rows, tuple_size)
     # written: the joins can then split a class or text of many rows
     per_class = materialise(per_text.groupBy("root").agg(
         F.min("least").alias("class_id"), F.sum("n").alias("class_size")), "per-class") \
         .withColumnRenamed("root", "c_root")
     of_text = per_text.join(per_class, F.col("root") == F.col("c_root")).select(
         F.col("tid").alias("o_tid"), "class_id", "class_size", "n_links")
-    out = keyed.join(of_text, F.col("tid") == F.col("o_tid")).select(
+    out = some.select("doc_id", "tid").join(of_text, F.col("tid") == F.col("o_tid")).select(
         "doc_id", "class_id", "class_size", "n_links")
-    alone = rows_.where(F.col("text").isNull()).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"),
+    own = F.col(doc_id)
+    alone = docs.where(F.col(text).isNull()).select(
+        own.alias("doc_id"), own.alias("class_id"), F.lit(1).cast("long").alias("class_size"),
         F.lit(0).cast("long").alias("n_links"))
     return out.union(alone)
+
+
+def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5,
+                threshold: float = 0.8, bands: int = 20, rows: int = 2,
+                tuple_size: int = 2) -> DataFrame:
+    """``docs`` with one document of each class: that of the least id (a null id only where no
+    other is there). Documents without a text stay."""
+    some = _texts_of(docs, doc_id, text)
+    per_text = _text_classes(some, k, threshold, bands, rows, tuple_size)
+    first = F.struct(F.col("least").isNull().alias("no_id"), "least", "tid")
+    winners = per_text.groupBy("root").agg(F.min(first).alias("w")).select(
+        F.col("w.least").alias("w_id"), F.col("w.tid").alias("w_tid"))
+    keyed = docs.where(F.col(text).isNotNull()).withColumn("_tid", text_key(text))
+    kept = keyed.join(winners, (F.col("_tid") == F.col("w_tid"))
+                      & F.col(doc_id).eqNullSafe(F.col("w_id")), "left_semi")
+    one = kept.dropDuplicates(["_tid", doc_id]).drop("_tid")  # rows that repeat id and text
+    return one.union(docs.where(F.col(text).isNull()))

@@ -43,6 +43,18 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.warc import page_records, resolve_revisits
+
+    out = resolve_revisits(page_records(table(spark, sf_dir, "pages")))
+    entries = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(
+        e["key"], F.lit(": "), e["value"])))
+    return out.select(
+        "record_id", "canonical_url", F.unix_seconds("date").alias("date_s"), "outcome",
+        "source_id", F.unix_seconds("source_date").alias("source_date_s"), "payload_digest",
+        "payload_length", F.array_join(entries, "\n").alias("headers"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyweave.llm.decontaminate import measure
 
@@ -84,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
     "op5_html_text": op5_html_text,
+    "op6_warc_revisits": op6_warc_revisits,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
