@@ -17,19 +17,18 @@ order by default, or an explicit global arrival sequence via ``arrival=``.
 
 Physical plan, chosen to survive hot keys at scale:
 
-* Time buckets of width ``window``: every row gets ``b = floor(t / window)``. The
-  right side is exploded into the three buckets ``b-1, b, b+1`` its window can reach
-  and the equi-join runs on ``(key, bucket)`` with the exact interval as residual.
-  Each pair is found exactly once, and a hot key is spread over as many shuffle
-  groups as it has active windows instead of landing in one task.
+* Time buckets two windows wide: every row has a home bucket ``floor(t / 2w)``. The
+  right side is copied to the one neighbour its window reaches as well, and the pairs
+  come from an inner equi-join on ``(key, bucket)`` with the exact interval as
+  residual. Each pair is found exactly once, a hot key is spread over as many shuffle
+  groups as it has active windows, the join spills, and AQE can split a skewed group.
 * Unmatched rows (event-time order, or settled) are found without an anti-join on
-  raw rows: the other side is pre-aggregated to one summary row per
-  ``(key, target bucket)`` holding the last time of the previous bucket and the
-  first time of the own and the next bucket. With bucket width = window, every
-  "is there another-side row in my window (that arrived before me)" question is a
-  comparison against that summary, so a hot key collapses map-side into a few
-  summary rows and the probe is linear. Both probes and the pairs come from one
-  full outer join on the shared ``(key, bucket)`` partitioning (see ``_one_pass``).
+  raw rows: the other side is pre-aggregated map-side to one summary row per
+  ``(key, bucket)`` with the first and last times of the bucket's halves and of the
+  halves next to it. A half is as wide as the window, so every "is there another-side
+  row in my window (that arrived before me)" question is a comparison against that
+  row. The probe is a left outer join with one row to a group, so no side of a group
+  is held in memory. Pairs and probes read the same two exchanges.
 * With an explicit arrival sequence the eager condition is two-dimensional (time
   window and arrival rank), so unmatched rows come from exact left-anti joins on
   ``(key, bucket)`` with the arrival comparison as residual.
@@ -39,7 +38,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyweave.functions.order import arrival_before
@@ -78,7 +77,10 @@ def _prepare(df: DataFrame, side: int, key: str, ts: str, id: str, arrival: str
             t.alias(p + "_t"),
             o1.alias(p + "_o1"),
         )
-        .withColumn(p + "_b", bucket_of(F.col(p + "_t"), width))
+        .withColumn(p + "_b", bucket_of(F.col(p + "_t"), 2 * width))
+        # what an inner join would infer, said for every join: their exchanges stay the same
+        .where(F.col("key" if side == LEFT else "r__key").isNotNull()
+               & F.col(p + "_t").isNotNull() & F.col(p + "_b").isNotNull())
     )
     return out, [p + c for c in cols]
 
@@ -90,11 +92,15 @@ def _sides(left, right, key, ts, id, window_ms, arrival) -> _Sides:
     return _Sides(l, r, lc, rc, w, arrival is not None)
 
 
-def _exploded(df: DataFrame, side: int) -> DataFrame:
-    """Copy each row into the three buckets its window can reach."""
+def _exploded(df: DataFrame, side: int, w: int) -> DataFrame:
+    """Copy each row into its home bucket and the neighbour that its window reaches:
+    the previous one from a bucket's first half, the next from the second."""
     p = PREFIX[side]
-    b = F.col(p + "_b")
-    return df.withColumn(p + "_bt", F.explode(F.array(b - 1, b, b + 1)))
+    b, width = F.col(p + "_b"), max(w, 1)
+    first_half = F.col(p + "_t") - b * F.lit(2 * width) < F.lit(width)
+    return df.withColumn(
+        p + "_bt", F.explode(F.array(b, F.when(first_half, b - 1).otherwise(b + 1)))) \
+        .where(F.col(p + "_bt").isNotNull()).drop(p + "_b")
 
 
 def _in_window(t_probe: Column, t_other: Column, w: int) -> Column:
@@ -161,66 +167,84 @@ def _pair_condition(s: _Sides) -> Column:
 
 
 def _matched(s: _Sides, ts: str, id: str) -> DataFrame:
-    m = s.left.join(_exploded(s.right, RIGHT), _pair_condition(s), "inner")
+    m = s.left.join(_exploded(s.right, RIGHT, s.w), _pair_condition(s), "inner")
     e = _pair_exprs(s, ts, id)
     return m.select("key", *s.left_cols, *s.right_cols,
                     *[e[c].alias(c) for c in _EXPR_COLUMNS])
 
 
-def _summary(other: DataFrame, side: int) -> DataFrame:
-    """Per (key, target bucket): last time in the previous bucket, first time in the
-    own bucket and first time in the next bucket of the ``other`` side."""
+def _summary(other: DataFrame, side: int, emit: str, w: int) -> DataFrame:
+    """Per (key, bucket), times of the ``other`` side by half bucket: the last of the half
+    before, the first and last of the first half, the first of the second half, and (settled
+    only) the first of the half after."""
     p = PREFIX[side]
     key = "key" if side == LEFT else "r__key"
-    t, b = F.col(p + "_t"), F.col(p + "_b")
-    none = F.lit(None).cast("long")
-    x = F.explode(
-        F.array(
-            F.struct((b + 1).alias("b"), t.alias("prev"), none.alias("own"), none.alias("next")),
-            F.struct(b.alias("b"), none.alias("prev"), t.alias("own"), none.alias("next")),
-            F.struct((b - 1).alias("b"), none.alias("prev"), none.alias("own"), t.alias("next")),
-        )
-    ).alias("x")
-    return (
-        other.select(F.col(key).alias("s_key"), x)
-        .groupBy(F.col("s_key"), F.col("x.b").alias("s_b"))
-        .agg(
-            F.max("x.prev").alias("s_prev_max"),
-            F.min("x.own").alias("s_own_min"),
-            F.min("x.next").alias("s_next_min"),
-        )
-    )
+    t, b, width = F.col(p + "_t"), F.col(p + "_b"), max(w, 1)
+    first_half = t - b * F.lit(2 * width) < F.lit(width)
+
+    def to(bucket: Column, part: str | Column) -> Column:
+        return F.struct(bucket.alias("b"), (F.lit(part) if isinstance(part, str) else part)
+                        .alias("part"))
+
+    own = to(b, F.when(first_half, "one").otherwise("two"))
+    around = F.when(~first_half, F.array(own, to(b + 1, "before")))
+    if emit == "settled":
+        around = around.otherwise(F.array(own, to(b - 1, "after")))
+    else:
+        around = around.otherwise(F.array(own))
+    x = other.select(F.col(key).alias("s_key"), t.alias("s_t"), F.explode(around).alias("x"))
+
+    def of(part: str) -> Column:
+        return F.when(F.col("x.part") == part, F.col("s_t"))
+
+    aggs = [F.max(of("before")).alias("s_before"), F.min(of("one")).alias("s_one"),
+            F.max(of("one")).alias("s_one_last"), F.min(of("two")).alias("s_two")]
+    if emit == "settled":
+        aggs.append(F.min(of("after")).alias("s_after"))
+    return x.groupBy("s_key", F.col("x.b").alias("s_b")).agg(*aggs)
 
 
-def _found(side: int, emit: str, t: Column, w: int) -> Column:
-    """Whether a ``side`` row at time ``t`` has a partner that counts, from the other
-    side's summary columns ``s_prev_max, s_own_min, s_next_min`` (null: none)."""
+def _found(side: int, emit: str, t: Column, b: Column, w: int) -> Column:
+    """Whether a ``side`` row at time ``t`` of bucket ``b`` has a partner that counts, from the
+    other side's summary of the bucket (null: none)."""
+    width = max(w, 1)
+    first_half = t - b * F.lit(2 * width) < F.lit(width)
     w = F.lit(w)
-    near_prev = F.col("s_prev_max") >= t - w
+    previous = F.when(first_half, F.col("s_before")).otherwise(F.col("s_one_last"))
+    own = F.when(first_half, F.col("s_one")).otherwise(F.col("s_two"))
+    near = previous >= t - w
     if emit == "settled":
-        found = near_prev | F.col("s_own_min").isNotNull() | (F.col("s_next_min") <= t + w)
+        following = F.when(first_half, F.col("s_two")).otherwise(F.col("s_after"))
+        found = near | own.isNotNull() | (following <= t + w)
     elif side == LEFT:
         # right rows at the same instant arrive after the left row
-        found = near_prev | (F.col("s_own_min") < t)
+        found = near | (own < t)
     else:
-        found = near_prev | (F.col("s_own_min") <= t)
+        found = near | (own <= t)
     return F.coalesce(found, F.lit(False))
 
 
-def _flagged(s: _Sides, side: int, emit: str) -> DataFrame:
-    """The ``side`` rows with ``_un``: true when the join emits the row unmatched.
+def _solos(s: _Sides, side: int, emit: str, rows: DataFrame | None = None) -> DataFrame:
+    """The ``side`` rows that the join emits unmatched, decided from the other side's
+    summary (event-time order, or settled).
 
-    Decided from the other side's bucket summary (event-time order, or settled).
+    ``rows``: the right rows copied to buckets, as the pair join takes them; the probe then
+    reads that join's exchange again and only the home copies count.
     """
     p = PREFIX[side]
-    probe, other_side = (s.left, RIGHT) if side == LEFT else (s.right, LEFT)
-    other = s.right if side == LEFT else s.left
     key = "key" if side == LEFT else "r__key"
-    summ = _summary(other, other_side)
-    joined = probe.join(
-        summ, (F.col(key) == F.col("s_key")) & (F.col(p + "_b") == F.col("s_b")), "left"
-    )
-    return joined.select(*probe.columns, (~_found(side, emit, F.col(p + "_t"), s.w)).alias("_un"))
+    other, other_side = (s.right, RIGHT) if side == LEFT else (s.left, LEFT)
+    t, copies = F.col(p + "_t"), rows is not None
+    probe = rows if copies else (s.left if side == LEFT else s.right)
+    at = p + ("_bt" if copies else "_b")
+    summ = _summary(other, other_side, emit, s.w)
+    joined = probe.join(summ, (F.col(key) == F.col("s_key")) & (F.col(at) == F.col("s_b")), "left")
+    alone = ~_found(side, emit, t, F.col(at), s.w)
+    if copies:
+        # one condition over both sides' columns, so that it stays above the shared exchange
+        home = F.col(at) == bucket_of(t, 2 * max(s.w, 1))
+        alone = F.when(F.coalesce("s_b", at) == F.col(at), home & alone).otherwise(False)
+    return joined.where(alone).select(*probe.columns)
 
 
 def _anti_unmatched(s: _Sides, side: int) -> DataFrame:
@@ -236,14 +260,19 @@ def _anti_unmatched(s: _Sides, side: int) -> DataFrame:
         & _in_window(F.col(p + "_t"), F.col(o + "_t"), s.w)
         & arrival_before(_pos(other_side), _pos(side))
     )
-    return probe.join(_exploded(other, other_side), cond, "left_anti")
+    return probe.join(_exploded(other, other_side, s.w), cond, "left_anti")
 
 
 def _unmatched(s: _Sides, side: int, emit: str, ts: str, id: str) -> DataFrame:
     if emit == "eager" and s.arrival:
         rows = _anti_unmatched(s, side)
     else:
-        rows = _flagged(s, side, emit).where(F.col("_un"))
+        rows = _solos(s, side, emit)
+    return _solo_rows(s, side, rows, ts, id)
+
+
+def _solo_rows(s: _Sides, side: int, rows: DataFrame, ts: str, id: str) -> DataFrame:
+    """Output columns of unmatched rows: the other side's are null."""
     key = "key" if side == LEFT else "r__key"
     other = s.right if side == LEFT else s.left
     null = F.lit(None)
@@ -258,41 +287,14 @@ def _unmatched(s: _Sides, side: int, emit: str, ts: str, id: str) -> DataFrame:
     )
 
 
-def _copies(flag: Column) -> Column:
-    """One copy of every row, and a second (solo) copy of flagged rows."""
-    return F.explode(F.when(flag, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-
-
-def _one_pass(s: _Sides, emit: str, ts: str, id: str) -> DataFrame:
-    """Pairs and both sides' unmatched rows from one full outer join.
-
-    Left rows get their flag from the right side's summary, joined on the left's
-    ``(key, bucket)``. Right rows are copied to the three buckets their window
-    reaches; the left side's summary is joined to the copies on the same
-    ``(key, bucket)`` and the home copy's flag is the row's. A flagged row gets a
-    second copy that is barred from matching, so one full outer join on the
-    shared partitioning gives the pairs (first copies that meet) and the unmatched
-    rows (second copies). Each side is scanned and shuffled once for its rows.
-    """
-    x = _flagged(s, LEFT, emit).withColumn("_copy", _copies(F.col("_un")))
-    r = _exploded(s.right, RIGHT)
-    lsum = _summary(s.left, LEFT)
-    r = r.join(lsum, (F.col("r__key") == F.col("s_key")) & (F.col("r__bt") == F.col("s_b")),
-               "left")
-    run = (F.col("r__bt") == F.col("r__b")) & ~_found(RIGHT, emit, F.col("r__t"), s.w)
-    r = r.select(*s.right.columns, "r__bt", _copies(run).alias("_rcopy"))
-    cond = _pair_condition(s) & (F.col("_copy") == 0) & (F.col("_rcopy") == 0)
-    y = x.join(r, cond, "full_outer")
-    lsolo = F.coalesce(F.col("_copy") == 1, F.lit(False))
-    rsolo = F.coalesce(F.col("_rcopy") == 1, F.lit(False))
-    pair = F.col("key").isNotNull() & F.col("r__key").isNotNull()
-    y = y.where(lsolo | rsolo | pair)
-    pe, le, re_ = _pair_exprs(s, ts, id), _solo_exprs(LEFT, ts, id), _solo_exprs(RIGHT, ts, id)
-    return y.select(
-        F.coalesce(F.col("key"), F.col("r__key")).alias("key"), *s.left_cols, *s.right_cols,
-        *[F.when(lsolo, le[c]).when(rsolo, re_[c]).otherwise(pe[c]).alias(c)
-          for c in _EXPR_COLUMNS],
-    )
+def _parts(s: _Sides, emit: str, ts: str, id: str) -> list[DataFrame]:
+    """Pairs and both sides' unmatched rows, over one exchange of each side's rows."""
+    copies = _exploded(s.right, RIGHT, s.w)
+    m = s.left.join(copies, _pair_condition(s), "inner")
+    e = _pair_exprs(s, ts, id)
+    pairs = m.select("key", *s.left_cols, *s.right_cols, *[e[c].alias(c) for c in _EXPR_COLUMNS])
+    return [pairs, _solo_rows(s, LEFT, _solos(s, LEFT, emit), ts, id),
+            _solo_rows(s, RIGHT, _solos(s, RIGHT, emit, copies), ts, id)]
 
 
 def _check_emit(emit: str) -> None:
@@ -343,5 +345,45 @@ def interval_outer_join(left: DataFrame, right: DataFrame, *, key: str = "key",
         parts = [_matched(s, ts, id), _unmatched(s, LEFT, emit, ts, id),
                  _unmatched(s, RIGHT, emit, ts, id)]
     else:
-        parts = [_one_pass(s, emit, ts, id)]
+        parts = _parts(s, emit, ts, id)
     return _output(parts, s)
+
+
+def latest_rows(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str = "ts",
+                id: str = "id", window_ms: int = 1000, emit: str = "eager") -> DataFrame:
+    """The rows of :func:`interval_outer_join` that can be the last of their entity, when the
+    right side's entity id names a joined row's entity: at most one for an input row.
+
+    Of the rows that a right row takes part in, the last emitted is its pair with the latest
+    left row of its window, or the row alone if there is none. Besides these only left rows
+    emitted alone can win, so a last-write-wins table needs no other pairs. The latest left row
+    comes from a running window over both sides in time order, keyed by ``(key, bucket)``: a
+    right row looks back two windows from the end of its own, and left rows are copied to the
+    bucket they are in and the next. Event-time order only.
+    """
+    _check_emit(emit)
+    s = _sides(left, right, key, ts, id, window_ms, None)
+    width = F.lit(2 * max(s.w, 1))
+    own = F.struct(*s.left_cols, "l__t", "l__o1")
+    b = bucket_of(F.col("l__t"), 2 * max(s.w, 1))
+    lefts = s.left.select("key", F.explode(F.array(b, b + 1)).alias("g"),
+                          F.col("l__t").alias("at"), F.lit(LEFT).alias("side"),
+                          F.col("l_" + id).alias("rank"), own.alias("l"),
+                          F.lit(None).cast(s.right.drop("r__key", "r__b").select(
+                              F.struct("*").alias("r")).schema["r"].dataType).alias("r"))
+    end = F.col("r__t") + F.lit(s.w)
+    rights = s.right.select(
+        F.col("r__key").alias("key"), ((end - F.pmod(end, width)) / width).cast("long").alias("g"),
+        end.alias("at"), F.lit(RIGHT).alias("side"), F.col("r_" + id).alias("rank"),
+        F.lit(None).cast(lefts.schema["l"].dataType).alias("l"),
+        F.struct(*[c for c in s.right.columns if c not in ("r__key", "r__b")]).alias("r"))
+    so_far = Window.partitionBy("key", "g").orderBy("at", "side", "rank").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    w = lefts.union(rights).withColumn("l", F.last("l", ignorenulls=True).over(so_far)) \
+        .where(F.col("side") == RIGHT)
+    near = F.col("l.l__t") >= F.col("r.r__t") - F.lit(s.w)
+    w = w.withColumn("l", F.when(near, F.col("l"))).select("key", "l.*", "r.*")
+    pair, pe, se = F.col("l__t").isNotNull(), _pair_exprs(s, ts, id), _solo_exprs(RIGHT, ts, id)
+    last = w.select("key", *s.left_cols, *s.right_cols, *[
+        F.when(pair, pe[c]).otherwise(se[c]).alias(c) for c in _EXPR_COLUMNS])
+    return _output([last, _solo_rows(s, LEFT, _solos(s, LEFT, emit), ts, id)], s)

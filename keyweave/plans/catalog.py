@@ -9,18 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyweave.operators.flatten import flatten_full_details, floats_as_double
 from keyweave.operators.interval_join import (
     interval_outer_join,
+    latest_rows,
     matched_pairs,
     unmatched_rows,
 )
-from keyweave.operators.table import changelog, last_write_wins, lookup, rekey
+from keyweave.operators.table import changelog, last_write_wins, lookup, lookup_range, rekey
 from keyweave.operators.tap import tap
-from keyweave.schemas import FIELDS, FULL_FIELDS, field_names
+from keyweave.schemas import FULL_FIELDS, field_names
 from keyweave.sources.conform import conform
 from keyweave.sources.events import EMPID_SHIFT, events, raw_stream, stream
 
@@ -38,6 +39,11 @@ NULL_AGE_FROM = 100.0
 # one message key, so one key holds a third of all rows over the whole month.
 HOT_KEY_BELOW = 20.0
 HOT_KEY = "hot"
+# A producer's empId beyond the record's 32 bits; microseconds of delay for each unit of value.
+WIDE_EMPID = 3_000_000_000
+DELAY_MICROS = 100_000_000
+LOOKUP_POINTS = [1, 7, 42, 1_000_000_000]
+LOOKUP_RANGE = (10, 60)
 
 FULL = field_names(FULL_FIELDS)
 
@@ -85,6 +91,22 @@ def tap_personal(spark, sf_dir):
     return floats_as_double(out)
 
 
+def conform_overflow(spark, sf_dir):
+    """Rejects of a producer whose empId is wider than the record's."""
+    wide = F.when(F.col("value") >= NULL_AGE_FROM, F.col("user_id") + F.lit(WIDE_EMPID)).otherwise(
+        F.col("user_id"))
+    raw = raw_stream(_ev(spark, sf_dir), "personal", empid=wide)
+    return floats_as_double(conform(raw, "personal").rejected)
+
+
+def tap_metrics(spark, sf_dir):
+    """What the tap on the personal stream counted when its rows passed."""
+    out, metrics = tap(stream(_ev(spark, sf_dir), "personal"), "tap_metrics")
+    out.write.format("noop").mode("overwrite").save()
+    m = metrics.get
+    return spark.createDataFrame([(m["rows"], m["max_key"])], "rows long, max_key int")
+
+
 # --- joins ---------------------------------------------------------------------
 
 def join_matched(spark, sf_dir):
@@ -138,6 +160,29 @@ def join_hot_key(spark, sf_dir):
         "key", "ts", "l_id", "r_id", "emit_id")
 
 
+def _arrival() -> Column:
+    """Arrival sequence: the event time plus a delay that the data gives (up to hours)."""
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    return t + F.floor(F.col("value") * DELAY_MICROS).cast("long")
+
+
+def _arrival_join(spark, sf_dir) -> DataFrame:
+    p, a = (stream(_ev(spark, sf_dir), k, arrival=_arrival()) for k in ("personal", "address"))
+    return interval_outer_join(p, a, window_ms=WINDOW_MS, arrival="seq")
+
+
+def join_eager_arrival(spark, sf_dir):
+    """The eager join when rows arrive out of event-time order."""
+    return _arrival_join(spark, sf_dir).select("key", "ts", "l_id", "r_id", "emit_id")
+
+
+def emp_table_arrival(spark, sf_dir):
+    """The table of that join."""
+    upd = changelog(flatten_full_details(_arrival_join(spark, sf_dir)))
+    t = last_write_wins(upd, values=[*FULL[1:], "l_id", "r_id"])
+    return floats_as_double(t.withColumnRenamed("key", "empId"))
+
+
 # --- projection ------------------------------------------------------------------
 
 def flatten_join(spark, sf_dir):
@@ -162,8 +207,9 @@ def rekey_emp(spark, sf_dir):
 
 # --- table -------------------------------------------------------------------------
 
-def _table(spark, sf_dir, **kw) -> DataFrame:
-    upd = changelog(_flat(spark, sf_dir, **kw))
+def _table(spark, sf_dir, *, emit="eager", window_ms=WINDOW_MS, **addr) -> DataFrame:
+    p, a = _sides(spark, sf_dir, **addr)
+    upd = changelog(flatten_full_details(latest_rows(p, a, window_ms=window_ms, emit=emit)))
     t = last_write_wins(upd, values=[*FULL[1:], "l_id", "r_id"])
     return t.withColumnRenamed("key", "empId")
 
@@ -196,18 +242,31 @@ def emp_lookup(spark, sf_dir):
     return floats_as_double(lookup(t, veh, key="empId"))
 
 
+def emp_lookup_point(spark, sf_dir):
+    """Point look-ups of a few employees."""
+    return floats_as_double(lookup(_table(spark, sf_dir), LOOKUP_POINTS))
+
+
+def emp_lookup_range(spark, sf_dir):
+    """Range look-up on the table's key."""
+    return floats_as_double(lookup_range(_table(spark, sf_dir), *LOOKUP_RANGE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_personal": _scan("personal"),
     "scan_address": _scan("address"),
     "scan_vehicle": _scan("vehicle"),
     "conform_personal": conform_personal,
     "conform_rejects": conform_rejects,
+    "conform_overflow": conform_overflow,
     "tap_personal": tap_personal,
+    "tap_metrics": tap_metrics,
     "join_matched": join_matched,
     "join_eager_left_unmatched": join_eager_left_unmatched,
     "join_eager_right_unmatched": join_eager_right_unmatched,
     "join_eager": join_eager,
     "join_eager_1s": join_eager_1s,
+    "join_eager_arrival": join_eager_arrival,
     "join_settled": join_settled,
     "join_null_keys": join_null_keys,
     "join_hot_key": join_hot_key,
@@ -219,8 +278,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "emp_table": emp_table,
     "emp_table_settled": emp_table_settled,
     "emp_table_shifted": emp_table_shifted,
+    "emp_table_arrival": emp_table_arrival,
     "emp_lookup": emp_lookup,
+    "emp_lookup_point": emp_lookup_point,
+    "emp_lookup_range": emp_lookup_range,
 }
-
-# record fields per stream, for the scans' column lists in the oracle
-SCAN_FIELDS = {k: field_names(v) for k, v in FIELDS.items()}

@@ -8,27 +8,31 @@ double at the edge, as in the Spark queries.
 
 from __future__ import annotations
 
+from pyspark.sql.types import FloatType
+
 from keyweave.plans.catalog import (
+    DELAY_MICROS,
     HOT_KEY,
     HOT_KEY_BELOW,
+    LOOKUP_POINTS,
+    LOOKUP_RANGE,
     NULL_AGE_FROM,
     NULL_KEY_BELOW,
     REFERENCE_WINDOW_MS,
+    WIDE_EMPID,
     WINDOW_MS,
 )
+from keyweave.schemas import FIELDS, FULL_FIELDS, field_names
 from keyweave.sources.events import EMPID_SHIFT
 
-P_FIELDS = ["empId", "firstName", "lastName", "age", "sex"]
-A_FIELDS = ["empId", "houseName", "streetName", "city", "postcode", "district", "state",
-            "country"]
-FULL = ["empId", "firstName", "lastName", "age", "sex", "houseName", "streetName", "city",
-        "postcode", "district", "state", "country", "vehicleNumber", "vehicleName",
-        "insuranceDetails", "manufacturingYear"]
-FLOATS = {"age", "postcode", "vehicleNumber", "manufacturingYear"}
+P_FIELDS, A_FIELDS, V_FIELDS = (field_names(FIELDS[k]) for k in ("personal", "address", "vehicle"))
+FULL = field_names(FULL_FIELDS)
+FLOATS = {n for n, t, _ in FULL_FIELDS if isinstance(t, FloatType)}
 S = "CAST(NULL AS VARCHAR)"
 
 KEY = "CAST(user_id AS VARCHAR)"
 NULL_KEY = f"CASE WHEN value >= {NULL_KEY_BELOW} THEN CAST(user_id AS VARCHAR) END"
+ARRIVAL = f"epoch_us(ts) + CAST(floor(value * {DELAY_MICROS}) AS BIGINT)"
 HOT = f"CASE WHEN value < {HOT_KEY_BELOW} THEN '{HOT_KEY}' ELSE CAST(user_id AS VARCHAR) END"
 
 
@@ -42,13 +46,13 @@ def _personal(key=KEY, age_null=False) -> str:
     age = "CAST(value AS FLOAT)"
     if age_null:
         age = f"CASE WHEN NOT (value >= {NULL_AGE_FROM}) THEN CAST(value AS FLOAT) END"
-    return (f"SELECT {key} AS key, ts, event_id AS id, epoch_us(ts) AS t, "
+    return (f"SELECT {key} AS key, ts, event_id AS id, epoch_us(ts) AS t, {ARRIVAL} AS seq, "
             f"CAST(user_id AS INTEGER) AS empId, event_type AS firstName, props AS lastName, "
             f"{age} AS age, {S} AS sex FROM events WHERE event_type = 'view'")
 
 
 def _address(key=KEY, shift=0) -> str:
-    return (f"SELECT {key} AS key, ts, event_id AS id, epoch_us(ts) AS t, "
+    return (f"SELECT {key} AS key, ts, event_id AS id, epoch_us(ts) AS t, {ARRIVAL} AS seq, "
             f"CAST(user_id + {shift} AS INTEGER) AS empId, event_type AS houseName, "
             f"props AS streetName, {S} AS city, CAST(value AS FLOAT) AS postcode, "
             f"{S} AS district, {S} AS state, {S} AS country "
@@ -62,40 +66,44 @@ def _vehicle() -> str:
             f"FROM events WHERE event_type = 'click'")
 
 
-def _join_ctes(emit="eager", window_ms=WINDOW_MS, key=KEY, shift=0) -> str:
-    """CTEs p, a (the two sides, keys not null) and j (the outer join rows)."""
+def _join_ctes(emit="eager", window_ms=WINDOW_MS, key=KEY, shift=0, at="t") -> str:
+    """CTEs p, a (the two sides, keys not null) and j (the outer join rows); rows arrive in
+    the order of column ``at``."""
     w = window_ms * 1000
-    lf = "(p.t, 0, p.id) < (a.t, 1, a.id)"
+    lf = f"(p.{at}, 0, p.id) < (a.{at}, 1, a.id)"
     lcols = ", ".join(f"p.{c} AS l_{c}" for c in P_FIELDS)
     rcols = ", ".join(f"a.{c} AS r_{c}" for c in A_FIELDS)
     lnull = ", ".join(f"NULL AS l_{c}" for c in P_FIELDS)
     rnull = ", ".join(f"NULL AS r_{c}" for c in A_FIELDS)
-    early_r = " AND (a.t, 1, a.id) < (p.t, 0, p.id)" if emit == "eager" else ""
-    early_l = " AND (p.t, 0, p.id) < (a.t, 1, a.id)" if emit == "eager" else ""
+    early_r = f" AND (a.{at}, 1, a.id) < (p.{at}, 0, p.id)" if emit == "eager" else ""
+    early_l = f" AND (p.{at}, 0, p.id) < (a.{at}, 1, a.id)" if emit == "eager" else ""
     return f"""
 p AS (SELECT * FROM ({_personal(key)}) WHERE key IS NOT NULL),
 a AS (SELECT * FROM ({_address(key, shift)}) WHERE key IS NOT NULL),
 m AS (
   SELECT p.key, greatest(p.ts, a.ts) AS ts, p.id AS l_id, a.id AS r_id, p.ts AS l_ts,
          a.ts AS r_ts, {lcols}, {rcols},
-         CASE WHEN {lf} THEN a.t ELSE p.t END AS emit_t,
+         CASE WHEN {lf} THEN a.{at} ELSE p.{at} END AS emit_t,
          CASE WHEN {lf} THEN 1 ELSE 0 END AS emit_side,
          CASE WHEN {lf} THEN a.id ELSE p.id END AS emit_id,
          CASE WHEN {lf} THEN p.t ELSE a.t END AS peer_t,
+         CASE WHEN {lf} THEN p.{at} ELSE a.{at} END AS peer_o,
          CASE WHEN {lf} THEN p.id ELSE a.id END AS peer_id
   FROM p JOIN a ON p.key = a.key AND abs(p.t - a.t) <= {w}),
 lu AS (
   SELECT p.key, p.ts, p.id AS l_id, CAST(NULL AS BIGINT) AS r_id, p.ts AS l_ts,
          CAST(NULL AS TIMESTAMP) AS r_ts, {lcols}, {rnull},
-         p.t AS emit_t, 0 AS emit_side, p.id AS emit_id,
-         CAST(NULL AS BIGINT) AS peer_t, CAST(NULL AS BIGINT) AS peer_id
+         p.{at} AS emit_t, 0 AS emit_side, p.id AS emit_id,
+         CAST(NULL AS BIGINT) AS peer_t, CAST(NULL AS BIGINT) AS peer_o,
+         CAST(NULL AS BIGINT) AS peer_id
   FROM p WHERE NOT EXISTS (
     SELECT 1 FROM a WHERE a.key = p.key AND abs(a.t - p.t) <= {w}{early_r})),
 ru AS (
   SELECT a.key, a.ts, CAST(NULL AS BIGINT) AS l_id, a.id AS r_id,
          CAST(NULL AS TIMESTAMP) AS l_ts, a.ts AS r_ts, {lnull}, {rcols},
-         a.t AS emit_t, 1 AS emit_side, a.id AS emit_id,
-         CAST(NULL AS BIGINT) AS peer_t, CAST(NULL AS BIGINT) AS peer_id
+         a.{at} AS emit_t, 1 AS emit_side, a.id AS emit_id,
+         CAST(NULL AS BIGINT) AS peer_t, CAST(NULL AS BIGINT) AS peer_o,
+         CAST(NULL AS BIGINT) AS peer_id
   FROM a WHERE NOT EXISTS (
     SELECT 1 FROM p WHERE p.key = a.key AND abs(p.t - a.t) <= {w}{early_l})),
 j AS (SELECT * FROM m UNION ALL SELECT * FROM lu UNION ALL SELECT * FROM ru)"""
@@ -116,7 +124,7 @@ def _flat_cte() -> str:
         if c in FLOATS:
             v = f"COALESCE({v}, CAST(0 AS FLOAT))"
         cols.append(f"{v} AS {c}")
-    return (",\nf AS (SELECT key, ts, l_id, r_id, emit_t, emit_side, emit_id, peer_t, peer_id, "
+    return (",\nf AS (SELECT key, ts, l_id, r_id, emit_t, emit_side, emit_id, peer_t, peer_o, peer_id, "
             + ", ".join(cols) + " FROM j)")
 
 
@@ -128,15 +136,15 @@ def _full_select(prefix: list[str], suffix: list[str]) -> str:
     return ", ".join([*prefix, *[_d(c) for c in FULL], *suffix])
 
 
-def _table_sql(emit="eager", shift=0) -> str:
+def _table_sql(emit="eager", shift=0, at="t", where="") -> str:
     cols = ", ".join(_d(c) for c in FULL)
-    return _with(_join_ctes(emit=emit, shift=shift), _flat_cte()) + f"""
+    return _with(_join_ctes(emit=emit, shift=shift, at=at), _flat_cte()) + f"""
 SELECT {cols}, l_id, r_id FROM (
   SELECT *, row_number() OVER (
     PARTITION BY empId
     ORDER BY emit_t DESC, emit_side DESC, emit_id DESC, peer_t DESC NULLS LAST,
-             peer_id DESC NULLS LAST) AS rn
-  FROM f) WHERE rn = 1"""
+             peer_o DESC NULLS LAST, peer_id DESC NULLS LAST) AS rn
+  FROM f) WHERE rn = 1{where}"""
 
 
 def _scan_sql(src: str, fields: list[str]) -> str:
@@ -144,21 +152,33 @@ def _scan_sql(src: str, fields: list[str]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    veh_fields = ["empId", "vehicleNumber", "vehicleName", "insuranceDetails",
-                  "manufacturingYear"]
     conform_src = _personal(age_null=True)
     q: dict[str, str] = {
         "scan_personal": _scan_sql(_personal(), P_FIELDS),
         "scan_address": _scan_sql(_address(), A_FIELDS),
-        "scan_vehicle": _scan_sql(_vehicle(), veh_fields),
+        "scan_vehicle": _scan_sql(_vehicle(), V_FIELDS),
         "conform_personal": _scan_sql(conform_src, P_FIELDS) + " WHERE age IS NOT NULL",
         "conform_rejects": f"SELECT key, ts, id, {', '.join(_d(c) for c in P_FIELDS)}, "
                            f"'age' AS reason FROM ({conform_src}) WHERE age IS NULL",
+        "conform_overflow":
+            f"SELECT key, ts, id, {', '.join(_d(c) for c in P_FIELDS)}, "
+            f"'overflow:empId' AS reason FROM ("
+            f"SELECT * REPLACE (CAST(NULL AS INTEGER) AS empId) FROM ({_personal()}) x "
+            f"JOIN (SELECT event_id, value, user_id FROM events) e ON e.event_id = x.id "
+            f"WHERE value >= {NULL_AGE_FROM} AND user_id + {WIDE_EMPID} > 2147483647)",
+        "tap_metrics": f"SELECT count(*) AS rows, max(empId) AS max_key FROM ({_personal()})",
         "tap_personal": _scan_sql(_personal(), P_FIELDS),
         "join_matched": _with(_join_ctes()) + "\nSELECT key, ts, l_id, r_id, l_ts, r_ts FROM m",
         "join_eager_left_unmatched": _with(_join_ctes()) + "\nSELECT key, ts, l_id FROM lu",
         "join_eager_right_unmatched": _with(_join_ctes()) + "\nSELECT key, ts, r_id FROM ru",
         "join_eager": _with(_join_ctes()) + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
+        "join_eager_arrival": _with(_join_ctes(at="seq"))
+        + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
+        "emp_table_arrival": _table_sql(at="seq"),
+        "emp_lookup_point": _table_sql(
+            where=f" AND empId IN ({', '.join(map(str, LOOKUP_POINTS))})"),
+        "emp_lookup_range": _table_sql(
+            where=f" AND empId BETWEEN {LOOKUP_RANGE[0]} AND {LOOKUP_RANGE[1]}"),
         "join_eager_1s": _with(_join_ctes(window_ms=REFERENCE_WINDOW_MS))
         + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
         "join_settled": _with(_join_ctes(emit="settled")) + "\nSELECT key, ts, l_id, r_id FROM j",

@@ -46,12 +46,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session; a folder of our own is set
-    only when it is unset (local tests), never over a cluster's setting.
+    ``spark.checkpoint.dir`` is read from the session. On a local master a temporary
+    folder is set where it is unset (tests); elsewhere that raises, since a folder of
+    the driver's machine is lost to the executors and to a restart.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() or None
+    master = spark.sparkContext.master
+    if not d and not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="keyweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)

@@ -38,12 +38,14 @@ def _value(kind: str, cols: dict[str, Column]) -> Column:
 
 
 def raw_stream(ev: DataFrame, kind: str, *, key: Column | None = None,
-               empid_shift: int = 0, null_when: dict[str, Column] | None = None) -> DataFrame:
+               empid_shift: int = 0, null_when: dict[str, Column] | None = None,
+               empid: Column | None = None, arrival: Column | None = None) -> DataFrame:
     """Envelope + ``value`` struct for one stream kind.
 
     ``key`` overrides the message key; ``empid_shift`` is added to empId;
     ``null_when`` maps a field to a condition under which that field is null
-    (fault injection for the reject path).
+    (fault injection for the reject path). ``empid`` replaces empId before it is conformed,
+    as a producer with a wider type would send it; ``arrival`` adds the arrival sequence ``seq``.
     """
     uid = F.col("user_id")
     emp = (uid + F.lit(empid_shift)).cast("int")
@@ -60,9 +62,12 @@ def raw_stream(ev: DataFrame, kind: str, *, key: Column | None = None,
     for name, cond in (null_when or {}).items():
         fields[name] = F.when(~cond, fields[name])
     k = key if key is not None else uid.cast("string")
+    value = _value(kind, fields)
+    if empid is not None:
+        value = value.withField("empId", empid)
     return ev.where(F.col("event_type") == EVENT_TYPES[kind]).select(
-        k.alias("key"), F.col("ts"), F.col("event_id").alias("id"), _value(kind, fields).alias("value")
-    )
+        k.alias("key"), F.col("ts"), F.col("event_id").alias("id"),
+        *([] if arrival is None else [arrival.alias("seq")]), value.alias("value"))
 
 
 def stream(ev: DataFrame, kind: str, **kw) -> DataFrame:

@@ -1,8 +1,8 @@
 """File sources and sinks for the three streams (the test twin of the topics).
 
 Rows are stored flat or as envelope + ``value`` struct, in parquet or JSON. The
-schema is always given, never inferred; stream reads take one file per trigger
-so that a replay follows file order.
+schema is always given, never inferred; ``max_files_per_trigger=1`` makes a replay follow
+file order.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ def raw_schema(kind: str, ts_type: T.DataType = T.TimestampType()) -> T.StructTy
 
 
 def read_raw(spark: SparkSession, path: str, kind: str, *, streaming: bool = False,
-             fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
+             fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     schema = raw_schema(kind)
     if streaming:
-        return (spark.readStream.schema(schema).format(fmt)
-                .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+        reader = spark.readStream.schema(schema).format(fmt)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.load(path)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
@@ -43,7 +45,7 @@ def write_replay(raw: DataFrame, path: str, slices: int, *, bounds: tuple[int, i
 
     Folder ``part-<i>`` holds the i-th equal-width time slice of ``bounds`` (use the
     same bounds for every stream of a replay so one trigger covers the same time
-    span on each). The slicing runs in Spark; no rows pass through the driver.
+    span on each). Rows without an event time or outside the bounds have no slice: they raise. The slicing runs in Spark; no rows pass through the driver.
 
     Test and bench tooling: each slice is one file, because the file source orders
     files by modification time and one file per trigger keeps a micro-batch equal
@@ -56,6 +58,9 @@ def write_replay(raw: DataFrame, path: str, slices: int, *, bounds: tuple[int, i
     width = max((hi - lo) // slices + 1, 1)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     sliced = raw.withColumn("_slice", ((t - F.lit(lo)) / F.lit(width)).cast("int"))
+    lost = raw.where(t.isNull() | (t < lo) | (t > hi)).count()
+    if lost:
+        raise ValueError(f"{lost} rows have no event time within the bounds")
     out = []
     for i in range(slices):
         p = f"{path.rstrip('/')}/part-{i:04d}"

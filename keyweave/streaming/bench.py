@@ -37,7 +37,8 @@ def write_event_replay(spark: SparkSession, sf_dir: str, base: str, slices: int)
 
 
 def replay_stream(spark: SparkSession, base: str, kind: str):
-    return conform(read_raw(spark, f"{base}/{kind}/part-*", kind, streaming=True), kind).ok
+    return conform(read_raw(spark, f"{base}/{kind}/part-*", kind, streaming=True,
+                            max_files_per_trigger=1), kind).ok
 
 
 def streaming_rates(spark: SparkSession, sf_dir: str, *, slices: int = 4,

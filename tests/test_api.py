@@ -61,7 +61,8 @@ def test_tap_passes_rows_and_counts(spark, mk):
 def test_tap_stream_reports_metrics(spark, mk):
     d = _folder(spark)
     mk("personal", [("a", 10000, 1, P(7)), ("b", 10001, 2, P(3))]).write.parquet(f"{d}/in")
-    s = conform(read_raw(spark, f"{d}/in", "personal", streaming=True), "personal").ok
+    s = conform(read_raw(spark, f"{d}/in", "personal", streaming=True,
+                        max_files_per_trigger=1), "personal").ok
     q = (tap_stream(s, "tap_personal").writeStream.format("noop")
          .option("checkpointLocation", f"{d}/ck").start())
     q.processAllAvailable()

@@ -37,7 +37,8 @@ def write_batches(mk, folder: str, kind: str, batches: list[list]) -> None:
 
 
 def src(spark, folder: str, kind: str):
-    return conform(read_raw(spark, f"{folder}/{kind}/part-*", kind, streaming=True), kind).ok
+    return conform(read_raw(spark, f"{folder}/{kind}/part-*", kind, streaming=True,
+                            max_files_per_trigger=1), kind).ok
 
 
 def run_to_end(df, folder: str, name: str) -> None:
