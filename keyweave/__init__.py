@@ -28,4 +28,4 @@ __all__ = [
 ]
 # Streaming: keyweave.streaming.topology.start_employee_table (and joined_stream,
 # table_updates), keyweave.streaming.join.eager_join_stream / settled_join_stream,
-# keyweave.streaming.table.read_table / compact_table / read_state_table.
+# keyweave.streaming.table.read_table / write_snapshot / read_state_table.

@@ -40,8 +40,9 @@ def _flat(df: DataFrame, kind: str, value: str) -> DataFrame:
         reasons.append(F.col(ERROR))
     for n, t, _ in fields:
         v = F.col(f"{value}.{n}")
-        unfit = v.isNotNull() & v.try_cast(t).isNull()
-        reasons.append(F.when(F.col(value).isNotNull() & unfit, F.lit(f"overflow:{n}")))
+        if df.schema[value].dataType[n].dataType != t:
+            unfit = v.isNotNull() & v.try_cast(t).isNull()
+            reasons.append(F.when(F.col(value).isNotNull() & unfit, F.lit(f"overflow:{n}")))
         if n in required:
             reasons.append(F.when(F.col(value).isNotNull() & v.isNull(), F.lit(n)))
     return df.where(present).select(

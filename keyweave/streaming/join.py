@@ -1,24 +1,29 @@
 """Streaming interval outer join, eager and settled.
 
 Both produce the same columns as the batch ``interval_outer_join`` so the flatten
-and table operators apply unchanged.
-
-* ``settled``: the same processor emits pairs at once and a row with no partner
-  once the watermark has closed its group; or (``method="native"``) Spark's
-  stream-stream full outer join with watermarks on both sides.
-* ``eager``: the two sides are tagged and unioned, grouped by message key and fed
-  to :class:`IntervalJoinProcessor`, which keeps one window buffer per side in
-  keyed list state. Each arriving row (in ``(o1, side, id)`` order within a
-  micro-batch) joins the buffered rows of the other side in its window, or is
-  emitted alone at once. Buffers are cut by event-time timers once the watermark
-  (max event time minus the grace period) has passed ``ts + window``; rows older
-  than the watermark are late and dropped. Keyed state is touched once per key and
-  micro-batch (one list read, one write, a timer only when the key's latest time
-  grows), since every state call is a round trip to the executor's state store.
+and table operators apply unchanged. State is keyed by ``(message key, time bucket)``
+with buckets two windows wide, so a hot key spreads over its active buckets.
+
+* ``settled``: Spark's stream-stream joins. A left outer join of the left rows (in
+  their home bucket) with the right rows (copied to the neighbour their window
+  reaches) gives the pairs and, once the watermark has passed, the left rows alone;
+  the same join the other way round gives the right rows alone. ``method="processor"``
+  does it in :class:`IntervalJoinProcessor` instead.
+* ``eager``: Spark has no join that emits a row alone at its arrival. The two sides
+  are tagged and unioned, grouped and fed to :class:`IntervalJoinProcessor`, which
+  keeps a group's rows in keyed list state. Each arriving row (in ``(o1, side, id)``
+  order within a micro-batch) joins the stored rows of the other side in its window,
+  or is emitted alone at once. Groups are dropped whole by event-time timers once the
+  watermark (max event time minus the grace period) has passed them.
+
+Rows behind the watermark are dropped and counted: those that Spark drops in
+``numRowsDroppedByWatermark`` of the query's progress, those that the processor drops
+in the observed metric ``late_rows``.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -95,6 +100,17 @@ def tagged_union(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str
     return tag(left, LEFT).select(cols).unionByName(tag(right, RIGHT).select(cols))
 
 
+LATE = -1  # emit_side of a dropped row's marker
+
+
+def _time(entry: tuple) -> tuple:
+    return entry[:1]
+
+
+def _place(entry: tuple) -> tuple:
+    return entry[:3]
+
+
 class IntervalJoinProcessor(StatefulProcessor):
     """Record-at-a-time outer join for one ``(message key, time bucket)``, eager
     (unmatched rows at arrival) or settled (unmatched rows when the group closes).
@@ -122,13 +138,25 @@ class IntervalJoinProcessor(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buffer", self.state_schema)
 
-    def _load(self) -> dict[int, list[dict]]:
-        bufs: dict[int, list[dict]] = {LEFT: [], RIGHT: []}
+    def _load(self) -> dict[int, list[tuple]]:
+        """The stored rows by side, as (t, o1, id, row) in that order."""
+        bufs: dict[int, list[tuple]] = {LEFT: [], RIGHT: []}
         for tup in self.buf.get():
             r = dict(zip(self.cols, tup))
-            bufs[r["side"]].append(r)
+            bufs[r["side"]].append(self._entry(r))
+        for rows in bufs.values():
+            rows.sort(key=_place)
         return bufs
 
+    @staticmethod
+    def _entry(r: dict) -> tuple:
+        return (r["t"], r["o1"], r["aid"], r)
+
+    def _near(self, rows: list[tuple], t: int) -> range:
+        """Indices of the entries in the window of ``t``."""
+        return range(bisect_left(rows, (t - self.w,), key=_time),
+                     bisect_right(rows, (t + self.w,), key=_time))
+
     def _row(self, key, lrec: dict | None, rrec: dict | None, emit: dict,
              peer: dict | None) -> dict:
         out = {"key": key}
@@ -148,12 +176,18 @@ class IntervalJoinProcessor(StatefulProcessor):
                         timerValues: TimerValues) -> Iterator[Row]:
         k, g = key
         horizon = self._horizon(g)
-        wm_ms = timerValues.getCurrentWatermarkInMs()
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
         batch = [r.asDict() for r in rows]
-        if wm_ms > 0:
-            if wm_ms * 1000 >= horizon:
-                return  # the group is closed: nothing arriving now can match here
-            batch = [r for r in batch if r["t"] >= wm_ms * 1000]  # behind the grace period
+        if wm > 0:
+            # behind the grace period, or in a closed group: nothing can match any more
+            late = [r for r in batch if wm >= horizon or r["t"] < wm]
+            for r in late:
+                if r["home"]:
+                    yield self._late(k, r)
+            if wm >= horizon:
+                return
+            if late:
+                batch = [r for r in batch if r["t"] >= wm]
         if not batch:
             return
         batch.sort(key=lambda r: (r["o1"], r["side"], r["aid"]))
@@ -161,25 +195,31 @@ class IntervalJoinProcessor(StatefulProcessor):
         bufs = self._load() if any(r["home"] for r in batch) else None
         fresh = (not bufs[LEFT] and not bufs[RIGHT]) if bufs is not None \
             else not self.buf.exists()
-        out = []
         for rec in batch:
             side = rec["side"]
             if rec["home"]:
-                other = [o for o in bufs[1 - side] if abs(o["t"] - rec["t"]) <= self.w]
-                other.sort(key=lambda o: (o["t"], o["o1"], o["aid"]))
-                if not other and not self.settled:
-                    out.append(self._row(k, rec if side == LEFT else None,
-                                         rec if side == RIGHT else None, rec, None))
-                for o in other:
-                    lrec, rrec = (rec, o) if side == LEFT else (o, rec)
-                    out.append(self._row(k, lrec, rrec, rec, o))
+                other = bufs[1 - side]
+                near = self._near(other, rec["t"])
+                if not near and not self.settled:
+                    yield self._out(k, rec, None)
+                for i in near:
+                    yield self._out(k, rec, other[i][3])
             if bufs is not None:
-                bufs[side].append(rec)
+                insort(bufs[side], self._entry(rec), key=_place)
         self.buf.appendList([tuple(r[c] for c in self.cols) for r in batch])
         if fresh:
             self.handle.registerTimer(horizon // 1000 + 1)
-        for o in out:
-            yield Row(**{c: o[c] for c in self.out_cols})
+
+    def _out(self, key, rec: dict, peer: dict | None) -> Row:
+        lrec, rrec = (rec, peer) if rec["side"] == LEFT else (peer, rec)
+        o = self._row(key, lrec, rrec, rec, peer)
+        return Row(**{c: o[c] for c in self.out_cols})
+
+    def _late(self, key, rec: dict) -> Row:
+        """Stands for a dropped row until it is counted."""
+        o = dict.fromkeys(self.out_cols)
+        o.update(key=key, emit_side=LATE, emit_o1=rec["o1"], emit_id=rec["aid"])
+        return Row(**o)
 
     def _horizon(self, g: int) -> int:
         """Event time after which the group is closed.
@@ -196,12 +236,9 @@ class IntervalJoinProcessor(StatefulProcessor):
             # home rows with no partner at all leave now, once
             bufs = self._load()
             for side in (LEFT, RIGHT):
-                for rec in sorted(bufs[side], key=lambda r: (r["o1"], r["aid"])):
-                    if rec["home"] and not any(abs(o["t"] - rec["t"]) <= self.w
-                                               for o in bufs[1 - side]):
-                        o = self._row(key[0], rec if side == LEFT else None,
-                                      rec if side == RIGHT else None, rec, None)
-                        yield Row(**{c: o[c] for c in self.out_cols})
+                for *_, rec in sorted(bufs[side], key=lambda e: (e[1], e[2])):
+                    if rec["home"] and not self._near(bufs[1 - side], rec["t"]):
+                        yield self._out(key[0], rec, None)
         self.buf.clear()
 
     def close(self) -> None:
@@ -247,6 +284,8 @@ def _bucketed_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int,
     j = u.groupBy("key", "g").transformWithState(
         statefulProcessor=proc, outputStructType=py_schema, outputMode="Append",
         timeMode="EventTime")
+    j = j.observe("late_rows", F.count_if(F.col("emit_side") == LATE).alias("late_rows")) \
+        .where(F.col("emit_side") != LATE)
     return j.select(*[
         F.timestamp_micros(F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
@@ -256,51 +295,67 @@ def _bucketed_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int,
 def eager_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1000,
                       grace: str = DEFAULT_GRACE, key: str = "key", ts: str = "ts",
                       id: str = "id", arrival: str | None = None) -> DataFrame:
-    """Streaming eager outer join; ``ts`` must be a ``timestamp`` column."""
+    """Streaming eager outer join; ``ts`` must be a ``timestamp`` column.
+
+    Sets the session's state store to RocksDB where it has the default provider, which keyed
+    state cannot use; that holds for the session's later queries too.
+    """
     return _bucketed_join_stream(left, right, window_ms=window_ms, grace=grace, key=key,
                                  ts=ts, id=id, arrival=arrival, emit="eager")
 
 
 def settled_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1000,
                         grace: str = DEFAULT_GRACE, key: str = "key", ts: str = "ts",
-                        id: str = "id", method: str = "bucketed") -> DataFrame:
+                        id: str = "id", method: str = "native") -> DataFrame:
     """Streaming settled outer join: pairs at once, unmatched rows once no partner
     can arrive any more.
 
-    ``method="bucketed"`` (default): the ``(key, bucket)`` processor, which spreads a
-    hot key over its time buckets. ``method="native"``: Spark's stream-stream full
-    outer join, whose state is keyed by the message key alone.
+    ``method="native"`` (default): Spark's stream-stream joins on ``(key, bucket)``.
+    ``method="processor"``: :class:`IntervalJoinProcessor` (which also sets the session's
+    state store, see :func:`eager_join_stream`).
     """
-    if method == "bucketed":
+    if method == "processor":
         return _bucketed_join_stream(left, right, window_ms=window_ms, grace=grace, key=key,
                                      ts=ts, id=id, arrival=None, emit="settled")
     if method != "native":
-        raise ValueError("method must be 'bucketed' or 'native'")
+        raise ValueError("method must be 'native' or 'processor'")
     w = window_micros(window_ms)
-    lf, rf = _side_columns(left, LEFT, key), _side_columns(right, RIGHT, key)
-    lw = left.where(F.col(key).isNotNull()).withWatermark(ts, grace).select(
-        F.col(key).alias("l__key"), *[F.col(f.name[2:]).alias(f.name) for f in lf],
-        epoch_micros(left, ts).alias("l__t"))
-    rw = right.where(F.col(key).isNotNull()).withWatermark(ts, grace).select(
-        F.col(key).alias("r__key"), *[F.col(f.name[2:]).alias(f.name) for f in rf],
-        epoch_micros(right, ts).alias("r__t"))
+    width = 2 * max(w, 1)
+    fields = {LEFT: _side_columns(left, LEFT, key), RIGHT: _side_columns(right, RIGHT, key)}
+
+    def rows(side: int, copied: bool) -> DataFrame:
+        """One side with its home bucket, or with the neighbour its window reaches as well."""
+        df, p = (left, PREFIX[side]) if side == LEFT else (right, PREFIX[side])
+        t = epoch_micros(df, ts)
+        b = bucket_of(t, width)
+        g = b if not copied else F.explode(F.array(
+            b, F.when(t - b * F.lit(width) < F.lit(max(w, 1)), b - 1).otherwise(b + 1)))
+        return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, grace)
+                .select(F.col(key).alias(p + "_key"),
+                        *[F.col(f.name[2:]).alias(f.name) for f in fields[side]],
+                        t.alias(p + "_t"), g.alias(p + "_g")))
+
     interval = F.expr(f"INTERVAL {w} MICROSECONDS")
-    cond = ((F.col("l__key") == F.col("r__key"))
-            & (F.col("r_" + ts) >= F.col("l_" + ts) - interval)
-            & (F.col("r_" + ts) <= F.col("l_" + ts) + interval))
-    j = lw.join(rw, cond, "full_outer")
-    lp, rp = F.col("l__key").isNotNull(), F.col("r__key").isNotNull()
-    lf_first = lp & (~rp | (F.col("l__t") <= F.col("r__t")))
-    emit_left = lp & ~(rp & (F.col("l__t") <= F.col("r__t")))
+
+    def joined(side: int) -> DataFrame:
+        """All rows of ``side`` with their partners of the other side, if any."""
+        p, o = PREFIX[side], PREFIX[1 - side]
+        cond = ((F.col(p + "_key") == F.col(o + "_key")) & (F.col(p + "_g") == F.col(o + "_g"))
+                & (F.col(o + ts) >= F.col(p + ts) - interval)
+                & (F.col(o + ts) <= F.col(p + ts) + interval))
+        return rows(side, False).join(rows(1 - side, True), cond, "left_outer")
+
+    lf_first = F.col("r__key").isNull() | (F.col("l__t") <= F.col("r__t"))
+    emit_left = F.col("r__key").isNull() | (F.col("l__t") > F.col("r__t"))
+    both = F.col("r__key").isNotNull()
 
     def pick(when_left: Column, lc: str, rc: str) -> Column:
         return F.when(when_left, F.col(lc)).otherwise(F.col(rc))
 
-    both = lp & rp
-    return j.select(
-        F.coalesce("l__key", "r__key").alias("key"),
-        F.greatest(F.col("l_" + ts), F.col("r_" + ts)).alias("ts"),
-        *[F.col(f.name) for f in lf], *[F.col(f.name) for f in rf],
+    cols = [F.col(f.name) for side in (LEFT, RIGHT) for f in fields[side]]
+    lefts = joined(LEFT).select(
+        F.col("l__key").alias("key"),
+        F.greatest(F.col("l_" + ts), F.col("r_" + ts)).alias("ts"), *cols,
         pick(emit_left, "l__t", "r__t").alias("emit_o1"),
         F.when(emit_left, F.lit(LEFT)).otherwise(F.lit(RIGHT)).alias("emit_side"),
         pick(emit_left, "l_" + id, "r_" + id).alias("emit_id"),
@@ -308,4 +363,10 @@ def settled_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1
         F.when(both, pick(lf_first, "l__t", "r__t")).alias("peer_o1"),
         F.when(both, pick(lf_first, "l_" + id, "r_" + id)).alias("peer_id"),
     )
-
+    none = F.lit(None).cast("long")
+    rights = joined(RIGHT).where(F.col("l__key").isNull()).select(
+        F.col("r__key").alias("key"), F.col("r_" + ts).alias("ts"), *cols,
+        F.col("r__t").alias("emit_o1"), F.lit(RIGHT).alias("emit_side"),
+        F.col("r_" + id).alias("emit_id"), none.alias("peer_t"), none.alias("peer_o1"),
+        none.alias("peer_id"))
+    return lefts.union(rights)

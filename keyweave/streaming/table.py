@@ -5,10 +5,11 @@
   latest of the batch in emission order, like a record cache that collapses
   updates. The live state can be read with ``spark.read.format("statestore")``.
 * :class:`TableSink` is a ``foreachBatch`` writer: each micro-batch writes only its
-  own latest-per-key rows under ``updates/batch=<id>`` (a retried batch overwrites
-  its own folder, so the sink is idempotent). :func:`read_table` folds all
-  batches with ``max_by`` over ``(batch, emission order)``; :func:`compact_table`
-  writes that fold as a snapshot ``base-<n>`` so reads stay short.
+  own latest-per-key rows under ``batch=<id>`` of a plain partitioned parquet folder (a
+  retried batch overwrites its own folder, so the sink is idempotent). Nothing is ever
+  removed from it. :func:`read_table` folds it with ``max_by`` over ``(batch, emission
+  order)``; :func:`write_snapshot` writes that fold to a new path, from which later reads
+  start, so that they read only the batches since. Old batches can go by retention.
 """
 
 from __future__ import annotations
@@ -50,7 +51,11 @@ class LastWriteWinsProcessor(StatefulProcessor):
 
 def lww_stream(updates: DataFrame, *, key: str = "key",
                order: list[str] = ORDER_COLUMNS) -> DataFrame:
-    """Stream of table updates (latest per key per micro-batch) from a changelog."""
+    """Stream of table updates (latest per key per micro-batch) from a changelog.
+
+    All updates of a key go to one task; the sink's fold has no such limit. Sets the session's
+    state store to RocksDB where it has the default provider.
+    """
     from keyweave.streaming.join import ensure_rocksdb_state
 
     ensure_rocksdb_state(updates.sparkSession)
@@ -61,7 +66,7 @@ def lww_stream(updates: DataFrame, *, key: str = "key",
 
 
 class TableSink:
-    """``foreachBatch`` writer for the log-structured table (see module doc)."""
+    """``foreachBatch`` writer of the update log (see module doc)."""
 
     def __init__(self, path: str, *, key: str = "key", order: list[str] = ORDER_COLUMNS):
         self.path = path.rstrip("/")
@@ -72,95 +77,46 @@ class TableSink:
         # keep the order columns for the fold across batches
         latest = last_write_wins(batch, key=self.key, order=self.order, keep_order=True)
         (latest.write.mode("overwrite")
-         .parquet(f"{self.path}/updates/batch={int(batch_id)}"))
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
+         .parquet(f"{self.path}/batch={int(batch_id)}"))
 
-def _bases(spark: SparkSession, path: str) -> list[int]:
-    """Batch numbers of the finished compacted snapshots ``base-<n>``."""
-    fs, root, _ = _fs(spark, path)
-    if not fs.exists(root):
-        return []
-    return sorted(int(n[5:]) for n in (st.getPath().getName() for st in fs.listStatus(root))
-                  if n.startswith("base-") and n[5:].isdigit())
 
-
-def _log(spark: SparkSession, path: str) -> DataFrame | None:
-    """All rows that define the table: the newest snapshot and every update folder.
-
-    Both carry ``batch`` (the snapshot keeps each row's own batch), so folding
-    them together is correct whether or not the folded update folders have been
-    removed yet.
-    """
-    root = path.rstrip("/")
-    parts = []
-    fs, _, jvm = _fs(spark, root)
-    upd = jvm.org.apache.hadoop.fs.Path(f"{root}/updates")
-    if fs.exists(upd) and any(st.getPath().getName().startswith("batch=")
-                              for st in fs.listStatus(upd)):
-        parts.append(spark.read.option("basePath", f"{root}/updates").parquet(f"{root}/updates"))
-    bases = _bases(spark, root)
-    if bases:
-        parts.append(spark.read.parquet(f"{root}/base-{bases[-1]}"))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p.select(out.columns))
-    return out
+def _log(spark: SparkSession, path: str, snapshot: str | None) -> DataFrame:
+    """All rows that define the table, each with the ``batch`` it came in."""
+    updates = spark.read.parquet(path.rstrip("/"))
+    if snapshot is None:
+        return updates
+    base = spark.read.parquet(snapshot)
+    upto = base.agg(F.max("upto_batch")).first()[0]
+    if upto is None:
+        return updates
+    # a pruned read: folders of the snapshot's batches are not opened
+    return updates.where(F.col("batch") > upto).unionByName(base.select(updates.columns))
 
 
 def read_table(spark: SparkSession, path: str, *, key: str = "key",
-               order: list[str] = ORDER_COLUMNS) -> DataFrame:
-    """Current table: the latest update per key over all micro-batches."""
-    u = _log(spark, path)
-    if u is None:
-        raise FileNotFoundError(f"no table at {path}")
+               order: list[str] = ORDER_COLUMNS, snapshot: str | None = None) -> DataFrame:
+    """Current table: the latest update per key over all micro-batches, or over those since
+    ``snapshot`` and the snapshot."""
+    u = _log(spark, path, snapshot)
     values = [c for c in u.columns if c not in (key, "batch")]
     return last_write_wins(u, key=key, order=["batch", *order],
                            values=values).drop(*[c for c in order if c in values])
 
 
-def compact_table(spark: SparkSession, path: str, upto_batch: int, *, key: str = "key",
-                  order: list[str] = ORDER_COLUMNS) -> None:
-    """Fold the newest snapshot and the update folders ``batch <= upto_batch`` into a
-    new snapshot ``base-<upto_batch>``, then remove what it replaces.
+def write_snapshot(spark: SparkSession, path: str, out: str, upto_batch: int, *,
+                   key: str = "key", order: list[str] = ORDER_COLUMNS,
+                   snapshot: str | None = None) -> str:
+    """Write the table as of ``upto_batch`` (a committed batch) to the new path ``out``.
 
-    Crash-safe at every step: the snapshot is written under a temporary name and
-    renamed when complete, and readers fold snapshot and updates together, so
-    until the old folders are gone they only count twice, which the fold ignores.
-    The streaming sink may keep writing later batches meanwhile.
+    Reads and writes whole folders only: an interrupted call leaves an unfinished ``out``,
+    which a repeated one refuses to overwrite, and the table as it was. ``snapshot`` is an
+    earlier one to start from.
     """
-    root = path.rstrip("/")
-    u = _log(spark, root)
-    if u is None:
-        return
-    u = u.where(F.col("batch") <= upto_batch)
+    u = _log(spark, path, snapshot).where(F.col("batch") <= upto_batch)
     values = [c for c in u.columns if c not in (key, "batch")]
-    folded = last_write_wins(u, key=key, order=["batch", *order], values=values,
-                             keep_order=True)
-    tmp = f"{root}/_tmp-base-{upto_batch}"
-    folded.write.mode("overwrite").parquet(tmp)
-    fs, _, jvm = _fs(spark, root)
-    P = jvm.org.apache.hadoop.fs.Path
-    final = P(f"{root}/base-{upto_batch}")
-    if fs.exists(final):
-        fs.delete(final, True)
-    fs.rename(P(tmp), final)
-    updates = P(f"{root}/updates")
-    if fs.exists(updates):
-        for st in fs.listStatus(updates):
-            name = st.getPath().getName()
-            if name.startswith("batch=") and int(name.split("=", 1)[1]) <= upto_batch:
-                fs.delete(st.getPath(), True)
-    for n in _bases(spark, root):
-        if n < upto_batch:
-            fs.delete(P(f"{root}/base-{n}"), True)
+    folded = last_write_wins(u, key=key, order=["batch", *order], values=values, keep_order=True)
+    folded.withColumn("upto_batch", F.lit(upto_batch)).write.mode("errorifexists").parquet(out)
+    return out
 
 
 def read_state_table(spark: SparkSession, checkpoint: str, *,

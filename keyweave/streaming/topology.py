@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from keyweave.operators.flatten import flatten_full_details
 from keyweave.operators.table import changelog
+from keyweave.operators.tap import tap_stream
 from keyweave.schemas import DEFAULT_WINDOW_MS
 from keyweave.session import checkpoint_location
+from keyweave.sources.conform import conform
+from keyweave.sources.kafka import kafka_raw
 from keyweave.streaming.join import DEFAULT_GRACE, eager_join_stream, settled_join_stream
 from keyweave.streaming.table import TableSink, lww_stream
 
 
 def joined_stream(personal: DataFrame, address: DataFrame, *, emit: str = "eager",
                   window_ms: int = DEFAULT_WINDOW_MS, grace: str = DEFAULT_GRACE,
-                  arrival: str | None = None, settled_method: str = "bucketed") -> DataFrame:
+                  arrival: str | None = None, settled_method: str = "native",
+                  flatten: Callable[[DataFrame], DataFrame] = flatten_full_details) -> DataFrame:
     """Flattened join rows (message key, emission order), streaming.
 
-    ``settled_method``: ``"bucketed"`` ((key, time bucket) state, hot keys spread)
-    or ``"native"`` (Spark's stream-stream outer join, state per key)."""
+    ``settled_method``: ``"native"`` (Spark's stream-stream joins) or ``"processor"``;
+    ``flatten``: maps joined rows to records with ``key``, ``ts`` and the order columns."""
     if emit == "eager":
         j = eager_join_stream(personal, address, window_ms=window_ms, grace=grace,
                               arrival=arrival)
@@ -28,12 +35,12 @@ def joined_stream(personal: DataFrame, address: DataFrame, *, emit: str = "eager
                                 method=settled_method)
     else:
         raise ValueError("emit must be 'eager' or 'settled'")
-    return flatten_full_details(j)
+    return flatten(j)
 
 
 def table_updates(personal: DataFrame, address: DataFrame, *, table: str = "sink",
-                  **kw) -> DataFrame:
-    """Changelog of the last-write-wins table keyed by empId (``key`` column).
+                  by: str = "empId", **kw) -> DataFrame:
+    """Changelog of the last-write-wins table keyed by ``by`` (``key`` column).
 
     ``table="sink"``: every joined row, re-keyed; the sink folds them per
     micro-batch with ``max_by`` (JVM-side, map-side combined). ``table="state"``:
@@ -41,7 +48,7 @@ def table_updates(personal: DataFrame, address: DataFrame, *, table: str = "sink
     :class:`~keyweave.streaming.table.LastWriteWinsProcessor`, readable live with
     the ``statestore`` source, at the cost of a Python stateful stage.
     """
-    upd = changelog(joined_stream(personal, address, **kw))
+    upd = changelog(joined_stream(personal, address, **kw), by)
     if table == "state":
         return lww_stream(upd)
     if table != "sink":
@@ -52,12 +59,17 @@ def table_updates(personal: DataFrame, address: DataFrame, *, table: str = "sink
 def start_employee_table(spark: SparkSession, personal: DataFrame, address: DataFrame,
                          table_path: str, *, name: str = "employee_table",
                          checkpoint: str | None = None, trigger: dict | None = None,
-                         table: str = "sink", **kw) -> StreamingQuery:
-    """Run the topology into the log-structured table at ``table_path``.
+                         table: str = "sink", tap: str | None = None,
+                         **kw) -> StreamingQuery:
+    """Run the topology into the update log at ``table_path`` (see ``TableSink``).
+
+    ``tap``: name of an observed metric that counts the personal rows as they pass.
 
     The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``; a restart
     with the same checkpoint resumes from the last committed micro-batch.
     """
+    if tap:
+        personal = tap_stream(personal, tap)
     upd = table_updates(personal, address, table=table, **kw)
     w = (upd.writeStream.queryName(name).outputMode("append")
          .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
@@ -65,3 +77,29 @@ def start_employee_table(spark: SparkSession, personal: DataFrame, address: Data
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+class KafkaTopology(NamedTuple):
+    table: StreamingQuery  # the employee table's query
+    vehicle: DataFrame  # conformed vehicle rows, which join nothing
+    rejected: dict[str, DataFrame]  # rows that do not conform, by stream
+
+
+def start_from_kafka(spark: SparkSession, bootstrap: str, table_path: str, *,
+                     read: Callable[..., DataFrame] = kafka_raw,
+                     options: dict[str, str] | None = None,
+                     schema_ids: dict[str, list[int]] | None = None,
+                     tap: str | None = "tap_personal", **kw) -> KafkaTopology:
+    """From the three topics to the running employee table.
+
+    ``read`` is the source of one stream (tests give the file twin); ``schema_ids`` are the
+    accepted registry ids by stream. Other arguments go to :func:`start_employee_table`.
+    """
+    streams = {
+        kind: conform(read(spark, kind, bootstrap, options=options,
+                           schema_ids=(schema_ids or {}).get(kind)), kind)
+        for kind in ("personal", "address", "vehicle")}
+    query = start_employee_table(spark, streams["personal"].ok, streams["address"].ok, table_path,
+                                 tap=tap, **kw)
+    return KafkaTopology(query, streams["vehicle"].ok,
+                         {kind: c.rejected for kind, c in streams.items()})

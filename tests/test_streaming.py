@@ -162,7 +162,7 @@ def test_eager_table_restart_equals_batch(spark, folder, table):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
-@pytest.mark.parametrize("method", ["bucketed", "native"])
+@pytest.mark.parametrize("method", ["processor", "native"])
 def test_settled_join_equals_batch(spark, folder, method):
     """Native stream-stream outer join; a far-future sentinel per side moves the
     watermark past every real row so all unmatched rows are released."""
