@@ -140,62 +140,45 @@ def _sketch(texts: DataFrame, k: int, bands: int, rows: int, size: int) -> DataF
 
 
 def _verified(edges: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
-    """The edges (a, b) whose texts are similar, with their similarity."""
+    """The edges (a, b, root, c_root) whose texts are similar."""
     t = lambda side: texts.select(F.col("tid").alias(side), F.col("text").alias(f"text_{side}"))
     pairs = edges.join(t("a"), "a").join(t("b"), "b")
 
     def run(batches):
         for b in batches:
             at = {c: b.column(b.schema.get_field_index(c)) for c in b.schema.names}
-            keep, sims, last = [], [], (None, None)
+            keep, last = [], (None, None)
             for i, (x, y) in enumerate(zip(at["text_a"].to_pylist(), at["text_b"].to_pylist(),
                                            strict=True)):
                 if last[0] != y:  # a centre's edges come in runs
                     last = (y, labelled_shingles(y, k))
-                sim = alignment_similarity(labelled_shingles(x, k), last[1], threshold)
-                if sim:
+                if alignment_similarity(labelled_shingles(x, k), last[1], threshold):
                     keep.append(i)
-                    sims.append(sim)
-            rows = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([at["a"].take(rows), at["b"].take(rows),
-                                              pa.array(sims, pa.float64())],
-                                             names=["a", "b", "similarity"])
+            rows, names = pa.array(keep, pa.int64()), ("a", "b", "root", "c_root")
+            yield pa.RecordBatch.from_arrays([at[c].take(rows) for c in names], names=names)
 
-    return pairs.mapInArrow(run, "a binary, b binary, similarity double")
+    return pairs.mapInArrow(run, "a binary, b binary, root binary, c_root binary")
 
 
-def components(edges: DataFrame, name: str = "classes") -> DataFrame:
-    """(node, root): the least node of each connected component of ``edges`` (a, b).
+def propagate(stars: DataFrame, name: str = "stars") -> DataFrame:
+    """``stars`` (member, centre, label) with each member's label the least of its component.
 
-    Star contraction: each round links the neighbours of a node to the least of them, until
-    nothing changes; every round is written out, so the lineage stays short.
+    Every centre is a member of itself. A centre takes the least label of its members, and a
+    member the least of its centres, until no label changes. A node is a member of few centres
+    (one for a band), so only centres are hot: their minima combine map-side, and they are
+    written, so that the join deals both sides anew and can split a centre of many members.
     """
-    pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")) \
-        .where("u != v").distinct()
-    pairs = materialise(pairs, name)
     while True:
-        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # large star: larger neighbours and the node's least neighbourhood. The minima are
-        # written, so that the join deals both sides anew and can split a node of many edges
-        low = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u").alias("n"), F.least("u", "m").alias("low")), name)
-        large = both.where("v > u").join(low, F.col("u") == F.col("n")).select(
-            F.col("v").alias("u"), F.col("low").alias("v"))
-        # small star: smaller neighbours and the node itself to the least of them
-        small_low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small_low = small_low.select(F.col("u").alias("n"), "low")
-        small = large.join(small_low, F.col("u") == F.col("n")).select(
-            F.col("v").alias("u"), F.col("low").alias("v")).where("u != v") \
-            .union(small_low.select(F.col("n").alias("u"), F.col("low").alias("v")))
-        new = materialise(small.distinct(), name)
-        # done when every node has one smaller neighbour, and that has none
-        roots = new.groupBy("u").agg(F.count("*").alias("c"))
-        open_ = roots.where("c > 1").limit(1).count() or new.join(
-            new.select(F.col("u").alias("x")), F.col("v") == F.col("x"), "left_semi") \
-            .limit(1).count()
-        pairs = new
-        if not open_:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        least = materialise(stars.groupBy(F.col("centre").alias("c")).agg(
+            F.min("label").alias("low")), f"{name}-least")
+        of_member = Window.partitionBy("member")
+        moved = stars.join(least, F.col("centre") == F.col("c")).select(
+            "member", "centre", F.min("low").over(of_member).alias("low"), "label")
+        moved = materialise(moved.select("member", "centre", F.col("low").alias("label"),
+                                         (F.col("low") != F.col("label")).alias("moved")), name)
+        stars = moved.drop("moved")
+        if moved.where("moved").isEmpty():
+            return stars
 
 
 def _text_classes(some: DataFrame, k: int, threshold: float, bands: int, rows: int,
@@ -211,37 +194,41 @@ def _text_classes(some: DataFrame, k: int, threshold: float, bands: int, rows: i
     wanted = buckets.select(F.col("tid").alias("w")).distinct()
     texts = some.groupBy("tid").agg(F.first("text").alias("text"))  # copies meet map-side
     texts = materialise(texts.join(wanted, F.col("tid") == F.col("w"), "left_semi"), "texts")
-    links, classes, centres = None, None, None
+    members = buckets.withColumn("root", F.col("tid"))
+    stars = None
     while True:
-        members = buckets
-        if classes is not None:
-            members = buckets.join(classes, F.col("tid") == F.col("node"), "left").select(
-                "bucket", "tid", F.coalesce("root", "tid").alias("root"))
-            done = centres.join(classes, F.col("centre") == F.col("node"), "left").select(
-                F.col("bucket").alias("d_bucket"), F.coalesce("root", "centre").alias("d_root"))
-            # texts outside the classes of the bucket's centres so far
-            members = members.join(done, (F.col("bucket") == F.col("d_bucket"))
-                                   & (F.col("root") == F.col("d_root")), "left_anti")
-        draw = F.xxhash64("tid", "bucket")
-        new = members.groupBy("bucket").agg(
-            F.min_by("tid", F.struct(draw, "tid")).alias("centre"), F.count("*").alias("n")) \
-            .where("n > 1").select("bucket", "centre")
-        new = materialise(new, "centres")
-        edges = members.select("bucket", "tid").join(new, "bucket").where("tid != centre") \
-            .select(F.col("tid").alias("a"), F.col("centre").alias("b")).distinct()
-        if links is not None:
-            seen = links.select(F.col("a").alias("x"), F.col("b").alias("y"))
-            edges = edges.join(seen, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")),
-                               "left_anti")
+        draw = F.struct(F.xxhash64("tid", "bucket"), F.col("tid"), F.col("root"))
+        lowest = members.groupBy("bucket").agg(F.min(draw).alias("d"), F.count("*").alias("n"))
+        centres = materialise(lowest.where("n > 1").select(
+            F.col("bucket").alias("c_bucket"), F.col("d.tid").alias("centre"),
+            F.col("d.root").alias("c_root")), "centres")
+        edges = members.join(centres, F.col("bucket") == F.col("c_bucket")) \
+            .where("root != c_root").select(
+            F.col("tid").alias("a"), F.col("centre").alias("b"), "root", "c_root").distinct()
         found = materialise(_verified(edges, texts, k, threshold), "links")
-        links = found if links is None else links.union(found)
-        if classes is not None and not found.limit(1).count():
+        links = found if stars is None else links.union(found)
+        if stars is not None and found.isEmpty():
             break
-        first = classes is None
-        centres = new if first else centres.union(new)
-        classes = components(links)
-        if first and not found.limit(1).count():
+        new = found.select(F.explode(F.array(
+            F.struct(F.col("a").alias("member"), F.col("b").alias("centre"),
+                     F.col("root").alias("label")),
+            F.struct(F.col("b").alias("member"), F.col("b").alias("centre"),
+                     F.col("c_root").alias("label")))).alias("s")).select("s.*").distinct()
+        stars = propagate(new if stars is None else stars.union(new))
+        classes = stars.groupBy(F.col("member").alias("node")).agg(F.min("label").alias("label"))
+        classes = materialise(classes, "classes")
+        if found.isEmpty():
             break
+        # next, the members outside the class of the bucket's centre
+        after = members.join(classes, F.col("tid") == F.col("node"), "left").select(
+            "bucket", "tid", F.coalesce("label", "tid").alias("root"))
+        done = centres.join(classes, F.col("centre") == F.col("node"), "left").select(
+            F.col("c_bucket").alias("d_bucket"), F.coalesce("label", "centre").alias("d_root"))
+        members = materialise(after.join(done, (F.col("bucket") == F.col("d_bucket"))
+                                         & (F.col("root") == F.col("d_root")), "left_anti"),
+                              "members")
+    classes = classes.withColumnRenamed("label", "root")
+    links = links.select("a", "b").distinct()
     degree = links.select(F.explode(F.array("a", "b")).alias("t")).groupBy("t").agg(
         F.count("*").alias("n_links"))
     per_text = some.groupBy("tid").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
