@@ -153,6 +153,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, vec_id: str = "ve
     known = (lists.withColumn("least", F.min("least").over(by_slice))
              .withColumn("r", F.row_number().over(by_slice.orderBy(F.desc("part"), "vec_id")))
              .where(F.col("r") <= k))
+    known = materialise(known, "topk-lists")  # k rows for a query and slice; read twice
     sums = known.groupBy("query_id", "vec_id").agg(
         F.sum(F.col("part") - F.col("least")).alias("known"))
     least = known.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_set(
