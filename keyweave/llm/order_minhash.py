@@ -7,10 +7,12 @@
    keeps them in text order, so that a sketch agrees for texts that share the shingles in the
    same order. ``rows`` sketches make a band key.
 3. Texts with a band key in common are candidates. Within a bucket, texts link to the bucket's
-   centre only (a member drawn by a hash of band and text), so a bucket of n texts gives n - 1
-   candidates. Buckets whose members are still in several classes after the links are joined
-   get new centres from the members outside the first centre's class, round after round until
-   a round finds no link.
+   centre only (its most connected text, see ``_buckets``), so a bucket of n texts gives n - 1
+   candidates. Texts of buckets that still hold several classes are sketched again, with
+   ``fine_bands`` longer keys of ``fine_rows`` sketches, which keep texts just below the threshold
+   apart; in these buckets the members outside their centre's class get a new centre, round
+   after round until a round finds no link. With two shingles a sketch, a pair at 0.8 shares a
+   band with a chance of 0.99997, and a fine band with 0.99.
 4. Each candidate is verified by alignment of its shingle sequences inside the band that a
    similarity of ``threshold`` allows: with c shingles aligned, the similarity is
    c / (n_a + n_b - c). Links join into classes; the class id is the least document id.
@@ -181,52 +183,82 @@ def propagate(stars: DataFrame, name: str = "stars") -> DataFrame:
             return stars
 
 
+def _buckets(texts: DataFrame, k: int, bands: int, rows: int, size: int) -> DataFrame:
+    """(bucket, tid, weight) of the buckets that hold several texts. The weight sums the sizes
+    of a text's buckets: the text that a group's others were made from is in the largest."""
+    every = materialise(_sketch(texts, k, bands, rows, size), "buckets")
+    # written, so that the join can split a bucket of very many texts
+    shared = materialise(every.groupBy("bucket").agg(
+        F.min("tid").alias("lo"), F.max("tid").alias("hi"), F.count("*").alias("n"))
+        .where("lo != hi").select(F.col("bucket").alias("s_bucket"), "n"), "shared")
+    kept = materialise(every.join(shared, F.col("bucket") == F.col("s_bucket"))
+                       .select("bucket", "tid", "n").distinct(), "kept")
+    weight = kept.groupBy(F.col("tid").alias("w_tid")).agg(F.sum("n").alias("weight"))
+    return materialise(kept.join(weight, F.col("tid") == F.col("w_tid")).select(
+        "bucket", "tid", "weight"), "weighted")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The rows of ``members`` in buckets that hold several classes."""
+    several = members.groupBy(F.col("bucket").alias("o_bucket")).agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    several = materialise(several.select("o_bucket"), "open")
+    return materialise(members.join(several, F.col("bucket") == F.col("o_bucket"), "left_semi"),
+                       "members")
+
+
 def _text_classes(some: DataFrame, k: int, threshold: float, bands: int, rows: int,
-                  tuple_size: int) -> DataFrame:
+                  tuple_size: int, fine_bands: int, fine_rows: int) -> DataFrame:
     """By text (tid) of ``some`` (doc_id, tid, text): root (the class's least text), least (the
     text's least id), n (its documents) and n_links (its verified links to other texts)."""
-    every = _sketch(some.select("tid", "text"), k, bands, rows, tuple_size)
-    every = materialise(every, "buckets")
-    shared = every.groupBy("bucket").agg(F.min("tid").alias("lo"), F.max("tid").alias("hi")) \
-        .where("lo != hi").select(F.col("bucket").alias("s_bucket"))
-    buckets = materialise(every.join(shared, F.col("bucket") == F.col("s_bucket"))
-                          .select("bucket", "tid").distinct(), "shared")
+    buckets = _buckets(some.select("tid", "text"), k, bands, rows, tuple_size)
     wanted = buckets.select(F.col("tid").alias("w")).distinct()
     texts = some.groupBy("tid").agg(F.first("text").alias("text"))  # copies meet map-side
     texts = materialise(texts.join(wanted, F.col("tid") == F.col("w"), "left_semi"), "texts")
     members = buckets.withColumn("root", F.col("tid"))
-    stars = None
+    stars = links = classes = None
+    fine = False
     while True:
-        draw = F.struct(F.xxhash64("tid", "bucket"), F.col("tid"), F.col("root"))
-        lowest = members.groupBy("bucket").agg(F.min(draw).alias("d"), F.count("*").alias("n"))
-        centres = materialise(lowest.where("n > 1").select(
+        best = F.struct("weight", F.xxhash64("tid", "bucket"), "tid", "root")
+        centres = materialise(members.groupBy("bucket").agg(F.max(best).alias("d")).select(
             F.col("bucket").alias("c_bucket"), F.col("d.tid").alias("centre"),
             F.col("d.root").alias("c_root")), "centres")
-        edges = members.join(centres, F.col("bucket") == F.col("c_bucket")) \
-            .where("root != c_root").select(
-            F.col("tid").alias("a"), F.col("centre").alias("b"), "root", "c_root").distinct()
+        edges = materialise(members.join(centres, F.col("bucket") == F.col("c_bucket"))
+                            .where("root != c_root").select(
+            F.col("tid").alias("a"), F.col("centre").alias("b"), "root", "c_root").distinct(),
+            "edges")
         found = materialise(_verified(edges, texts, k, threshold), "links")
-        links = found if stars is None else links.union(found)
-        if stars is not None and found.isEmpty():
+        links = found if links is None else links.union(found)
+        none = found.isEmpty()
+        if classes is None or not none:
+            new = found.select(F.explode(F.array(
+                F.struct(F.col("a").alias("member"), F.col("b").alias("centre"),
+                         F.col("root").alias("label")),
+                F.struct(F.col("b").alias("member"), F.col("b").alias("centre"),
+                         F.col("c_root").alias("label")))).alias("s")).select("s.*").distinct()
+            stars = propagate(new if stars is None else stars.union(new))
+            classes = materialise(stars.groupBy(F.col("member").alias("node")).agg(
+                F.min("label").alias("label")), "classes")
+        if fine and none:
             break
-        new = found.select(F.explode(F.array(
-            F.struct(F.col("a").alias("member"), F.col("b").alias("centre"),
-                     F.col("root").alias("label")),
-            F.struct(F.col("b").alias("member"), F.col("b").alias("centre"),
-                     F.col("c_root").alias("label")))).alias("s")).select("s.*").distinct()
-        stars = propagate(new if stars is None else stars.union(new))
-        classes = stars.groupBy(F.col("member").alias("node")).agg(F.min("label").alias("label"))
-        classes = materialise(classes, "classes")
-        if found.isEmpty():
+        named = lambda m: m.join(classes, F.col("tid") == F.col("node"), "left").select(
+            "bucket", "tid", "weight", F.coalesce("label", "tid").alias("root"))
+        if fine:
+            # next, the members outside the class of the bucket's centre
+            done = centres.join(classes, F.col("centre") == F.col("node"), "left").select(
+                F.col("c_bucket").alias("d_bucket"), F.coalesce("label", "centre").alias("d_root"))
+            members = _open(materialise(named(members.drop("root")).join(
+                done, (F.col("bucket") == F.col("d_bucket")) & (F.col("root") == F.col("d_root")),
+                "left_anti"), "outside"))
+        else:
+            fine = True
+            left = _open(materialise(named(members.drop("root")), "named"))
+            texts = materialise(texts.join(left.select(F.col("tid").alias("w")).distinct(),
+                                           F.col("tid") == F.col("w"), "left_semi"), "texts-left")
+            members = _open(materialise(named(_buckets(texts.select("tid", "text"), k, fine_bands,
+                                                       fine_rows, tuple_size)), "fine"))
+        if members.isEmpty():
             break
-        # next, the members outside the class of the bucket's centre
-        after = members.join(classes, F.col("tid") == F.col("node"), "left").select(
-            "bucket", "tid", F.coalesce("label", "tid").alias("root"))
-        done = centres.join(classes, F.col("centre") == F.col("node"), "left").select(
-            F.col("c_bucket").alias("d_bucket"), F.coalesce("label", "centre").alias("d_root"))
-        members = materialise(after.join(done, (F.col("bucket") == F.col("d_bucket"))
-                                         & (F.col("root") == F.col("d_root")), "left_anti"),
-                              "members")
     classes = classes.withColumnRenamed("label", "root")
     links = links.select("a", "b").distinct()
     degree = links.select(F.explode(F.array("a", "b")).alias("t")).groupBy("t").agg(
@@ -246,11 +278,11 @@ def _texts_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5,
                     threshold: float = 0.8, bands: int = 20, rows: int = 2,
-                    tuple_size: int = 2) -> DataFrame:
+                    tuple_size: int = 2, fine_bands: int = 160, fine_rows: int = 8) -> DataFrame:
     """One row per document: doc_id, class_id (least id of its class), class_size (the class's
     documents) and n_links (verified links of the document's text to other texts)."""
     some = _texts_of(docs, doc_id, text)
-    per_text = _text_classes(some, k, threshold, bands, rows, tuple_size)
+    per_text = _text_classes(some, k, threshold, bands, rows, tuple_size, fine_bands, fine_rows)
     # written: the joins can then split a class or text of many rows
     per_class = materialise(per_text.groupBy("root").agg(
         F.min("least").alias("class_id"), F.sum("n").alias("class_size")), "per-class") \
@@ -268,11 +300,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5,
                 threshold: float = 0.8, bands: int = 20, rows: int = 2,
-                tuple_size: int = 2) -> DataFrame:
+                tuple_size: int = 2, fine_bands: int = 160, fine_rows: int = 8) -> DataFrame:
     """``docs`` with one document of each class: that of the least id (a null id only where no
     other is there). Documents without a text stay."""
     some = _texts_of(docs, doc_id, text)
-    per_text = _text_classes(some, k, threshold, bands, rows, tuple_size)
+    per_text = _text_classes(some, k, threshold, bands, rows, tuple_size, fine_bands, fine_rows)
     first = F.struct(F.col("least").isNull().alias("no_id"), "least", "tid")
     winners = per_text.groupBy("root").agg(F.min(first).alias("w")).select(
         F.col("w.least").alias("w_id"), F.col("w.tid").alias("w_tid"))
