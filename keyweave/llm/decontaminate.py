@@ -175,11 +175,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "docum
         hit = (F.col("_n_hit") > 0) & (F.col("_n_hit") * min_share >= F.col("_n_words"))
         return marked.where(~hit).select(*[F.col(f"`{c}`") for c in docs.columns])
 
+    names = docs.columns
+
     def cut(batches):
         for b in batches:
             col = {name: b.column(k) for k, name in enumerate(b.schema.names)}
             col[text] = pa.array([remove_spans(t, r) for t, r in zip(
                 col[text].to_pylist(), col["_ranges"].to_pylist(), strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays([col[c] for c in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([col[c] for c in names], names=names)
 
     return marked.mapInArrow(cut, docs.schema)

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import math
+import random
+
+from pyspark.sql import functions as F
+
+from keyweave.llm.topk import top_k
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, k, every):
+    good = {}
+    for i, v, *_ in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            w = [math.floor(256 * x) for x in v]
+            good[i] = min(good.get(i, w), w)
+    out = set()
+    for q in (i for i in good if i % every == 0):
+        scores = sorted((-sum(a * b for a, b in zip(good[q], v)), i)
+                        for i, v in good.items() if i != q)
+        out |= {(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)}
+    return out
+
+
+def run(spark, rows, k=5, every=5, **kw):
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = top_k(df, F.col("vec_id") % every == 0, k=k, **kw)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    return {tuple(r) for r in got.collect()}
+
+
+def vector(rng, n):
+    return [rng.randint(-40, 40) / 64 for _ in range(n)]
+
+
+def test_equals_brute_force_over_tiles(spark):
+    rng = random.Random(1)
+    rows = [(i, vector(rng, 12), 0) for i in range(300)]
+    same = vector(rng, 12)  # very many equal vectors: ties go to the smaller id
+    rows += [(1000 + i, same, 0) for i in range(60)]
+    assert run(spark, rows, block=64, query_block=32) == brute(rows, 5, 5)
+
+
+def test_invalid_short_and_repeated_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, 0.25, -1.0], 0), (1, None, 0), (2, [0.1, None, 0.2], 0), (3, [nan, 0, 0], 0),
+            (4, [inf, 0.0, 0.0], 0), (None, [0.5, 0.5, 0.5], 0), (5, [0.5], 0), (6, [], 0),
+            (7, [0.3, 0.3, 0.3], 0), (7, [0.3, 0.3, 0.3], 0), (8, [1e30, 0.0, 0.0], 0)]
+    rows = [(i, None if v is None else [None if x is None else float(x) for x in v], c)
+            for i, v, c in rows]
+    small = [r for r in rows if r[0] != 8]
+    assert run(spark, small) == brute(small, 5, 5)
+    assert {r[0] for r in run(spark, rows)} == {0, 5}  # huge components do not stop it
+
+
+def test_few_candidates_and_empty_table(spark):
+    assert run(spark, [(0, [1.0], 0), (1, [0.5], 0)]) == {(0, 1, 1, 256 * 128)}
+    assert run(spark, [(0, [1.0], 0)]) == set()
+    assert run(spark, []) == set()
