@@ -93,6 +93,41 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws))
 
 
+_MULTIPLIER = 0x2545F4914F6CDD1D
+_INVERSE = pow(_MULTIPLIER, -1, 2**64)
+_BYTE = np.random.default_rng(11).integers(0, 2**64, 256, np.uint64)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, at least ``n`` of each."""
+    kept = worker_object(("powers",), dict)
+    if kept.get("n", 0) < n:
+        n = max(n, 1 << 16, 2 * kept.get("n", 0))
+        for name, m in (("up", _MULTIPLIER), ("down", _INVERSE)):
+            x = np.full(n, m, np.uint64)
+            x[0] = 1
+            with np.errstate(over="ignore"):
+                kept[name] = np.multiply.accumulate(x)
+        kept["n"] = n
+    return kept["up"], kept["down"]
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of :func:`words`, all at once: differences of running polynomial sums."""
+    if not text:
+        return np.empty(0, np.uint64)
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(WORD_BYTES), np.uint8)
+    inside = np.zeros(len(raw) + 2, np.int8)
+    inside[1:-1] = raw != 32
+    edge = np.flatnonzero(np.diff(inside))
+    start, end = edge[::2], edge[1::2]
+    up, down = _powers(len(raw) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTE[raw] * up[:len(raw)], out=sums[1:])
+        return hash64((sums[end] - sums[start]) * down[start], 5)
+
+
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of ``k`` consecutive word hashes, in text order."""
     n = len(h) - k + 1

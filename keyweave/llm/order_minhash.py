@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyweave.llm.common import WordHashes, hash64, materialise, shingle_hashes, words, \
-    worker_object
+from keyweave.llm.common import hash64, materialise, shingle_hashes, word_hashes
 
 
 def text_key(text: str = "text") -> Column:
@@ -43,10 +42,9 @@ def text_key(text: str = "text") -> Column:
 
 def labelled_shingles(text: str | None, k: int) -> np.ndarray:
     """Hashes of the text's shingles in order, each mixed with its occurrence number."""
-    ws = words(text)
-    if not ws:
-        return np.empty(0, np.uint64)
-    h = worker_object(("words",), WordHashes).of(ws)
+    h = word_hashes(text)
+    if not len(h):
+        return h
     s = shingle_hashes(h, min(k, len(h)))
     order = np.argsort(s, kind="stable")
     ranked = s[order]
