@@ -35,7 +35,7 @@ from keyweave.llm.common import WordHashes, hash64, materialise, worker_object
 from keyweave.llm.elias_fano import Trie
 
 END = b" "  # no word has a space
-ASK = "level int, shard int, block long, keys binary, counts binary"
+ASK = "level int, shard int, block long, low long, key_width int, keys binary, counts binary"
 TOLD = "level int, shard int, block long, width int, counts binary, n_tokens long, n_types long"
 RESULT = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -99,13 +99,28 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype("<u1" if top < 256 else "<u2" if top < 65536 else "<u8")
 
 
+def pack_keys(keys: np.ndarray) -> tuple[int, bytes]:
+    """Increasing keys as (byte width, steps from the first key in so many bytes each)."""
+    steps = np.diff(keys, prepend=keys[:1])
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return width, steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack_keys(first: int, width: int, raw: bytes) -> np.ndarray:
+    steps = np.zeros((len(raw) // width, 8), np.uint8)
+    steps[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    steps = steps.view(np.uint64)[:, 0]
+    steps[0] = first & 0xFFFFFFFFFFFFFFFF
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def _ask(order: int, shards: int, flush_chars: int):
     """mapInArrow function over (block, text, learn): ASK rows."""
     width = -(-2**64 // shards)
     edges = np.array([width * s for s in range(1, shards)], np.uint64)
 
     def send(blocks, texts, learn):
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], [], []]
         by_block: dict[int, list[int]] = {}
         for i, b in enumerate(blocks):
             by_block.setdefault(b, []).append(i)
@@ -119,13 +134,15 @@ def _ask(order: int, shards: int, flush_chars: int):
                 cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
                 for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                     if lo < hi:
-                        for col, v in zip(out, (n, s, block, keys[lo:hi].tobytes(),
-                                                _narrow(counts[lo:hi]).tobytes()), strict=True):
+                        row = (n, s, block, int(keys[lo:lo + 1].view(np.int64)[0]),
+                               *pack_keys(keys[lo:hi]), _narrow(counts[lo:hi]).tobytes())
+                        for col, v in zip(out, row, strict=True):
                             col.append(v)
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
+                 pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int32(), pa.int64(), pa.binary(),
-                                                  pa.binary()), strict=True)],
-            names=["level", "shard", "block", "keys", "counts"])
+            [pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
+            names=["level", "shard", "block", "low", "key_width", "keys", "counts"])
 
     def ask(batches):
         blocks, texts, learn, size = [], [], [], 0
@@ -147,7 +164,8 @@ def _total(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """One shard: the totals of its n-grams, for each block in the order of its keys."""
     level, shard = key[0].as_py(), key[1].as_py()
     blocks = table.column("block").to_numpy()
-    keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
+    keys = [unpack_keys(*row) for row in zip(*(
+        table.column(c).to_pylist() for c in ("low", "key_width", "keys")), strict=True)]
     counts = [np.frombuffer(c, f"<u{len(c) // len(k)}")
               for c, k in zip(table.column("counts").to_pylist(), keys, strict=True)]
     all_keys, totals = _sums(np.concatenate(keys), np.concatenate(counts))
@@ -267,7 +285,7 @@ def _score(order: int, n_total: int, n_types: int, mu: float):
 
 
 def lm_scores(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text",
-              order: int = 2, mu: float = 64.0, block_bytes: int = 8_000_000,
+              order: int = 2, mu: float = 64.0, block_bytes: int = 4_000_000,
               shard_bytes: int = 8_000_000, on_files: bool = False) -> DataFrame:
     """doc_id, learn, n_tokens, n_known, train_tokens, base_score, score.
 
