@@ -323,17 +323,28 @@ def settled_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1
     width = 2 * max(w, 1)
     fields = {LEFT: _side_columns(left, LEFT, key), RIGHT: _side_columns(right, RIGHT, key)}
 
+    def tagged(df: DataFrame, side: int) -> DataFrame:
+        own, other = fields[side], fields[1 - side]
+        return df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+            F.lit(side).alias("side"), F.col(key).cast("string").alias("k"),
+            F.col(ts).alias("at"), epoch_micros(df, ts).alias("t"),
+            *[F.col(f.name[2:]).alias(f.name) for f in own],
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in other])
+
+    # one watermark over both sides, so that a side without news does not hold back the other
+    both_sides = tagged(left, LEFT).unionByName(tagged(right, RIGHT)).withWatermark("at", grace)
+
     def rows(side: int, copied: bool) -> DataFrame:
         """One side with its home bucket, or with the neighbour its window reaches as well."""
-        df, p = (left, PREFIX[side]) if side == LEFT else (right, PREFIX[side])
-        t = epoch_micros(df, ts)
+        p, t = PREFIX[side], F.col("t")
         b = bucket_of(t, width)
         g = b if not copied else F.explode(F.array(
             b, F.when(t - b * F.lit(width) < F.lit(max(w, 1)), b - 1).otherwise(b + 1)))
-        return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, grace)
-                .select(F.col(key).alias(p + "_key"),
-                        *[F.col(f.name[2:]).alias(f.name) for f in fields[side]],
-                        t.alias(p + "_t"), g.alias(p + "_g")))
+        # the condition names the event time, so that it stays above the watermark
+        own = F.when(F.col("at").isNotNull(), F.col("side") == side)
+        return both_sides.where(own).select(
+            F.col("k").alias(p + "_key"), F.col("at").alias(p + "_at"), t.alias(p + "_t"),
+            *[F.col(f.name) for f in fields[side]], g.alias(p + "_g"))
 
     interval = F.expr(f"INTERVAL {w} MICROSECONDS")
 
@@ -341,8 +352,8 @@ def settled_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int = 1
         """All rows of ``side`` with their partners of the other side, if any."""
         p, o = PREFIX[side], PREFIX[1 - side]
         cond = ((F.col(p + "_key") == F.col(o + "_key")) & (F.col(p + "_g") == F.col(o + "_g"))
-                & (F.col(o + ts) >= F.col(p + ts) - interval)
-                & (F.col(o + ts) <= F.col(p + ts) + interval))
+                & (F.col(o + "_at") >= F.col(p + "_at") - interval)
+                & (F.col(o + "_at") <= F.col(p + "_at") + interval))
         return rows(side, False).join(rows(1 - side, True), cond, "left_outer")
 
     lf_first = F.col("r__key").isNull() | (F.col("l__t") <= F.col("r__t"))
