@@ -76,23 +76,6 @@ def worker_object(key: tuple, make):
     return kept.objects[key]
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words met lately (bounded)."""
-
-    LIMIT = 500_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, ws: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws))
-
-
 _MULTIPLIER = 0x2545F4914F6CDD1D
 _INVERSE = pow(_MULTIPLIER, -1, 2**64)
 _BYTE = np.random.default_rng(11).integers(0, 2**64, 256, np.uint64)
@@ -112,11 +95,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return kept["up"], kept["down"]
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of :func:`words`, all at once: differences of running polynomial sums."""
+def word_hashes(text: str | None, word_bytes: bytes = WORD_BYTES) -> np.ndarray:
+    """64-bit hashes of :func:`words`, all at once: differences of running polynomial sums.
+
+    ``word_bytes`` maps bytes as ``WORD_BYTES`` does, with a space for what separates words.
+    """
     if not text:
         return np.empty(0, np.uint64)
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(WORD_BYTES), np.uint8)
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(word_bytes), np.uint8)
     inside = np.zeros(len(raw) + 2, np.int8)
     inside[1:-1] = raw != 32
     edge = np.flatnonzero(np.diff(inside))

@@ -31,56 +31,44 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyweave.llm.common import WordHashes, hash64, materialise, worker_object
+from keyweave.llm.common import hash64, materialise, word_hashes
 from keyweave.llm.elias_fano import Trie
 
-END = b" "  # no word has a space
+#: Byte map: A-Z to a-z, ASCII white space to a space; all other bytes are of words.
+TOKEN_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b
+                    for b in range(256))
+END = np.array([0x5EED0FE0DD0C0DE5], np.uint64)  # stands for the end token; no word's hash
 ASK = "level int, shard int, block long, low long, key_width int, keys binary, counts binary"
 TOLD = "level int, shard int, block long, width int, counts binary, n_tokens long, n_types long"
 RESULT = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The text's words; bytes.lower and bytes.split know ASCII only, as wanted."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(token hashes: END, then each text's words and END; starts of the texts).
 
-
-def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word ids of END and each text's words and END, hashes by word id, starts of the texts).
-
-    Text i is x[starts[i]:starts[i + 1]] with the END before it at starts[i] - 1.
+    Text i is h[starts[i]:starts[i + 1]] with the END before it at starts[i] - 1.
     """
-    ids: dict[bytes, int] = {END: 0}
-    parts, starts, at = [np.zeros(1, np.int64)], [1], 1
+    parts, starts = [END], [1]
     for t in texts:
-        ws = tokens(t)
-        ws.append(END)
-        for w in ws:
-            if w not in ids:
-                ids[w] = len(ids)
-        parts.append(np.fromiter(map(ids.__getitem__, ws), np.int64, len(ws)))
-        at += len(ws)
-        starts.append(at)
-    hashes = worker_object(("words",), WordHashes).of(list(ids))
-    return np.concatenate(parts), hashes, np.array(starts)
-
-
-def ngram_keys(x: np.ndarray, hashes: np.ndarray, order: int):
-    """By level: (positions whose n-gram stays inside one text, their 64-bit keys)."""
-    h = hashes[x]
+        h = word_hashes(t, TOKEN_BYTES)
+        parts += [h, END]
+        starts.append(starts[-1] + len(h) + 1)
+    return np.concatenate(parts), np.array(starts)
+
+
+def ngram_keys(h: np.ndarray, order: int):
+    """By level: (positions whose n-gram stays inside one text, their 64-bit keys, to be used
+    before the next level is asked for)."""
     key = hash64(h, 1)
-    at = np.arange(1, len(x))
-    yield at, key[at]
-    inner = np.cumsum(x == 0)  # END tokens so far
+    yield np.arange(1, len(h), dtype=np.int32), key[1:]
+    ends = np.cumsum(h == END[0], dtype=np.int32)
     for n in range(2, order + 1):
         with np.errstate(over="ignore"):
-            longer = key.copy()
-            longer[1:] = hash64(key[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:], n)
-        key = longer
-        at = np.arange(n - 1, len(x))
+            key[1:] = hash64(key[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:], n)
+        at = np.arange(n - 1, len(h), dtype=np.int32)
         # no END but as the first or the last token
         if n > 2:
-            at = at[inner[at - 1] == inner[at - n + 1]]
+            at = at[ends[at - 1] == ends[at - n + 1]]
         yield at, key[at]
 
 
@@ -125,11 +113,11 @@ def _ask(order: int, shards: int, flush_chars: int):
         for i, b in enumerate(blocks):
             by_block.setdefault(b, []).append(i)
         for block, rows in by_block.items():
-            x, hashes, starts = encode([texts[i] for i in rows])
-            used = np.zeros(len(x), bool)
+            h, starts = encode([texts[i] for i in rows])
+            used = np.zeros(len(h), bool)
             for i, lo, hi in zip(rows, starts[:-1], starts[1:], strict=True):
                 used[lo:hi] = learn[i]
-            for n, (at, key) in enumerate(ngram_keys(x, hashes, order), 1):
+            for n, (at, key) in enumerate(ngram_keys(h, order), 1):
                 keys, counts = _sums(key, used[at])
                 cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
                 for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -192,19 +180,18 @@ def build(x: np.ndarray, at: list[np.ndarray], inverse: list[np.ndarray],
     ``inverse`` and ``counts`` give, by level, each position's distinct n-gram and its count.
     """
     trie, nodes = Trie(), []
-    word_count = np.zeros(int(x.max(initial=0)) + 1, np.int64)
-    word_count[x[at[0]]] = counts[0][inverse[0]]
+    word_count = counts[0] if len(counts[0]) else np.zeros(1, np.int64)
     p = (word_count + 1) / (n_total + n_types + 1)
     trie.add_words(np.log10(p), np.log10(mu / (word_count + mu)))
     # exact probability by position at the order so far, for the next order's entries
     exact = p[x]
-    nodes.append(np.where(word_count[x] > 0, x, -1))
+    nodes.append(np.where(word_count[x] > 0, x, np.int32(-1)))
     context_count = word_count
     for n in range(2, len(at) + 1):
         pos, c = at[n - 1], counts[n - 1][inverse[n - 1]]
         seen = pos[c > 0]
         context, word = nodes[-1][seen - 1], x[seen]
-        code = context * (int(x.max(initial=0)) + 1) + word
+        code = context.astype(np.int64) * len(word_count) + word
         _, first, index = np.unique(code, return_index=True, return_inverse=True)
         entry = seen[first]
         n_contexts = len(trie.prob[-1].codes)
@@ -212,14 +199,14 @@ def build(x: np.ndarray, at: list[np.ndarray], inverse: list[np.ndarray],
         below = exact[entry]
         over = context_count[context[first]]
         prob = (own + mu * below) / (over + mu)
-        trie.add_level(context[first], word[first], n_contexts, np.log10(prob),
+        trie.add_level(context[first].astype(np.int64), word[first].astype(np.int64), n_contexts, np.log10(prob),
                        np.log10(mu / (own + mu)))
-        node = np.full(len(x), -1, np.int64)
+        node = np.full(len(x), -1, np.int32)
         node[seen] = index
         # an unseen n-gram whose context is known has the backed-off probability
         inside = np.zeros(len(x), bool)
         inside[pos] = True
-        ctx = np.full(len(x), -1, np.int64)
+        ctx = np.full(len(x), -1, np.int32)
         ctx[pos] = nodes[-1][pos - 1]
         back = np.where(ctx >= 0, mu / (context_count[np.maximum(ctx, 0)] + mu), 1.0)
         exact = np.where(node >= 0, prob[np.maximum(node, 0)] if len(prob) else 0.0,
@@ -235,10 +222,12 @@ def trie_scores(trie: Trie, x: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
     node = x.copy()  # unigram nodes: word ids; unknown words have count 0 there
     for n in range(2, len(at) + 1):
         pos = at[n - 1]
-        child = np.full(len(x), -1, np.int64)
-        ctx = np.full(len(x), -1, np.int64)
+        child = np.full(len(x), -1, np.int32)
+        ctx = np.full(len(x), -1, np.int32)
         ctx[pos] = node[pos - 1]
-        child[pos] = trie.child(n, ctx[pos], x[pos])
+        for lo in range(0, len(pos), 1 << 18):  # the search makes many arrays of this length
+            part = pos[lo:lo + (1 << 18)]
+            child[part] = trie.child(n, ctx[part], x[part])
         known = child >= 0
         back = np.zeros(len(x))
         has = ctx >= 0
@@ -253,22 +242,25 @@ def trie_scores(trie: Trie, x: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
 def _score(order: int, n_total: int, n_types: int, mu: float):
     """cogroup function: one block's documents and the counts of their n-grams."""
     def score(docs: pa.Table, told: pa.Table) -> pa.Table:
-        x, hashes, starts = encode(docs.column("text").to_pylist())
+        h, starts = encode(docs.column("text").to_pylist())
         width, raw = told.column("width").to_pylist(), told.column("counts").to_pylist()
         where = np.lexsort((told.column("shard").to_numpy(), told.column("level").to_numpy()))
         level = told.column("level").to_numpy()
         at, inverse, counts = [], [], []
-        for n, (pos, key) in enumerate(ngram_keys(x, hashes, order), 1):
-            _, inv = np.unique(key, return_inverse=True)
+        for n, (pos, key) in enumerate(ngram_keys(h, order), 1):
+            distinct, inv = np.unique(key, return_inverse=True)
+            inv = inv.astype(np.int32)
             parts = [np.frombuffer(raw[i], f"<u{width[i]}").astype(np.int64)
                      for i in where if level[i] == n]
             at.append(pos)
             inverse.append(inv)
             counts.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
-            if len(counts[-1]) != inv.max(initial=-1) + 1:
+            if len(counts[-1]) != len(distinct):
                 raise RuntimeError("a block's n-grams differ between two reads of the input")
+        # word ids: places of the distinct unigrams; the first END is as the last
+        x = np.concatenate([inverse[0][-1:], inverse[0]]) if docs.num_rows else np.zeros(1, np.int32)
         own = np.zeros(len(x), np.int64)
-        own[at[0]] = counts[0][inverse[0]]
+        own[1:] = counts[0][inverse[0]]
         base = np.log10((own + 1) / (n_total + n_types + 1))
         model = trie_scores(build(x, at, inverse, counts, n_total, n_types, mu), x, at)
         ends = starts[1:]
@@ -306,7 +298,7 @@ def lm_scores(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: s
                        F.col(text).alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("learn"))
     asked = rows.select("block", "text", "learn").mapInArrow(
-        _ask(order, shards, 4 * block_bytes), ASK)
+        _ask(order, shards, 2 * block_bytes), ASK)
     told = materialise(asked.groupBy("level", "shard").applyInArrow(_total, TOLD), "lm-counts")
     n = told.where("level = 1").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t"),
                                     F.coalesce(F.sum("n_types"), F.lit(0)).alias("v")).first()
