@@ -16,7 +16,8 @@
 
 Edge cases: a null text counts as empty; an empty text is the end id alone; repeated documents
 are packed row by row; null ids are kept; very long texts are cut into many pieces; an empty
-table gives no pieces. Other input columns are not read.
+table gives no pieces; the string of an added token is that token, as the file's tokenizer has it.
+Other input columns are not read.
 """
 
 from __future__ import annotations
@@ -56,13 +57,14 @@ class ByteBPE(dict):
     The tokenizer never merges across the space that starts a word, so a text splits at each
     space that precedes a non-space, and a chunk's ids are kept for its next occurrence (the
     cache is bounded). Chunks go through tiktoken with the same file's vocabulary, which gives
-    the same ids in less than half the time. Texts with other white space around spaces, or
-    with characters beyond the Latin letters, go through tokenizers in one go.
+    the same ids in less than half the time. Texts with other white space around spaces, with
+    characters beyond the Latin letters, or with the string of an added token (which is that
+    token, as in the file; plain text if ``added_as_text``) go through tokenizers in one go.
     """
 
     LIMIT, LONGEST = 600_000, 64
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_as_text: bool = True):
         import json
         import re
 
@@ -71,7 +73,7 @@ class ByteBPE(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
+        self.tokenizer.encode_special_tokens = added_as_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         of = byte_of_character()
@@ -81,7 +83,8 @@ class ByteBPE(dict):
         self.latin = tiktoken.Encoding("file", pat_str=PRETOKEN, mergeable_ranks=ranks,
                                        special_tokens={})
         self.plain = self.latin.encode_ordinary
-        self.special = re.compile(r"[^\x00-\u024f]| (?:\s|$)").search
+        self.special = re.compile("|".join([r"[^\x00-\u024f]| (?:\s|$)",
+                                            *map(re.escape, sorted(special))])).search
 
     def __missing__(self, chunk: str) -> bytes:
         out = array("I", self.plain(" " + chunk)).tobytes()
@@ -108,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, size: int = 2048, end_id: in
     kind = dict(docs.select(F.col(doc_id)).dtypes)[doc_id]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_object(("ByteBPE", tokenizer_path), lambda: ByteBPE(tokenizer_path))
+        bpe = worker_object(("ByteBPE", tokenizer_path), lambda: ByteBPE(tokenizer_path, False))
         for b in batches:
             at, start, length, crc, total = [], [], [], [], []
             for k, t in enumerate(b.column(1).to_pylist()):
@@ -150,7 +153,7 @@ def halves(docs: DataFrame, cuts: DataFrame, tokenizer_path: str, *, end_id: int
         "doc_id", "text", "start", "length", "doc_tokens", "sequence_id", "offset", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_object(("ByteBPE", tokenizer_path), lambda: ByteBPE(tokenizer_path))
+        bpe = worker_object(("ByteBPE", tokenizer_path), lambda: ByteBPE(tokenizer_path, False))
         for b in batches:
             at, out = [], []
             for k, (t, start, length, total, sequence, offset, first) in enumerate(

@@ -74,3 +74,17 @@ def test_pieces_round_trip(spark, documents, plain):
 
 def test_empty_table(spark, documents):
     assert pack(documents([]), PATH).count() == 0
+
+
+def test_added_tokens_as_in_the_file(spark, documents):
+    file = tokenizers.Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext", prose(2, 50),
+             prose(3, 1200) + " <|endoftext|> " + prose(4, 1200)]
+    ids = [file.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert ids[0] == [64, 220, 50256, 275, 1]
+    out = pack(documents(list(enumerate(texts))), PATH).collect()
+    assert {r.doc_id for r in out} == set(range(len(texts)))
+    for r in out:
+        part = ids[r.doc_id][r.start:r.start + r.length]
+        assert r.doc_tokens == len(ids[r.doc_id])
+        assert zlib.crc32(struct.pack(f"<{len(part)}I", *part)) == r.ids_crc32
