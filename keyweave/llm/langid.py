@@ -3,9 +3,10 @@
 Texts become lower-cased runs of letters between single spaces; their character 1- to 3-grams are
 hashed into ``2**bits`` buckets, of whole texts. Document frequencies are counted over all
 training documents. TF-IDF rows (1 + log tf, normalised) of a bounded sample of labelled rows
-(``fit_rows``, the documented limit of the fit) train the weights with follow-the-regularised-leader
-(per-coordinate rates, elastic-net penalty, so that most weights are exactly 0). A fifth of the
-sample is kept back from that and fits one temperature for the scores.
+(about ``fit_rows`` in the languages' shares, but of each language at least about ``least_rows`` or
+all it has, the documented limit of the fit) train the weights with follow-the-regularised-leader
+(per-coordinate rates, elastic-net penalty, so that most weights are exactly 0). A fifth of each
+language's sample is kept back from that and fits one temperature for the scores.
 
 Edge cases: a text that is null, empty or has no letters is ``und`` with score 0; null languages
 are not learnt from; without any labelled document every text is ``und``; with one language all
@@ -144,7 +145,8 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text",
-          lang: str = "lang", bits: int = 14, fit_rows: int = 5000) -> Model:
+          lang: str = "lang", bits: int = 14, fit_rows: int = 5000,
+          least_rows: int = 100) -> Model:
     """Fit on documents where ``learn`` holds and the language is known."""
     known = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("id"), F.col(text).alias("t"), F.col(lang).cast("string").alias("y"))
@@ -168,8 +170,11 @@ def train(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str =
     if df:
         idf[list(df)] = np.log((1 + n_docs) / (1 + np.array(list(df.values())))) + 1
 
-    order = F.xxhash64("id", F.lit(4))
-    last = known.select(order.alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
+    # a row's place between 0 and 1; rows that repeat id and text are one
+    place = F.pmod(F.xxhash64("id", "t", F.lit(4)), F.lit(1 << 40)) / float(1 << 40)
+    per = known.groupBy("y").agg(F.count("*").alias("n"), F.min(place).alias("first")).collect()
+    n_rows = sum(r.n for r in per)
+    share = {r.y: max(fit_rows / n_rows, least_rows / r.n, r.first) for r in per}
 
     def rows(batches):
         for b in batches:
@@ -179,12 +184,13 @@ def train(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str =
                  pa.array([x[1].astype(np.int32) for x in c], pa.list_(pa.int32())),
                  b.column(2)], names=["id", "at", "n", "y"])
 
-    if last is None:
+    if not per:
         return Model([], idf, np.zeros((1 << bits, 0)), np.zeros(0), 1.0, bits)
     kind = dict(known.dtypes)["id"]
-    # the limit holds only if rows repeat a chosen id
-    sample = known.where(order <= last).mapInArrow(
-        rows, f"id {kind}, at array<int>, n array<int>, y string").limit(2 * fit_rows).toArrow()
+    shares = known.sparkSession.createDataFrame(list(share.items()), "s_y string, share double")
+    sample = known.join(F.broadcast(shares), F.col("y") == F.col("s_y")).where(
+        place <= F.col("share")).select("id", "t", "y").dropDuplicates().mapInArrow(
+        rows, f"id {kind}, at array<int>, n array<int>, y string").toArrow()
     sample = sample.sort_by([("id", "ascending"), ("y", "ascending")])
     languages = sorted(set(sample.column("y").to_pylist()))
     data = []
@@ -193,12 +199,15 @@ def train(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str =
         if len(a):
             data.append((a, tfidf(a, n.values.to_numpy(), idf), languages.index(y.as_py())))
     np.random.default_rng(7).shuffle(data)
-    back = len(data) // 5
-    w, bias = ftrl(data[back:], 1 << bits, len(languages))
+    seen, kept, fit = [0] * len(languages), [], []
+    for row in data:  # every fifth row of a language is kept back
+        seen[row[2]] += 1
+        (fit if seen[row[2]] % 5 else kept).append(row)
+    w, bias = ftrl(fit, 1 << bits, len(languages))
     temperature = 1.0
-    if back and len(languages) > 1:
-        z = np.array([v @ w[at] + bias for at, v, _ in data[:back]])
-        temperature = fit_temperature(z, np.array([y for *_, y in data[:back]]))
+    if kept and len(languages) > 1:
+        z = np.array([v @ w[at] + bias for at, v, _ in kept])
+        temperature = fit_temperature(z, np.array([y for *_, y in kept]))
     return Model(languages, idf, w, bias, temperature, bits)
 
 
