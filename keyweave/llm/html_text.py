@@ -8,9 +8,9 @@ text-to-tag ratio: its characters over its tags. The ratios are smoothed with a
 two-means clustering of the smoothed ratios gives a threshold between boilerplate and content.
 
 Lines that reach it choose the content regions: article or main elements where a page has any (all
-of them if no line of theirs reaches it), else the blocks that hold such lines. A chosen region
-gives all its lines, so short paragraphs and headings of the article stay; text directly in the
-body is judged line by line.
+of them if no line of theirs reaches it), else the blocks that hold such lines and the blocks beside
+them (see ``Lines.beside``). A chosen region gives all its lines, so short paragraphs and headings
+of the article stay; text directly in the body is judged line by line.
 
 Edge cases: null and empty html give an empty text; unclosed and stray tags end with the block
 that holds them; character references are decoded; white space inside a block becomes one
@@ -53,19 +53,28 @@ NOISE = re.compile(
     r"modal|overlay|newsletter|subscri\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|header|"
     r"masthead|comments?|replies|disqus|related|recommend\w*|share|sharing|social|toolbar|"
     r"widget|login|signup|copyright|legal|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
+# Whole words of a class, id or role that mark an article element as a reader's comment.
+COMMENT = re.compile(r"(?:^|\s)(?:div-)?comments?[-_]?(?:list|body|item|content|text|area|thread|"
+                     r"section|box|entry|\d+)?(?:\s|$)", re.I)
 SPACES = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
     """Lines of a page: (text, tags, region). A region is an outermost article or main
-    element, or else the innermost open container; ``articles`` are those of the first kind."""
+    element, or else the innermost open container; ``articles`` are those of the first kind.
+    ``around`` has each region's parent element, that one's tag, and the region's class words;
+    ``letters`` has its characters and those of them in links."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int]] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # (tag, left out, article, region around)
-        self.out = self.inside = self.region = 0
+        # (tag, left out, article, region around, number)
+        self.open: list[tuple[str, bool, bool, int, int]] = []
+        self.out = self.inside = self.region = self.n_open = 0
         self.n_regions, self.articles = 0, set()
+        self.around: dict[int, tuple[int, str, set[str]]] = {}
+        self.letters: dict[int, list[int]] = {}
+        self.link, self.linked = False, 0
         self.parts: list[str] = []
         self.tags = 0
 
@@ -74,12 +83,16 @@ class Lines(HTMLParser):
         if text:
             self.lines.append((text, self.tags, self.region))
             self.tags = 0
-        self.parts = []
+            letters = self.letters.setdefault(self.region, [0, 0])
+            letters[0] += len(text)
+            letters[1] += self.linked
+        self.parts, self.linked = [], 0
 
     def _close(self, k: int) -> None:
         """Close the open element k and all inside it."""
         self.flush()
-        for _, out, article, _ in self.open[k:]:
+        self.link = False
+        for _, out, article, *_ in self.open[k:]:
             self.out -= out
             self.inside -= article
         self.region = self.open[k][3]
@@ -87,6 +100,8 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if tag == "a":
+            self.link = True
         if tag in INLINE or tag in VOID:
             if tag in ("br", "hr", "img", "input"):
                 if tag == "br" and not self.out:
@@ -107,10 +122,14 @@ class Lines(HTMLParser):
                 self._close(last)
         out = tag in HIDDEN or tag in ASIDE or bool(attrs and self._noise(tag, attrs))
         article = tag in MAIN and not out
-        self.open.append((tag, out, article, self.region))
+        self.n_open += 1
+        around = next((x for x in reversed(self.open) if x[0] not in INLINE), ("", 0, 0, 0, 0))
+        self.open.append((tag, out, article, self.region, self.n_open))
         if not self.inside and tag in CONTAINERS:
             self.n_regions += 1
             self.region = self.n_regions
+            named = next((v for k, v in attrs if k == "class" and v), "")
+            self.around[self.region] = (around[4], around[0], set(named.split()))
             if article:
                 self.articles.add(self.region)
         self.out += out
@@ -121,10 +140,28 @@ class Lines(HTMLParser):
         if any(k == "hidden" or (k == "style" and v and re.search(
                 r"display\s*:\s*none", v, re.I)) for k, v in attrs):
             return True
-        if tag in MAIN or tag in ("html", "body"):
-            tag = ""
+        if tag in ("html", "body"):
+            return False
         marks = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        return bool(tag and marks and NOISE.search(marks)) or "comment" in marks.lower()
+        if tag in MAIN:
+            return bool(COMMENT.search(marks))
+        return bool(marks and NOISE.search(marks)) or "comment" in marks.lower()
+
+    def beside(self, chosen: set[int]) -> set[int]:
+        """The regions of ``chosen`` and those under the same parent, unless half of a region's
+        characters are in links. Directly in the body, where a page has its other parts too,
+        they must share a class word or both have no class."""
+        parents: dict[int, list[set[str]]] = {}
+        for r in chosen & self.around.keys():
+            parents.setdefault(self.around[r][0], []).append(self.around[r][2])
+        out = set(chosen)
+        for r, (parent, tag, named) in self.around.items():
+            total, linked = self.letters.get(r, (0, 0))
+            if parent in parents and 2 * linked < total and (
+                    tag not in ("", "html", "body")
+                    or any(named & x or not (named or x) for x in parents[parent])):
+                out.add(r)
+        return out
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -135,6 +172,8 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if tag == "a":
+            self.link = False
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 if tag in INLINE:
@@ -150,6 +189,8 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.out:
             self.parts.append(data)
+            if self.link:
+                self.linked += len(data.strip())
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -191,6 +232,8 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     articles = {line[2] for line in lines} & parser.articles
     if articles:
         chosen = chosen & articles or articles
+    else:
+        chosen = parser.beside(chosen)
     return "\n\n".join(line[0] for line, keep in zip(lines, content, strict=True)
                        if line[2] in chosen and (keep or line[2]))
 

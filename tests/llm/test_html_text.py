@@ -26,6 +26,28 @@ def test_page_without_article_element():
     assert main_text(page) == "\n\n".join(["Head", LONG, "Short.", LONG])
 
 
+def test_comment_words_on_the_page_and_the_article():
+    said = f'<article class="comment-body even"><p>{LONG} said.</p></article>'
+    page = f"""<html class="js comments"><body class="single comments-open">
+    <article class="post comment-status-closed"><p>{LONG}</p></article>{said}
+    <section id="comments"><p>{LONG}</p></section></body></html>"""
+    assert main_text(page) == LONG
+    assert main_text(f'<body class="single comments-open"><div><p>{LONG}</p></div></body>') == LONG
+    assert main_text(f'<main id="main" class="has-comments"><p>{LONG}</p></main>') == LONG
+
+
+def test_paragraphs_wrapped_one_by_one():
+    short, long = "A short paragraph of just forty-five letters.", "Long words. " * 62
+    lines = [*[f"{short} {i}" for i in range(5)], long.strip(), *[f"{short} {i}" for i in range(5, 10)]]
+    wrapped = "".join(f"<div><p>{x}</p></div>" for x in lines)
+    links = "<div><a href=1>one</a> <a href=2>two</a></div>"
+    for page in (f"<body>{links}{wrapped}{links}</body>",
+                 f'<body>{links}<div id="text">{wrapped}{links}</div></body>',
+                 "<body>" + wrapped.replace("<div", '<section class="b"')
+                 .replace("</div", "</section") + "</body>"):
+        assert main_text(page) == "\n\n".join(lines)
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<!-- x -->") == ""
     assert main_text("no markup &lt;at all") == "no markup <at all"
