@@ -25,7 +25,7 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyweave.llm.compact_windows import passages
 
-    return passages(table(spark, sf_dir, "documents"))
+    return passages(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
