@@ -11,7 +11,9 @@
    candidates. Texts of buckets that still hold several classes are sketched again, with
    ``fine_bands`` longer keys of ``fine_rows`` sketches, which keep texts just below the threshold
    apart; in these buckets the members outside their centre's class get a new centre, round
-   after round until a round finds no link. With two shingles a sketch, a pair at 0.8 shares a
+   after round until a round finds no link. Then all pairs of different classes that still share a
+   fine bucket and were not candidates yet are candidates, so that every pair in a fine bucket
+   is tested or of one class (a bucket gives at most the pairs of its different classes). With two shingles a sketch, a pair at 0.8 shares a
    band with a chance of 0.99997, and a fine band with 0.99.
 4. Each candidate is verified by alignment of its shingle sequences inside the band that a
    similarity of ``threshold`` allows: with c shingles aligned, the similarity is
@@ -214,17 +216,12 @@ def _text_classes(some: DataFrame, k: int, threshold: float, bands: int, rows: i
     texts = some.groupBy("tid").agg(F.first("text").alias("text"))  # copies meet map-side
     texts = materialise(texts.join(wanted, F.col("tid") == F.col("w"), "left_semi"), "texts")
     members = buckets.withColumn("root", F.col("tid"))
-    stars = links = classes = None
-    fine = False
-    while True:
-        best = F.struct("weight", F.xxhash64("tid", "bucket"), "tid", "root")
-        centres = materialise(members.groupBy("bucket").agg(F.max(best).alias("d")).select(
-            F.col("bucket").alias("c_bucket"), F.col("d.tid").alias("centre"),
-            F.col("d.root").alias("c_root")), "centres")
-        edges = materialise(members.join(centres, F.col("bucket") == F.col("c_bucket"))
-                            .where("root != c_root").select(
-            F.col("tid").alias("a"), F.col("centre").alias("b"), "root", "c_root").distinct(),
-            "edges")
+    stars = links = classes = tested = every_fine = None
+
+    def grown(edges):
+        """Verify the edges and let the classes grow by their links; whether there are none."""
+        nonlocal stars, links, classes, tested
+        tested = edges.select("a", "b") if tested is None else tested.union(edges.select("a", "b"))
         found = materialise(_verified(edges, texts, k, threshold), "links")
         links = found if links is None else links.union(found)
         none = found.isEmpty()
@@ -237,26 +234,50 @@ def _text_classes(some: DataFrame, k: int, threshold: float, bands: int, rows: i
             stars = propagate(new if stars is None else stars.union(new))
             classes = materialise(stars.groupBy(F.col("member").alias("node")).agg(
                 F.min("label").alias("label")), "classes")
-        if fine and none:
-            break
-        named = lambda m: m.join(classes, F.col("tid") == F.col("node"), "left").select(
+        return none
+
+    def named(m):
+        return m.drop("root").join(classes, F.col("tid") == F.col("node"), "left").select(
             "bucket", "tid", "weight", F.coalesce("label", "tid").alias("root"))
-        if fine:
+
+    while True:
+        best = F.struct("weight", F.xxhash64("tid", "bucket"), "tid", "root")
+        centres = materialise(members.groupBy("bucket").agg(F.max(best).alias("d")).select(
+            F.col("bucket").alias("c_bucket"), F.col("d.tid").alias("centre"),
+            F.col("d.root").alias("c_root")), "centres")
+        edges = materialise(members.join(centres, F.col("bucket") == F.col("c_bucket"))
+                            .where("root != c_root").select(
+            F.col("tid").alias("a"), F.col("centre").alias("b"), "root", "c_root").distinct(),
+            "edges")
+        if grown(edges) and every_fine is not None:
+            break
+        if every_fine is not None:
             # next, the members outside the class of the bucket's centre
             done = centres.join(classes, F.col("centre") == F.col("node"), "left").select(
                 F.col("c_bucket").alias("d_bucket"), F.coalesce("label", "centre").alias("d_root"))
-            members = _open(materialise(named(members.drop("root")).join(
+            members = _open(materialise(named(members).join(
                 done, (F.col("bucket") == F.col("d_bucket")) & (F.col("root") == F.col("d_root")),
                 "left_anti"), "outside"))
         else:
-            fine = True
-            left = _open(materialise(named(members.drop("root")), "named"))
+            left = _open(materialise(named(members), "named"))
             texts = materialise(texts.join(left.select(F.col("tid").alias("w")).distinct(),
                                            F.col("tid") == F.col("w"), "left_semi"), "texts-left")
-            members = _open(materialise(named(_buckets(texts.select("tid", "text"), k, fine_bands,
-                                                       fine_rows, tuple_size)), "fine"))
+            members = every_fine = _open(materialise(named(_buckets(
+                texts.select("tid", "text"), k, fine_bands, fine_rows, tuple_size)), "fine"))
         if members.isEmpty():
             break
+    # what no star tested: pairs of different classes in a fine bucket
+    x = _open(materialise(named(every_fine), "fine-named"))
+    y = x.select(F.col("bucket").alias("y_bucket"), F.col("tid").alias("b"),
+                 F.col("root").alias("c_root"))
+    pairs = x.join(y, (F.col("bucket") == F.col("y_bucket")) & (F.col("root") < F.col("c_root"))) \
+        .select(F.col("tid").alias("a"), "b", "root", "c_root").distinct()
+    both = tested.union(tested.select("b", "a")).select(F.col("a").alias("t_a"),
+                                                        F.col("b").alias("t_b"))
+    pairs = materialise(pairs.join(both, (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")),
+                                   "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        grown(pairs)
     classes = classes.withColumnRenamed("label", "root")
     links = links.select("a", "b").distinct()
     degree = links.select(F.explode(F.array("a", "b")).alias("t")).groupBy("t").agg(

@@ -9,6 +9,7 @@ from keyweave.llm.order_minhash import (
     deduplicate,
     labelled_shingles,
     near_duplicates,
+    order_sketches,
 )
 from tests.llm.conftest import odd_rows, prose
 
@@ -105,3 +106,39 @@ def test_odd_rows(spark, documents):
 def test_empty_table(spark, documents):
     assert near_duplicates(documents([])).count() == 0
     assert deduplicate(documents([])).count() == 0
+
+
+def test_version_chains_and_slots_equal_all_pairs(spark, documents):
+    rows, base = [], prose(31, 170)
+    for g in range(12):  # chains: each version is near the one before only
+        text = edited(base, 9, 50 + g)
+        for v in range(12):
+            rows.append((len(rows), text))
+            text = edited(text, 3, 1000 * g + v)
+    slots = prose(32, 200).split(" ")
+    for i in range(60):  # one text with slots that are filled anew
+        ws = list(slots)
+        for j in range(0, 200, 29 if i % 2 else 41):
+            ws[j] = f"slot{i % 7}{j}" if i % 3 else f"own{i}"
+        rows.append((len(rows), " ".join(ws)))
+    assert classes(near_duplicates(documents(rows))) == brute(rows)
+
+
+def test_every_pair_of_a_fine_bucket_is_met(spark, documents):
+    rows, want = [], {}
+    for g in range(30):  # a and c are too far apart, b is near both
+        b = prose(4000 + g, 150).split(" ")
+        a, c = list(b), list(b)
+        for j in (10, 50, 90):
+            a[j], c[j + 20] = f"a{g}x{j}", f"c{g}x{j}"
+        texts = [" ".join(ws) for ws in (a, b, c)]
+        s = [labelled_shingles(t, 5) for t in texts]
+        assert alignment_similarity(s[0], s[1], 0.8) and alignment_similarity(s[1], s[2], 0.8)
+        assert not alignment_similarity(s[0], s[2], 0.8)
+        if len({int(order_sketches(x, 1, 1)[0]) for x in s}) == 1:  # all in one bucket
+            want |= {3 * g + i: 3 * g for i in range(3)}
+        rows += [(3 * g + i, t) for i, t in enumerate(texts)]
+    assert len(want) > 45
+    got = classes(near_duplicates(documents(rows), bands=1, rows=1, tuple_size=1, fine_bands=1,
+                                  fine_rows=1))
+    assert {i: got[i] for i in want} == want
