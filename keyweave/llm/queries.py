@@ -85,7 +85,7 @@ def op10_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyweave.llm.trie_lm import lm_scores
 
     held = crc_mod("doc_id", 7) == 2
-    return lm_scores(table(spark, sf_dir, "documents"), ~held, on_files=True).select(
+    return lm_scores(table(spark, sf_dir, "documents"), ~held, order=3, on_files=True).select(
         "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
         "base_score", "score")
 

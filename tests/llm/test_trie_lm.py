@@ -95,3 +95,17 @@ def test_empty_table_and_no_training_rows(spark, documents):
     assert lm_scores(documents([]), F.lit(True)).count() == 0
     [r] = lm_scores(documents([(1, "a b")]), F.lit(False)).collect()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_registered_query_uses_contexts_of_two_words(spark, documents):
+    from keyweave.llm.common import crc_mod
+    from keyweave.llm.queries import op10_trie_lm
+    from keyweave.session import ensure_checkpoint_dir
+
+    sf_dir = f"{ensure_checkpoint_dir(spark)}/lm-query"
+    documents([(i, prose(i % 20, 80)) for i in range(60)]).write.mode("overwrite").parquet(
+        f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id: r.score for r in op10_trie_lm(spark, sf_dir).collect()}
+    want = {r.doc_id: r.score for r in lm_scores(docs, crc_mod("doc_id", 7) != 2, order=3).collect()}
+    assert got == pytest.approx(want)
