@@ -93,5 +93,47 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
        coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join p using (rid) left join t using (rid)
+""",
+    "op12_kronecker_negatives": """
+with e as (
+  select row_number() over () as rid, vec_id,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.rid, a.vec_id as anchor_id, c.vec_id, c.label = a.label as same,
+         coalesce(list_sum(list_transform(list_zip(a.v, c.v),
+           lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0)::bigint as score
+  from e a join e c on a.vec_id % 100 = 0 and c.rid <> a.rid),
+p as (
+  select rid, anchor_id, vec_id as positive_id, score as positive_score,
+         row_number() over (partition by rid order by score desc, vec_id) as r
+  from s where same qualify r <= 5),
+n as (
+  select p.anchor_id, p.positive_id, p.positive_score, s.vec_id as negative_id,
+         s.score as negative_score,
+         (row_number() over (partition by p.rid, p.r order by s.score desc, s.vec_id))::int as rank
+  from p join s on s.rid = p.rid and not s.same
+    and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+from n where rank <= 5
+""",
+    "op13_one_bit_codes": """
+with e as (
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: x::double) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s as (
+  select q.rid, q.vec_id as query_id, c.vec_id,
+         list_reduce(list_prepend(0.0::double, list_transform(list_zip(q.v, c.v),
+           lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), lambda x, y: x + y) as score
+  from e q join e c on q.vec_id % 20 = 0 and c.rid <> q.rid)
+select query_id, (row_number() over (partition by rid order by score desc, vec_id))::int as rank,
+       vec_id, score
+from s qualify rank <= 20
 """,
 }

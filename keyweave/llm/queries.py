@@ -90,6 +90,20 @@ def op10_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def op12_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.kronecker import hard_negatives
+
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", shifted.alias("label"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyweave.llm.one_bit import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_order_minhash": op2_order_minhash,
@@ -101,4 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_trie_lm": op10_trie_lm,
+    "op12_kronecker_negatives": op12_kronecker_negatives,
+    "op13_one_bit_codes": op13_one_bit_codes,
 }
