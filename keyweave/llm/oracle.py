@@ -93,6 +93,54 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
        coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join p using (rid) left join t using (rid)
+""",
+    "op11_prefix_trie": r"""
+with t as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+                            md5(coalesce(text, ''))) as pos
+  from conversations where conv_id is not null),
+k as (
+  select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as tab),
+v as (select c, count(*) as n, c - c % 5 as base from t group by c),
+w as (
+  select v.c, v.n, v.base, coalesce(b.n, 0) as base_n,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(v.c::varchar, ''),
+               lambda x: ascii(x)::bigint)),
+             lambda x, y: xor(x >> 8, tab[(xor(x, y) & 255) + 1])), 4294967295) % 9 as h
+  from v cross join k left join v b on b.c = v.base),
+r as (
+  select t.c, t.pos, t.role, t.text from t join w using (c) where w.base = w.c
+  union all
+  select t.c, t.pos - h + least(h, base_n), t.role, t.text
+  from t join w using (c) where w.base <> w.c and t.pos > h
+  union all
+  select w.c, t.pos, t.role, t.text from w join t on t.c = w.base and t.pos <= w.h
+  where w.base <> w.c),
+s as (
+  select c, coalesce(q, []) as q from w left join (
+    select c, list({'role': role, 'text': text} order by pos) as q from r group by c) using (c)),
+p as (select c, len(q) as n, d, q[1:d] as pre
+      from (select c, q, unnest(range(0, len(q) + 1)) as d from s)),
+g as (
+  select d, pre, min(c) as conv_id, count(*) as n_convs,
+         coalesce(string_agg(c::varchar, ',' order by c) filter (where n = d), '') as ends
+  from p group by d, pre),
+kids as (select d - 1 as d, pre[1:d - 1] as pre, count(*) as n_children from g where d > 0
+         group by all),
+f as (
+  select g.*, m.conv_id as parent_conv_id, coalesce(n_children, 0) as n_children,
+         case when g.d = 0 then 0 else (g.n_convs - 1) * strlen(g.pre[g.d].text) end as own
+  from g left join kids on kids.d = g.d and kids.pre = g.pre
+  left join g m on m.d = g.d - 1 and m.pre = g.pre[1:g.d - 1]),
+tot as (
+  select a as d, pre[1:a] as pre, count_if(n_children = 0)::bigint as n_leaves,
+         sum(own)::bigint as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as a from f) group by all)
+select conv_id, f.d as depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+       sha256(ends) as ends_sha256
+from f join tot on tot.d = f.d and tot.pre = f.pre
 """,
     "op12_kronecker_negatives": """
 with e as (

@@ -90,6 +90,20 @@ def op10_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def branch_trie(conversations: DataFrame, **kw) -> DataFrame:
+    """Prefix trie of the conversations rebuilt as branches of every fifth one."""
+    from keyweave.llm.prefix_trie import branched, ordered_turns, prefix_trie
+
+    c = F.col("c")
+    turns, sequences = branched(ordered_turns(conversations), base=c - c % 5,
+                                head=F.crc32(c.cast("string")) % 9, most=8)
+    return prefix_trie(turns, sequences, **kw)
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return branch_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyweave.llm.kronecker import hard_negatives
 
@@ -115,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_trie_lm": op10_trie_lm,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_kronecker_negatives": op12_kronecker_negatives,
     "op13_one_bit_codes": op13_one_bit_codes,
 }
