@@ -30,8 +30,9 @@ Physical plan, chosen to survive hot keys at scale:
   row. The probe is a left outer join with one row to a group, so no side of a group
   is held in memory. Pairs and probes read the same two exchanges.
 * With an explicit arrival sequence the eager condition is two-dimensional (time
-  window and arrival rank), so unmatched rows come from exact left-anti joins on
-  ``(key, bucket)`` with the arrival comparison as residual.
+  window and arrival rank): a row is unmatched if the first arrival among the other
+  side's rows of its window is after its own. That minimum comes from prefix and suffix
+  minima of window-wide blocks (``keyweave.operators.sliding``), one look-up a row.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ from pyspark.sql import functions as F
 
 from keyweave.functions.order import arrival_before
 from keyweave.functions.timecols import bucket_of, epoch_micros, window_micros
+from keyweave.operators.sliding import window_extremes
 
 LEFT, RIGHT = 0, 1
 PREFIX = {LEFT: "l_", RIGHT: "r_"}
@@ -247,25 +249,22 @@ def _solos(s: _Sides, side: int, emit: str, rows: DataFrame | None = None) -> Da
     return joined.where(alone).select(*probe.columns)
 
 
-def _anti_unmatched(s: _Sides, side: int) -> DataFrame:
-    """Eager unmatched rows under an explicit arrival sequence: exact anti-join."""
-    p = PREFIX[side]
-    probe, other_side = (s.left, RIGHT) if side == LEFT else (s.right, LEFT)
-    other = s.right if side == LEFT else s.left
-    o = PREFIX[other_side]
+def _arrival_solos(s: _Sides, side: int) -> DataFrame:
+    """Eager unmatched rows under an explicit arrival sequence: those that arrived before every
+    other-side row of their window."""
+    p, o = PREFIX[side], PREFIX[1 - side]
+    probe, other = (s.left, s.right) if side == LEFT else (s.right, s.left)
     key, okey = ("key", "r__key") if side == LEFT else ("r__key", "key")
-    cond = (
-        (F.col(key) == F.col(okey))
-        & (F.col(p + "_b") == F.col(o + "_bt"))
-        & _in_window(F.col(p + "_t"), F.col(o + "_t"), s.w)
-        & arrival_before(_pos(other_side), _pos(side))
-    )
-    return probe.join(_exploded(other, other_side, s.w), cond, "left_anti")
+    first = F.struct(F.col(o + "_o1").alias("o1"), F.col(o + "id").alias("id"))
+    rows = window_extremes(probe, other, s.w, {"_first": (first, "min")}, key=key, t=p + "_t",
+                           other_key=okey, other_t=o + "_t")
+    met = arrival_before((F.col("_first.o1"), F.lit(1 - side), F.col("_first.id")), _pos(side))
+    return rows.where(F.col("_first").isNull() | ~met).drop("_first")
 
 
 def _unmatched(s: _Sides, side: int, emit: str, ts: str, id: str) -> DataFrame:
     if emit == "eager" and s.arrival:
-        rows = _anti_unmatched(s, side)
+        rows = _arrival_solos(s, side)
     else:
         rows = _solos(s, side, emit)
     return _solo_rows(s, side, rows, ts, id)
@@ -350,40 +349,34 @@ def interval_outer_join(left: DataFrame, right: DataFrame, *, key: str = "key",
 
 
 def latest_rows(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str = "ts",
-                id: str = "id", window_ms: int = 1000, emit: str = "eager") -> DataFrame:
+                id: str = "id", window_ms: int = 1000, emit: str = "eager",
+                arrival: str | None = None) -> DataFrame:
     """The rows of :func:`interval_outer_join` that can be the last of their entity, when the
     right side's entity id names a joined row's entity: at most one for an input row.
 
-    Of the rows that a right row takes part in, the last emitted is its pair with the latest
-    left row of its window, or the row alone if there is none. Besides these only left rows
-    emitted alone can win, so a last-write-wins table needs no other pairs. The latest left row
-    comes from a running window over both sides in time order, keyed by ``(key, bucket)``: a
-    right row looks back two windows from the end of its own, and left rows are copied to the
-    bucket they are in and the next. Event-time order only.
+    Of the rows that a right row takes part in, the last emitted is its pair with the left row
+    of its window that arrived last, if that one came after it. Otherwise the right row
+    itself emits last, and its last pair is with the latest left row of its window (or it is
+    alone). Besides these only left rows emitted alone can win, so a last-write-wins table
+    needs no other pairs. Both left rows are extremes over the right row's window
+    (``keyweave.operators.sliding``); in event-time order they are one and the same.
     """
     _check_emit(emit)
-    s = _sides(left, right, key, ts, id, window_ms, None)
-    width = F.lit(2 * max(s.w, 1))
-    own = F.struct(*s.left_cols, "l__t", "l__o1")
-    b = bucket_of(F.col("l__t"), 2 * max(s.w, 1))
-    lefts = s.left.select("key", F.explode(F.array(b, b + 1)).alias("g"),
-                          F.col("l__t").alias("at"), F.lit(LEFT).alias("side"),
-                          F.col("l_" + id).alias("rank"), own.alias("l"),
-                          F.lit(None).cast(s.right.drop("r__key", "r__b").select(
-                              F.struct("*").alias("r")).schema["r"].dataType).alias("r"))
-    end = F.col("r__t") + F.lit(s.w)
-    rights = s.right.select(
-        F.col("r__key").alias("key"), ((end - F.pmod(end, width)) / width).cast("long").alias("g"),
-        end.alias("at"), F.lit(RIGHT).alias("side"), F.col("r_" + id).alias("rank"),
-        F.lit(None).cast(lefts.schema["l"].dataType).alias("l"),
-        F.struct(*[c for c in s.right.columns if c not in ("r__key", "r__b")]).alias("r"))
-    so_far = Window.partitionBy("key", "g").orderBy("at", "side", "rank").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    w = lefts.union(rights).withColumn("l", F.last("l", ignorenulls=True).over(so_far)) \
-        .where(F.col("side") == RIGHT)
-    near = F.col("l.l__t") >= F.col("r.r__t") - F.lit(s.w)
-    w = w.withColumn("l", F.when(near, F.col("l"))).select("key", "l.*", "r.*")
+    s = _sides(left, right, key, ts, id, window_ms, arrival)
+    own = F.struct(*s.left_cols, "l__t", "l__o1").alias("own")
+    time, o1, i = F.col("l__t").alias("t"), F.col("l__o1").alias("o1"), F.col("l_" + id).alias("id")
+    best = {"_latest": (F.struct(time, o1, i, own), "max")}
+    if s.arrival:
+        best["_last"] = (F.struct(o1, i, own), "max")
+    w = window_extremes(s.right.drop("r__b"), s.left, s.w, best, key="r__key", t="r__t",
+                        other_key="key", other_t="l__t")
+    l = F.col("_latest.own")
+    if s.arrival:
+        after = arrival_before(_pos(RIGHT), (F.col("_last.o1"), F.lit(LEFT), F.col("_last.id")))
+        l = F.when(F.col("_last").isNotNull() & after, F.col("_last.own")).otherwise(l)
+    w = w.withColumn("_l", l).select(F.col("r__key").alias("key"), "_l.*", *[
+        c for c in w.columns if c.startswith("r_") and c != "r__key"])
     pair, pe, se = F.col("l__t").isNotNull(), _pair_exprs(s, ts, id), _solo_exprs(RIGHT, ts, id)
     last = w.select("key", *s.left_cols, *s.right_cols, *[
         F.when(pair, pe[c]).otherwise(se[c]).alias(c) for c in _EXPR_COLUMNS])
-    return _output([last, _solo_rows(s, LEFT, _solos(s, LEFT, emit), ts, id)], s)
+    return _output([last, _unmatched(s, LEFT, emit, ts, id)], s)

@@ -19,7 +19,18 @@ from keyweave.operators.interval_join import (
     matched_pairs,
     unmatched_rows,
 )
-from keyweave.operators.table import changelog, last_write_wins, lookup, lookup_range, rekey
+from keyweave.operators.footprint import state_rows
+from keyweave.operators.lateness import OnTime, split_late
+from keyweave.operators.table import (
+    changelog,
+    collapse_updates,
+    for_entities,
+    last_write_wins,
+    lookup,
+    lookup_as_of,
+    lookup_range,
+    rekey,
+)
 from keyweave.operators.tap import tap
 from keyweave.schemas import FULL_FIELDS, field_names
 from keyweave.sources.conform import conform
@@ -42,6 +53,9 @@ HOT_KEY = "hot"
 # A producer's empId beyond the record's 32 bits; microseconds of delay for each unit of value.
 WIDE_EMPID = 3_000_000_000
 DELAY_MICROS = 100_000_000
+# Grace for rows that arrive out of order, and the interval of a record cache's commits.
+GRACE_MS = 3600 * 1000
+COMMIT_MS = 30 * 60 * 1000
 LOOKUP_POINTS = [1, 7, 42, 1_000_000_000]
 LOOKUP_RANGE = (10, 60)
 
@@ -178,11 +192,37 @@ def join_eager_arrival(spark, sf_dir):
 
 def emp_table_arrival(spark, sf_dir):
     """The table of that join."""
-    upd = changelog(flatten_full_details(_arrival_join(spark, sf_dir)))
+    p, a = (stream(_ev(spark, sf_dir), k, arrival=_arrival()) for k in ("personal", "address"))
+    upd = changelog(flatten_full_details(latest_rows(p, a, window_ms=WINDOW_MS, arrival="seq")))
     t = last_write_wins(upd, values=[*FULL[1:], "l_id", "r_id"])
     return floats_as_double(t.withColumnRenamed("key", "empId"))
 
 
+def _on_time(spark, sf_dir) -> OnTime:
+    p, a = (stream(_ev(spark, sf_dir), k, arrival=_arrival()) for k in ("personal", "address"))
+    return split_late(p, a, grace_ms=GRACE_MS, arrival="seq")
+
+
+def join_eager_grace(spark, sf_dir):
+    """The eager join when rows arrive out of order and late ones are dropped."""
+    s = _on_time(spark, sf_dir)
+    return interval_outer_join(s.left, s.right, window_ms=WINDOW_MS, arrival="seq").select(
+        "key", "ts", "l_id", "r_id", "emit_id")
+
+
+def late_rows(spark, sf_dir):
+    """The rows that the grace period leaves out, with the watermark that they met."""
+    return _on_time(spark, sf_dir).late.select(
+        "key", "ts", "id", "side", F.unix_micros("watermark").alias("watermark_us"))
+
+
+def join_state_rows(spark, sf_dir):
+    """The most rows that the join holds at once, by side and hour."""
+    p, a = _sides(spark, sf_dir)
+    return state_rows(p, a, window_ms=WINDOW_MS, grace_ms=GRACE_MS).select(
+        "side", F.unix_seconds("hour").alias("hour_s"), "peak_rows")
+
+
 # --- projection ------------------------------------------------------------------
 
 def flatten_join(spark, sf_dir):
@@ -207,8 +247,10 @@ def rekey_emp(spark, sf_dir):
 
 # --- table -------------------------------------------------------------------------
 
-def _table(spark, sf_dir, *, emit="eager", window_ms=WINDOW_MS, **addr) -> DataFrame:
+def _table(spark, sf_dir, *, emit="eager", window_ms=WINDOW_MS, wanted=None, **addr) -> DataFrame:
     p, a = _sides(spark, sf_dir, **addr)
+    if wanted is not None:
+        p, a = for_entities(p, a, wanted)
     upd = changelog(flatten_full_details(latest_rows(p, a, window_ms=window_ms, emit=emit)))
     t = last_write_wins(upd, values=[*FULL[1:], "l_id", "r_id"])
     return t.withColumnRenamed("key", "empId")
@@ -243,13 +285,39 @@ def emp_lookup(spark, sf_dir):
 
 
 def emp_lookup_point(spark, sf_dir):
-    """Point look-ups of a few employees."""
-    return floats_as_double(lookup(_table(spark, sf_dir), LOOKUP_POINTS))
+    """Point look-ups of a few employees, over the rows that can make them."""
+    t = _table(spark, sf_dir, wanted=lambda e: e.isin(LOOKUP_POINTS))
+    return floats_as_double(lookup(t, LOOKUP_POINTS))
+
+
+def emp_lookup_point_shifted(spark, sf_dir):
+    """Point look-ups when message key and empId differ (address empId shifted)."""
+    points = [p + d for p in LOOKUP_POINTS[:3] for d in (0, EMPID_SHIFT)]
+    t = _table(spark, sf_dir, wanted=lambda e: e.isin(points), empid_shift=EMPID_SHIFT)
+    return floats_as_double(lookup(t, points))
 
 
 def emp_lookup_range(spark, sf_dir):
     """Range look-up on the table's key."""
-    return floats_as_double(lookup_range(_table(spark, sf_dir), *LOOKUP_RANGE))
+    t = _table(spark, sf_dir, wanted=lambda e: e.between(*LOOKUP_RANGE))
+    return floats_as_double(lookup_range(t, *LOOKUP_RANGE))
+
+
+def emp_lookup_asof(spark, sf_dir):
+    """What each vehicle record finds in the table at its own arrival."""
+    veh = stream(_ev(spark, sf_dir), "vehicle").select(
+        F.col("id").alias("vehicle_id"), "empId",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    found = lookup_as_of(changelog(_flat(spark, sf_dir)), veh, values=[
+        "firstName", "lastName", "age", "houseName", "streetName", "postcode", "l_id", "r_id"])
+    return floats_as_double(found.drop("at"))
+
+
+def emp_changelog_cached(spark, sf_dir):
+    """The changelog behind a record cache that commits every half hour."""
+    upd = collapse_updates(changelog(_flat(spark, sf_dir)), COMMIT_MS)
+    return floats_as_double(upd.select(
+        F.col("key").alias("empId"), *FULL[1:], "l_id", "r_id", "emit_id"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -267,6 +335,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_eager": join_eager,
     "join_eager_1s": join_eager_1s,
     "join_eager_arrival": join_eager_arrival,
+    "join_eager_grace": join_eager_grace,
+    "late_rows": late_rows,
+    "join_state_rows": join_state_rows,
     "join_settled": join_settled,
     "join_null_keys": join_null_keys,
     "join_hot_key": join_hot_key,
@@ -275,11 +346,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_defaults": flatten_defaults,
     "rekey_emp": rekey_emp,
     "emp_changelog": emp_changelog,
+    "emp_changelog_cached": emp_changelog_cached,
     "emp_table": emp_table,
     "emp_table_settled": emp_table_settled,
     "emp_table_shifted": emp_table_shifted,
     "emp_table_arrival": emp_table_arrival,
     "emp_lookup": emp_lookup,
     "emp_lookup_point": emp_lookup_point,
+    "emp_lookup_point_shifted": emp_lookup_point_shifted,
     "emp_lookup_range": emp_lookup_range,
+    "emp_lookup_asof": emp_lookup_asof,
 }

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql.types import FloatType
 
 from keyweave.plans.catalog import (
+    COMMIT_MS,
     DELAY_MICROS,
+    GRACE_MS,
     HOT_KEY,
     HOT_KEY_BELOW,
     LOOKUP_POINTS,
@@ -66,9 +68,21 @@ def _vehicle() -> str:
             f"FROM events WHERE event_type = 'click'")
 
 
-def _join_ctes(emit="eager", window_ms=WINDOW_MS, key=KEY, shift=0, at="t") -> str:
+def _late_ctes() -> str:
+    """CTEs w (both sides in arrival order with the watermark before each) and late."""
+    side = "SELECT key, ts, id, t, seq, {} AS side FROM ({}) WHERE key IS NOT NULL"
+    return f"""
+w AS (
+  SELECT *, max(t) OVER (ORDER BY seq, side, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            - {GRACE_MS * 1000} AS mark
+  FROM ({side.format(0, _personal())} UNION ALL {side.format(1, _address())})),
+late AS (SELECT * FROM w WHERE t < mark)"""
+
+
+def _join_ctes(emit="eager", window_ms=WINDOW_MS, key=KEY, shift=0, at="t", on_time=False) -> str:
     """CTEs p, a (the two sides, keys not null) and j (the outer join rows); rows arrive in
-    the order of column ``at``."""
+    the order of column ``at``; ``on_time`` leaves out the late ones."""
+    fresh = " AND id NOT IN (SELECT id FROM late WHERE side = {})" if on_time else ""
     w = window_ms * 1000
     lf = f"(p.{at}, 0, p.id) < (a.{at}, 1, a.id)"
     lcols = ", ".join(f"p.{c} AS l_{c}" for c in P_FIELDS)
@@ -78,8 +92,8 @@ def _join_ctes(emit="eager", window_ms=WINDOW_MS, key=KEY, shift=0, at="t") -> s
     early_r = f" AND (a.{at}, 1, a.id) < (p.{at}, 0, p.id)" if emit == "eager" else ""
     early_l = f" AND (p.{at}, 0, p.id) < (a.{at}, 1, a.id)" if emit == "eager" else ""
     return f"""
-p AS (SELECT * FROM ({_personal(key)}) WHERE key IS NOT NULL),
-a AS (SELECT * FROM ({_address(key, shift)}) WHERE key IS NOT NULL),
+p AS (SELECT * FROM ({_personal(key)}) WHERE key IS NOT NULL{fresh.format(0)}),
+a AS (SELECT * FROM ({_address(key, shift)}) WHERE key IS NOT NULL{fresh.format(1)}),
 m AS (
   SELECT p.key, greatest(p.ts, a.ts) AS ts, p.id AS l_id, a.id AS r_id, p.ts AS l_ts,
          a.ts AS r_ts, {lcols}, {rcols},
@@ -181,6 +195,19 @@ def oracle_sql() -> dict[str, str]:
             where=f" AND empId BETWEEN {LOOKUP_RANGE[0]} AND {LOOKUP_RANGE[1]}"),
         "join_eager_1s": _with(_join_ctes(window_ms=REFERENCE_WINDOW_MS))
         + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
+        "join_eager_grace": _with(_late_ctes(), ",", _join_ctes(at="seq", on_time=True))
+        + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
+        "late_rows": _with(_late_ctes()) + "\nSELECT key, ts, id, side, mark AS watermark_us FROM late",
+        "join_state_rows": f"""
+WITH x AS (SELECT 0 AS side, t FROM ({_personal()}) UNION ALL SELECT 1, t FROM ({_address()})),
+c AS (SELECT side, u, sum(n) AS n FROM (
+        SELECT side, t AS u, 1 AS n FROM x
+        UNION ALL SELECT side, t + {(WINDOW_MS + GRACE_MS) * 1000 + 1}, -1 FROM x) GROUP BY ALL),
+r AS (SELECT side, u // 3600000000 AS h, n,
+             sum(n) OVER (PARTITION BY side ORDER BY u) AS held FROM c)
+SELECT side, (h * 3600)::BIGINT AS hour_s,
+       max(greatest(held, held - n))::BIGINT AS peak_rows
+FROM r GROUP BY side, h""",
         "join_settled": _with(_join_ctes(emit="settled")) + "\nSELECT key, ts, l_id, r_id FROM j",
         "join_null_keys": _with(_join_ctes(key=NULL_KEY))
         + "\nSELECT key, ts, l_id, r_id, emit_id FROM j",
@@ -197,6 +224,25 @@ def oracle_sql() -> dict[str, str]:
         + "\nSELECT empId, key AS source_key, ts, l_id, r_id FROM f",
         "emp_changelog": _with(_join_ctes(), _flat_cte())
         + f"\nSELECT {_full_select([], ['l_id', 'r_id', 'emit_id'])} FROM f",
+        "emp_changelog_cached": _with(_join_ctes(), _flat_cte())
+        + f"""\nSELECT {_full_select([], ['l_id', 'r_id', 'emit_id'])} FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY empId, emit_t // {COMMIT_MS * 1000}
+    ORDER BY emit_t DESC, emit_side DESC, emit_id DESC, peer_t DESC NULLS LAST,
+             peer_o DESC NULLS LAST, peer_id DESC NULLS LAST) AS rn
+  FROM f) WHERE rn = 1""",
+        "emp_lookup_point_shifted": _table_sql(
+            shift=EMPID_SHIFT, where=f" AND empId IN ({', '.join(str(p + d) for p in LOOKUP_POINTS[:3] for d in (0, EMPID_SHIFT))})"),
+        "emp_lookup_asof": _with(_join_ctes(), _flat_cte()) + f""",
+v AS (SELECT id, empId, epoch_us(ts) AS u FROM ({_vehicle()}))
+SELECT id AS vehicle_id, empId, firstName, lastName, {_d('age')}, houseName, streetName,
+       {_d('postcode')}, l_id, r_id
+FROM (
+  SELECT v.id, v.empId, f.* EXCLUDE (empId), row_number() OVER (
+    PARTITION BY v.id
+    ORDER BY emit_t DESC NULLS LAST, emit_side DESC, emit_id DESC, peer_t DESC NULLS LAST,
+             peer_o DESC NULLS LAST, peer_id DESC NULLS LAST) AS rn
+  FROM v LEFT JOIN f ON f.empId = v.empId AND f.emit_t <= v.u) WHERE rn = 1""",
         "emp_table": _table_sql(),
         "emp_table_settled": _table_sql(emit="settled"),
         "emp_table_shifted": _table_sql(shift=EMPID_SHIFT),

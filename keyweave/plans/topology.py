@@ -50,8 +50,9 @@ def employee_tables(personal: DataFrame, address: DataFrame, vehicle: DataFrame
     j = interval_outer_join(personal, address, window_ms=window_ms, emit=emit, arrival=arrival)
     flat = flatten(j)
     upd = last = changelog(flat, by)
-    if flatten is flatten_full_details and by == "empId" and arrival is None:
-        last = changelog(flatten(latest_rows(personal, address, window_ms=window_ms, emit=emit)))
+    if flatten is flatten_full_details and by == "empId":
+        last = changelog(flatten(latest_rows(personal, address, window_ms=window_ms, emit=emit,
+                                             arrival=arrival)))
     values = [c for c in FULL_NAMES if c != by and c in last.columns]
     table = last_write_wins(last, values=[*values, "l_id", "r_id"]).withColumnRenamed("key", by)
     return EmployeeTables(flat, upd, table, vehicle, tapped)
