@@ -264,7 +264,8 @@ def centroid_totals(nodes: DataFrame, paths: DataFrame, *, local_weight: int = 1
     tops = root.take(1)
     if not tops:
         return nodes.select(*KEY, F.col("leaf").alias("leaves"), F.col("saving").alias("saved"))
-    (a, b, whole), long = tops[0], lambda x: F.lit(x).cast("long")
+    # not a constant to the optimiser: joins on it stay joins by key
+    (a, b, whole), long = tops[0], lambda x: F.when(F.col("d") >= 0, F.lit(x).cast("long"))
     up = [F.coalesce(k, zero).alias(k) for k in ("pa", "pb")]
     now = nodes.select(*KEY, *up, "d", "conv_id", "weight", "leaf", "saving",
                        zero.alias("leaves"), zero.alias("saved"), long(a).alias("ta"),
