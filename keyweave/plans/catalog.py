@@ -320,6 +320,25 @@ def emp_changelog_cached(spark, sf_dir):
         F.col("key").alias("empId"), *FULL[1:], "l_id", "r_id", "emit_id"))
 
 
+# --- streaming ---------------------------------------------------------------------
+
+def stream_emp_table(spark, sf_dir):
+    """The table that a stream over the replayed events, stopped and restarted half-way, holds
+    in its state (the eager join in keyed state, last write wins in keyed state)."""
+    from keyweave.streaming.replay import replayed_table
+
+    t = replayed_table(spark, sf_dir, window_ms=WINDOW_MS)
+    return floats_as_double(t.select(*FULL, "l_id", "r_id"))
+
+
+def stream_join_settled(spark, sf_dir):
+    """The settled join of the replayed streams, stopped and restarted half-way."""
+    from keyweave.streaming.replay import replayed_settled_join
+
+    j = replayed_settled_join(spark, sf_dir, window_ms=WINDOW_MS)
+    return j.select("key", F.unix_micros("ts").alias("ts_us"), "l_id", "r_id", "emit_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_personal": _scan("personal"),
     "scan_address": _scan("address"),
@@ -356,4 +375,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "emp_lookup_point_shifted": emp_lookup_point_shifted,
     "emp_lookup_range": emp_lookup_range,
     "emp_lookup_asof": emp_lookup_asof,
+    "stream_emp_table": stream_emp_table,
+    "stream_join_settled": stream_join_settled,
 }

@@ -244,6 +244,9 @@ FROM (
              peer_o DESC NULLS LAST, peer_id DESC NULLS LAST) AS rn
   FROM v LEFT JOIN f ON f.empId = v.empId AND f.emit_t <= v.u) WHERE rn = 1""",
         "emp_table": _table_sql(),
+        "stream_emp_table": _table_sql(),
+        "stream_join_settled": _with(_join_ctes(emit="settled"))
+        + "\nSELECT key, epoch_us(ts) AS ts_us, l_id, r_id, emit_id FROM j",
         "emp_table_settled": _table_sql(emit="settled"),
         "emp_table_shifted": _table_sql(shift=EMPID_SHIFT),
         "emp_lookup": f"""WITH t AS ({_table_sql()}),

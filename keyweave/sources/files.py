@@ -7,6 +7,8 @@ file order.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -40,12 +42,14 @@ def replay_bounds(df: DataFrame, ts: str = "ts") -> tuple[int, int]:
 
 
 def write_replay(raw: DataFrame, path: str, slices: int, *, bounds: tuple[int, int],
-                 ts: str = "ts") -> list[str]:
+                 ts: str = "ts", only: Iterable[int] | None = None) -> list[str]:
     """Write raw stream rows as ``slices`` parquet folders in event-time order.
 
     Folder ``part-<i>`` holds the i-th equal-width time slice of ``bounds`` (use the
     same bounds for every stream of a replay so one trigger covers the same time
-    span on each). Rows without an event time or outside the bounds have no slice: they raise. The slicing runs in Spark; no rows pass through the driver.
+    span on each). Rows without an event time or outside the bounds have no slice: they raise.
+    ``only``: the slices to write now (default: all). The slicing runs in Spark; no rows pass
+    through the driver.
 
     Test and bench tooling: each slice is one file, because the file source orders
     files by modification time and one file per trigger keeps a micro-batch equal
@@ -62,7 +66,7 @@ def write_replay(raw: DataFrame, path: str, slices: int, *, bounds: tuple[int, i
     if lost:
         raise ValueError(f"{lost} rows have no event time within the bounds")
     out = []
-    for i in range(slices):
+    for i in range(slices) if only is None else only:
         p = f"{path.rstrip('/')}/part-{i:04d}"
         sliced.where(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode(
             "overwrite").parquet(p)

@@ -12,34 +12,11 @@ import time
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from keyweave.session import ensure_checkpoint_dir
-from keyweave.sources.conform import conform
-from keyweave.sources.events import events, raw_stream
-from keyweave.sources.files import read_raw, replay_bounds, write_replay
+from keyweave.streaming.replay import replay_stream, write_event_replay
 from keyweave.streaming.topology import start_employee_table
 
-KINDS = ("personal", "address")
-
-
-def write_event_replay(spark: SparkSession, sf_dir: str, base: str, slices: int) -> int:
-    """Replay folders ``<base>/<kind>/part-<i>``; returns the number of input rows."""
-    ev = events(spark, sf_dir)
-    bounds = replay_bounds(ev)
-    n = 0
-    for kind in KINDS:
-        raw = raw_stream(ev, kind).withColumn("ts", F.col("ts").cast("timestamp"))
-        write_replay(raw, f"{base}/{kind}", slices, bounds=bounds)
-        n += spark.read.parquet(f"{base}/{kind}/part-*").count()
-    return n
-
-
-def replay_stream(spark: SparkSession, base: str, kind: str):
-    return conform(read_raw(spark, f"{base}/{kind}/part-*", kind, streaming=True,
-                            max_files_per_trigger=1), kind).ok
-
-
 def streaming_rates(spark: SparkSession, sf_dir: str, *, slices: int = 4,
                     window_ms: int | None = None) -> dict[str, float]:
     from keyweave.plans.catalog import WINDOW_MS

@@ -124,18 +124,10 @@ def read_state_table(spark: SparkSession, checkpoint: str, *,
     """The live table held in keyed state by :class:`LastWriteWinsProcessor`
     (``table="state"``), read from the query's checkpoint with the ``statestore``
     source: one row per key as of the last committed micro-batch."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/state")
-    fs = root.getFileSystem(conf)
-    ops = sorted(int(st.getPath().getName()) for st in fs.listStatus(root)
-                 if st.getPath().getName().isdigit())
-    for op in ops:
-        try:
-            df = (spark.read.format("statestore").option("operatorId", op)
-                  .option("stateVarName", state_var).load(checkpoint))
-            df.schema  # resolves the state variable
-        except Exception:  # noqa: BLE001 - another operator's state
-            continue
-        return df.select("value.*")
+    held = spark.read.format("state-metadata").load(checkpoint).where(
+        F.col("operatorProperties").contains(f'"{state_var}"'))
+    op = held.agg(F.min("operatorId")).first()[0]
+    if op is not None:
+        return (spark.read.format("statestore").option("operatorId", op)
+                .option("stateVarName", state_var).load(checkpoint).select("value.*"))
     raise ValueError(f"no operator in {checkpoint} holds state variable {state_var!r}")

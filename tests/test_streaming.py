@@ -17,8 +17,8 @@ from keyweave.plans import catalog
 from keyweave.session import ensure_checkpoint_dir
 from keyweave.sources.conform import conform
 from keyweave.sources.files import read_raw
-from keyweave.streaming.bench import replay_stream, write_event_replay
 from keyweave.streaming.join import eager_join_stream, settled_join_stream
+from keyweave.streaming.replay import replay_stream, write_event_replay
 from keyweave.streaming.table import read_state_table, read_table
 from keyweave.streaming.topology import start_employee_table
 from tests.test_fixtures import A, P
