@@ -56,6 +56,10 @@ DELAY_MICROS = 100_000_000
 # Grace for rows that arrive out of order, and the interval of a record cache's commits.
 GRACE_MS = 3600 * 1000
 COMMIT_MS = 30 * 60 * 1000
+# The changelog's replay, and how many of its slices the table is read as of.
+REPLAY_SLICES, AS_OF_SLICE = 10, 7
+# Message framing: the registry id of the writer schema, and one that is not accepted.
+SCHEMA_ID, OTHER_SCHEMA_ID = 42, 7
 LOOKUP_POINTS = [1, 7, 42, 1_000_000_000]
 LOOKUP_RANGE = (10, 60)
 
@@ -100,6 +104,23 @@ def conform_rejects(spark, sf_dir):
     return floats_as_double(conform(raw, "personal").rejected)
 
 
+def frame_rejects(spark, sf_dir):
+    """Personal records as framed messages of producers that get it wrong: without payload, with
+    another first byte, with an unknown schema id. What the source's header check says of them."""
+    from keyweave.sources.kafka import frame_error
+
+    v = F.col("value")
+    schema = F.when(v >= NULL_AGE_FROM, OTHER_SCHEMA_ID).otherwise(SCHEMA_ID)
+    head = F.concat(F.when((v >= HOT_KEY_BELOW) & (v < 2 * HOT_KEY_BELOW), "01").otherwise("00"),
+                    F.lpad(F.hex(schema), 8, "0"))
+    body = F.when(v < NULL_KEY_BELOW, F.lit("")).otherwise(F.hex(F.encode("props", "UTF-8")))
+    ev = _ev(spark, sf_dir).where(F.col("event_type") == "view")
+    framed = ev.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("id"),
+                       F.unhex(F.concat(head, F.coalesce(body, F.lit("")))).alias("message"))
+    return framed.withColumn("decode_error", frame_error(F.col("message"), [SCHEMA_ID])).where(
+        F.col("decode_error").isNotNull()).select("key", "id", "decode_error")
+
+
 def tap_personal(spark, sf_dir):
     out, _ = tap(stream(_ev(spark, sf_dir), "personal"), "tap_personal")
     return floats_as_double(out)
@@ -339,6 +360,18 @@ def stream_join_settled(spark, sf_dir):
     return j.select("key", F.unix_micros("ts").alias("ts_us"), "l_id", "r_id", "emit_id")
 
 
+def emp_table_as_of_batch(spark, sf_dir):
+    """The table as it was after a micro-batch, from a levelled log that went on after it: the
+    changelog streamed in ``REPLAY_SLICES`` slices of event time."""
+    from keyweave.streaming.levels import read_levelled
+    from keyweave.streaming.replay import replayed_changelog
+
+    upd = changelog(_flat(spark, sf_dir))
+    path = replayed_changelog(spark, upd, slices=REPLAY_SLICES)
+    t = read_levelled(spark, path, as_of_batch=AS_OF_SLICE - 1)
+    return floats_as_double(t.select(*FULL, "l_id", "r_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_personal": _scan("personal"),
     "scan_address": _scan("address"),
@@ -346,6 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_personal": conform_personal,
     "conform_rejects": conform_rejects,
     "conform_overflow": conform_overflow,
+    "frame_rejects": frame_rejects,
     "tap_personal": tap_personal,
     "tap_metrics": tap_metrics,
     "join_matched": join_matched,
@@ -375,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "emp_lookup_point_shifted": emp_lookup_point_shifted,
     "emp_lookup_range": emp_lookup_range,
     "emp_lookup_asof": emp_lookup_asof,
+    "emp_table_as_of_batch": emp_table_as_of_batch,
     "stream_emp_table": stream_emp_table,
     "stream_join_settled": stream_join_settled,
 }

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql.types import FloatType
 
 from keyweave.plans.catalog import (
+    AS_OF_SLICE,
     COMMIT_MS,
     DELAY_MICROS,
     GRACE_MS,
@@ -20,7 +21,9 @@ from keyweave.plans.catalog import (
     LOOKUP_RANGE,
     NULL_AGE_FROM,
     NULL_KEY_BELOW,
+    OTHER_SCHEMA_ID,
     REFERENCE_WINDOW_MS,
+    REPLAY_SLICES,
     WIDE_EMPID,
     WINDOW_MS,
 )
@@ -150,7 +153,7 @@ def _full_select(prefix: list[str], suffix: list[str]) -> str:
     return ", ".join([*prefix, *[_d(c) for c in FULL], *suffix])
 
 
-def _table_sql(emit="eager", shift=0, at="t", where="") -> str:
+def _table_sql(emit="eager", shift=0, at="t", where="", source="f") -> str:
     cols = ", ".join(_d(c) for c in FULL)
     return _with(_join_ctes(emit=emit, shift=shift, at=at), _flat_cte()) + f"""
 SELECT {cols}, l_id, r_id FROM (
@@ -158,7 +161,7 @@ SELECT {cols}, l_id, r_id FROM (
     PARTITION BY empId
     ORDER BY emit_t DESC, emit_side DESC, emit_id DESC, peer_t DESC NULLS LAST,
              peer_o DESC NULLS LAST, peer_id DESC NULLS LAST) AS rn
-  FROM f) WHERE rn = 1{where}"""
+  FROM {source}) WHERE rn = 1{where}"""
 
 
 def _scan_sql(src: str, fields: list[str]) -> str:
@@ -245,6 +248,16 @@ FROM (
   FROM v LEFT JOIN f ON f.empId = v.empId AND f.emit_t <= v.u) WHERE rn = 1""",
         "emp_table": _table_sql(),
         "stream_emp_table": _table_sql(),
+        # the slices of the replay are as wide as whole microseconds allow
+        "emp_table_as_of_batch": _table_sql(source=f"""(
+    SELECT f.* FROM f, (SELECT min(emit_t) AS lo, max(emit_t) AS hi FROM f) b
+    WHERE emit_t < lo + {AS_OF_SLICE} * ((hi - lo) // {REPLAY_SLICES} + 1))"""),
+        "frame_rejects": f"""
+SELECT CAST(user_id AS VARCHAR) AS key, event_id AS id, decode_error FROM (
+  SELECT *, CASE WHEN value < {NULL_KEY_BELOW} OR coalesce(strlen(props), 0) = 0 THEN 'frame:short'
+                 WHEN value >= {HOT_KEY_BELOW} AND value < {2 * HOT_KEY_BELOW} THEN 'frame:magic'
+                 WHEN value >= {NULL_AGE_FROM} THEN 'frame:schema {OTHER_SCHEMA_ID}' END AS decode_error
+  FROM events WHERE event_type = 'view') WHERE decode_error IS NOT NULL""",
         "stream_join_settled": _with(_join_ctes(emit="settled"))
         + "\nSELECT key, epoch_us(ts) AS ts_us, l_id, r_id, emit_id FROM j",
         "emp_table_settled": _table_sql(emit="settled"),

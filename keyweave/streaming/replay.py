@@ -19,7 +19,9 @@ from keyweave.session import ensure_checkpoint_dir
 from keyweave.sources.conform import conform
 from keyweave.sources.events import events, raw_stream
 from keyweave.sources.files import read_raw, replay_bounds, write_replay
+from keyweave.operators.interval_join import ORDER_COLUMNS
 from keyweave.streaming.join import DEFAULT_GRACE, settled_join_stream
+from keyweave.streaming.levels import LevelledSink
 from keyweave.streaming.table import read_state_table
 from keyweave.streaming.topology import start_employee_table
 
@@ -115,3 +117,22 @@ def replayed_settled_join(spark: SparkSession, sf_dir: str, *, window_ms: int,
     base = replay_with_restart(spark, sf_dir, start, slices=slices,
                                end_after_ms=grace_ms + 4 * window_ms + 1)
     return spark.read.parquet(f"{base}/joined").where(F.col("key") != END)
+
+
+def replayed_changelog(spark: SparkSession, updates: DataFrame, *, slices: int,
+                       order: list[str] = ORDER_COLUMNS, fan_out: int = 4) -> str:
+    """Stream ``updates`` (``key``, fields, order columns in microseconds) into a levelled log,
+    one time slice of the first order column a micro-batch, and return the log's path."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
+    timed = updates.withColumn("_at", F.timestamp_micros(order[0]))
+    timed.write.parquet(f"{base}/updates")
+    timed = spark.read.schema(timed.schema).parquet(f"{base}/updates")
+    lo, hi = replay_bounds(timed, "_at")
+    write_replay(timed, f"{base}/src", slices, bounds=(lo or 0, hi or 0), ts="_at")
+    src = (spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", 1)
+           .parquet(f"{base}/src/part-*").drop("_at"))
+    q = (src.writeStream.option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True)
+         .foreachBatch(LevelledSink(f"{base}/table", order=order, fan_out=fan_out)).start())
+    q.awaitTermination()
+    return f"{base}/table"
