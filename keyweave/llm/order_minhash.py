@@ -11,10 +11,13 @@
    candidates. Texts of buckets that still hold several classes are sketched again, with
    ``fine_bands`` longer keys of ``fine_rows`` sketches, which keep texts just below the threshold
    apart; in these buckets the members outside their centre's class get a new centre, round
-   after round until a round finds no link. Then all pairs of different classes that still share a
-   fine bucket and were not candidates yet are candidates, so that every pair in a fine bucket
-   is tested or of one class (a bucket gives at most the pairs of its different classes). With two shingles a sketch, a pair at 0.8 shares a
-   band with a chance of 0.99997, and a fine band with 0.99.
+   after round until a round finds no link. The texts of fine buckets that then still hold several
+   classes are compared by their rarest shingles: texts that reach the threshold share one of
+   their first 1 - ``threshold`` (or less) shingles in the order of frequency, and those of
+   different classes that do are candidates. None is lost by that, and texts that differ from the
+   group by shingles of their own have no partner there, so that a bucket of n texts gives far
+   fewer than n * n. With two shingles a sketch, a pair at 0.8 shares a band with a chance of
+   0.99997, and a fine band with 0.99.
 4. Each candidate is verified by alignment of its shingle sequences inside the band that a
    similarity of ``threshold`` allows: with c shingles aligned, the similarity is
    c / (n_a + n_b - c). Links join into classes; the class id is the least document id.
@@ -22,7 +25,7 @@
 Edge cases: a null text is a class of its own for each row; texts without words are near
 duplicates of exact copies only; a text of fewer than ``k`` words is one shingle; repeated
 documents are exact copies; an empty table gives no rows; null ids get the class of their text.
-Very long texts are used in whole. Other input columns are not read.
+Very long texts are used in whole. Other input columns may have any names; they are not read.
 """
 
 from __future__ import annotations
@@ -166,16 +169,26 @@ def propagate(stars: DataFrame, name: str = "stars") -> DataFrame:
     """``stars`` (member, centre, label) with each member's label the least of its component.
 
     Every centre is a member of itself. A centre takes the least label of its members, and a
-    member the least of its centres, until no label changes. A node is a member of few centres
-    (one for a band), so only centres are hot: their minima combine map-side, and they are
-    written, so that the join deals both sides anew and can split a centre of many members.
+    member the least of its centres, until no label changes. From the second step on a label, which
+    is a text of the component, is replaced by that text's own label, so that labels reach twice
+    as far each time and long chains take logarithmic steps. A node is a member of few centres
+    (one for a band), so only centres and labels are hot: their minima combine map-side, and they
+    are written, so that the joins deal both sides anew and can split a centre of many members.
     """
+    first = True
     while True:
         least = materialise(stars.groupBy(F.col("centre").alias("c")).agg(
             F.min("label").alias("low")), f"{name}-least")
         of_member = Window.partitionBy("member")
         moved = stars.join(least, F.col("centre") == F.col("c")).select(
             "member", "centre", F.min("low").over(of_member).alias("low"), "label")
+        if not first:
+            moved = materialise(moved, f"{name}-low")
+            jump = materialise(moved.groupBy(F.col("member").alias("j")).agg(
+                F.min("low").alias("far")), f"{name}-jump")
+            moved = moved.join(jump, F.col("low") == F.col("j"), "left").withColumn(
+                "low", F.least("low", F.coalesce("far", "low")))
+        first = False
         moved = materialise(moved.select("member", "centre", F.col("low").alias("label"),
                                          (F.col("low") != F.col("label")).alias("moved")), name)
         stars = moved.drop("moved")
@@ -183,6 +196,49 @@ def propagate(stars: DataFrame, name: str = "stars") -> DataFrame:
             return stars
 
 
+def _rare_shingles(texts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(tid, root, n, s, f, place): the texts' labelled shingles in the order of their frequency
+    among these texts, as far as a text of ``threshold`` must share one; ``n`` of them in all."""
+    def run(batches):
+        for b in batches:
+            for i, t in enumerate(b.column(2).to_pylist()):
+                x = labelled_shingles(t, k)
+                at = pa.array(np.full(len(x), i), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(at), b.column(1).take(at),
+                     pa.array(np.full(len(x), len(x), np.int64)), pa.array(x.view(np.int64))],
+                    names=["tid", "root", "n", "s"])
+
+    every = materialise(texts.select("tid", "root", "text").mapInArrow(
+        run, "tid binary, root binary, n long, s long"), "shingles")
+    often = materialise(every.groupBy(F.col("s").alias("f_s")).agg(F.count("*").alias("f"))
+                        .where("f > 1"), "shingle-counts")
+    counted = every.join(often, F.col("s") == F.col("f_s"), "left").select(
+        "tid", "root", "n", "s", F.coalesce("f", F.lit(1)).alias("f"))
+    place = F.row_number().over(Window.partitionBy("tid").orderBy("f", "s"))
+    return materialise(counted.withColumn("place", place).where(
+        (F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
+        & (F.col("f") > 1)), "rare-shingles")
+
+
+def _rare_pairs(texts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(a, b, root, c_root) of all texts of different roots that share enough to be similar.
+
+    ``texts``: tid, root, text. Of two texts the one of more shingles shares one of its first
+    1 - threshold with the first 1 - 2 threshold / (1 + threshold) of the other (prefix filter).
+    """
+    y = _rare_shingles(texts, k, threshold)
+    both = 2 * threshold / (1 + threshold)
+    x = y.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * both - 1e-9) + 1).select(
+        F.col("s").alias("x_s"), F.col("tid").alias("a"), F.col("root").alias("x_root"),
+        F.col("n").alias("x_n"))
+    larger = (F.col("n") > F.col("x_n")) | ((F.col("n") == F.col("x_n")) & (F.col("tid") > F.col("a")))
+    return x.join(y, (F.col("x_s") == F.col("s")) & (F.col("x_root") != F.col("root")) & larger
+                  & (F.col("x_n") >= F.col("n") * threshold - 1e-9)).select(
+        "a", F.col("tid").alias("b"), F.col("x_root").alias("root"),
+        F.col("root").alias("c_root")).distinct()
+
+
 def _buckets(texts: DataFrame, k: int, bands: int, rows: int, size: int) -> DataFrame:
     """(bucket, tid, weight) of the buckets that hold several texts. The weight sums the sizes
     of a text's buckets: the text that a group's others were made from is in the largest."""
@@ -266,12 +322,10 @@ def _text_classes(some: DataFrame, k: int, threshold: float, bands: int, rows: i
                 texts.select("tid", "text"), k, fine_bands, fine_rows, tuple_size)), "fine"))
         if members.isEmpty():
             break
-    # what no star tested: pairs of different classes in a fine bucket
-    x = _open(materialise(named(every_fine), "fine-named"))
-    y = x.select(F.col("bucket").alias("y_bucket"), F.col("tid").alias("b"),
-                 F.col("root").alias("c_root"))
-    pairs = x.join(y, (F.col("bucket") == F.col("y_bucket")) & (F.col("root") < F.col("c_root"))) \
-        .select(F.col("tid").alias("a"), "b", "root", "c_root").distinct()
+    # what no star tested, of the texts whose fine buckets still hold several classes
+    x = _open(materialise(named(every_fine), "fine-named")).select(
+        F.col("tid").alias("x_tid"), "root").distinct()
+    pairs = _rare_pairs(texts.join(x, F.col("tid") == F.col("x_tid")), k, threshold)
     both = tested.union(tested.select("b", "a")).select(F.col("a").alias("t_a"),
                                                         F.col("b").alias("t_b"))
     pairs = materialise(pairs.join(both, (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")),
@@ -327,8 +381,10 @@ def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     first = F.struct(F.col("least").isNull().alias("no_id"), "least", "tid")
     winners = per_text.groupBy("root").agg(F.min(first).alias("w")).select(
         F.col("w.least").alias("w_id"), F.col("w.tid").alias("w_tid"))
-    keyed = docs.where(F.col(text).isNotNull()).withColumn("_tid", text_key(text))
-    kept = keyed.join(winners, (F.col("_tid") == F.col("w_tid"))
-                      & F.col(doc_id).eqNullSafe(F.col("w_id")), "left_semi")
-    one = kept.dropDuplicates(["_tid", doc_id]).drop("_tid")  # rows that repeat id and text
+    # the rows as one column, so that no name of theirs meets one of ours
+    row = docs.where(F.col(text).isNotNull()).select(
+        F.struct("*").alias("row"), text_key(text).alias("tid"), F.col(doc_id).alias("id"))
+    kept = row.join(winners, (F.col("tid") == F.col("w_tid"))
+                    & F.col("id").eqNullSafe(F.col("w_id")), "left_semi")
+    one = kept.dropDuplicates(["tid", "id"]).select("row.*")  # rows that repeat id and text
     return one.union(docs.where(F.col(text).isNull()))

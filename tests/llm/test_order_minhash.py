@@ -4,12 +4,16 @@ import random
 
 import numpy as np
 
+import keyweave.llm.order_minhash as om
+
 from keyweave.llm.order_minhash import (
     alignment_similarity,
+    _rare_pairs,
     deduplicate,
     labelled_shingles,
     near_duplicates,
     order_sketches,
+    propagate,
 )
 from tests.llm.conftest import odd_rows, prose
 
@@ -142,3 +146,56 @@ def test_every_pair_of_a_fine_bucket_is_met(spark, documents):
     got = classes(near_duplicates(documents(rows), bands=1, rows=1, tuple_size=1, fine_bands=1,
                                   fine_rows=1))
     assert {i: got[i] for i in want} == want
+
+
+def test_rare_shingles_lose_no_pair(spark):
+    rows = []
+    for g in range(6):
+        base = prose(900 + g, 60 + 30 * g)
+        rows += [edited(base, e, 10 * g + e) for e in (0, 1, 2, 4, 8)]
+    shared = prose(77, 60)
+    rows += [shared + " " + prose(600 + i, 60) for i in range(40)]
+    ids = [b"%03d" % i for i in range(len(rows))]
+    got = {tuple(sorted((r.a, r.b))) for r in _rare_pairs(spark.createDataFrame(
+        [(bytearray(i), bytearray(i), t) for i, t in zip(ids, rows)],
+        "tid binary, root binary, text string"), 5, 0.8).collect()}
+    got = {(bytes(a), bytes(b)) for a, b in got}
+    s = [labelled_shingles(t, 5) for t in rows]
+    near = {(ids[j], ids[i]) for i in range(len(rows)) for j in range(i)
+            if alignment_similarity(s[i], s[j], 0.8)}
+    assert near and near <= got
+    assert len(got) < 3 * len(near)  # the 780 pairs that share half their words are none
+
+
+def test_a_group_below_the_threshold_gives_few_pairs(spark, documents, monkeypatch):
+    """Texts that share a bucket but are not near: no square of them is compared."""
+    base, n = prose(5, 200), 150
+    rows = [(i, edited(base, 9, 70 + i)) for i in range(n)]
+    made = []
+    real = om._rare_pairs
+    monkeypatch.setattr(om, "_rare_pairs", lambda *a: made.append(real(*a).count()) or real(*a))
+    got = classes(near_duplicates(documents(rows)))
+    assert got == brute(rows)
+    assert made and made[0] < 10 * n < n * n / 2
+
+
+def test_a_chain_of_200_versions_takes_few_steps(spark, monkeypatch):
+    n, steps = 200, []
+    real = om.materialise
+    monkeypatch.setattr(om, "materialise", lambda df, name: steps.append(name) or real(df, name))
+    tid = lambda i: bytearray(b"%04d" % i)
+    # each version is near the one before: its centre
+    stars = [(tid(i), tid(i), tid(i)) for i in range(n)]
+    stars += [(tid(i + 1), tid(i), tid(i + 1)) for i in range(n - 1)]
+    out = propagate(spark.createDataFrame(stars, "member binary, centre binary, label binary"), "s")
+    assert {bytes(r.label) for r in out.collect()} == {b"0000"}
+    assert steps.count("s") <= 12
+
+
+def test_clashing_column_names(spark):
+    rows = [(1, "a b c d e f g", 7, 7, 7, 7), (2, "a b c d e f g", 8, 8, 8, 8), (3, None, 9, 9, 9, 9)]
+    df = spark.createDataFrame(
+        rows, "doc_id long, text string, _tid int, w_tid int, w_id int, `a.b` int")
+    out = deduplicate(df)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 3]
+    assert near_duplicates(df).count() == 3
