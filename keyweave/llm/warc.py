@@ -9,13 +9,16 @@ comparison); if there is no ETag on both, a Last-Modified that both have must be
 either the revisit is unverified. The resolved headers are the response's, with the permitted
 ones replaced by the revisit's.
 
-The join is a running "last" over records in time order. A URL may hold a third of all records, so
-it is cut into slots of time: the last response of each slot is taken first (map-side), a
-running last over the slots of a URL (at most ``slots`` rows) carries it on, and a window inside
-each (URL, slot) does the rest. Responses travel as their id; headers are joined by id at the end.
+The join is a running "last" over the moments (URL and date) of the records, each with its last
+response. A URL may hold a third of all records, so the moments are sorted by URL and date over
+all tasks and cut into chunks where the partitions end: the last response of each chunk is taken
+first (map-side), a running last over the chunks of a URL (at most ``chunks`` rows) carries it on,
+and a window inside each (URL, chunk) does the rest. Chunks hold about as many moments each,
+whatever the dates are. Responses travel as their row's number; headers are joined at the end.
 
 Edge cases: null URLs and dates never match; a null URL's revisit is "no response"; empty tables
-give no rows; repeated records are resolved each; null headers count as empty; other columns are
+give no rows; repeated records are resolved each, one row for each row of a revisit, and of
+responses of one date and id the one of the greatest digest counts; null headers count as empty; other columns are
 not read.
 """
 
@@ -50,51 +53,53 @@ def canonical_url(url: Column) -> Column:
         F.lit("?"), F.array_join(params, "&"))).otherwise(""))
 
 
-def resolve_revisits(records: DataFrame, *, slots: int = 4096) -> DataFrame:
+def resolve_revisits(records: DataFrame, *, chunks: int | None = None) -> DataFrame:
     """One row per revisit: record_id, canonical_url, date, outcome ("resolved", "unverified",
     "changed" or "no response"), source_id, source_date, payload_digest, payload_length and
-    headers (merged). The last four are null unless resolved or unverified."""
+    headers (merged). The last four are null unless resolved or unverified.
+
+    ``chunks``: into how many ranges the moments are cut (default: the session's shuffle
+    partitions).
+    """
     r = materialise(records.select(
         "record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "date", "status",
         F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"),
-        "payload_digest", "payload_length"), "warc-records")
-    micros = F.unix_micros("date")
-    span = r.agg(F.min(micros).alias("lo"), F.max(micros).alias("hi")).first()
-    lo, width = span.lo or 0, max(1, ((span.hi or 0) - (span.lo or 0)) // slots + 1)
-    slot = F.floor((micros - lo) / width).cast("long")
+        "payload_digest", "payload_length", F.monotonically_increasing_id().alias("row")),
+        "warc-records")
     known = r.where(F.col("canonical_url").isNotNull() & F.col("date").isNotNull())
     full = (F.col("kind") == "response") & (F.col("status") == 200)
-    at = F.struct(F.col("date"), F.col("record_id"))
-    light = known.select("record_id", "canonical_url", "date", slot.alias("slot"),
-                         F.when(full, at).alias("source"),
-                         (F.col("kind") == "revisit").alias("asks"))
-    light = light.where(F.col("asks") | F.col("source").isNotNull())
-    # the last response of each slot, and what the slots before a slot hand on
-    by_slot = light.groupBy("canonical_url", "slot").agg(F.max("source").alias("last"))
-    before = Window.partitionBy("canonical_url").orderBy("slot").rowsBetween(
-        Window.unboundedPreceding, -1)
-    carried = by_slot.select(F.col("canonical_url").alias("c_url"), F.col("slot").alias("c_slot"),
-                             F.max("last").over(before).alias("carried"))
-    # earlier dates only: peers of the same date are outside the range
-    inside = Window.partitionBy("canonical_url", "slot").orderBy(F.unix_micros("date")) \
-        .rangeBetween(Window.unboundedPreceding, -1)
-    asked = light.withColumn("inside", F.max("source").over(inside)).where("asks")
-    found = asked.join(carried, (F.col("canonical_url") == F.col("c_url"))
-                       & (F.col("slot") == F.col("c_slot")), "left").select(
-        F.col("record_id").alias("f_id"),
-        F.coalesce("inside", "carried")["record_id"].alias("source_id")).distinct()
+    source = F.struct("date", "record_id", "payload_digest", "row")
+    moments = known.groupBy("canonical_url", "date").agg(
+        F.max(F.when(full, source)).alias("source"), F.max(F.col("kind") == "revisit").alias("asks"))
+    order = [F.asc("canonical_url"), F.asc("date")]
+    moments = moments.repartitionByRange(chunks, *order) if chunks else \
+        moments.repartitionByRange(*order)
+    moments = materialise(moments.withColumn("chunk", F.spark_partition_id()), "warc-moments")
+    # the last response of each chunk, and what the chunks before a chunk hand on
+    by_chunk = moments.groupBy("canonical_url", "chunk").agg(F.max("source").alias("last"))
+    before = (Window.unboundedPreceding, -1)  # rows of earlier dates only: dates differ here
+    carried = by_chunk.select("canonical_url", "chunk", F.max("last").over(
+        Window.partitionBy("canonical_url").orderBy("chunk").rowsBetween(*before)).alias("carried"))
+    inside = Window.partitionBy("canonical_url", "chunk").orderBy("date").rowsBetween(*before)
+    found = moments.withColumn("inside", F.max("source").over(inside)).where("asks").join(
+        carried, ["canonical_url", "chunk"], "left").select(
+        F.col("canonical_url").alias("f_url"), F.col("date").alias("f_date"),
+        F.coalesce("inside", "carried")["row"].alias("source_row"))
+    found = materialise(found, "warc-found")
     revisits = r.where(F.col("kind") == "revisit").select(
         "record_id", "canonical_url", "date", F.col("headers").alias("own"))
     responses = r.where(full).select(
-        F.col("record_id").alias("r_id"), F.col("date").alias("source_date"),
-        F.col("headers").alias("theirs"), "payload_digest", "payload_length")
-    j = revisits.join(found, F.col("record_id") == F.col("f_id"), "left").join(
-        responses, F.col("source_id") == F.col("r_id"), "left")
+        F.col("row").alias("r_row"), F.col("record_id").alias("source_id"),
+        F.col("date").alias("source_date"), F.col("headers").alias("theirs"), "payload_digest",
+        "payload_length")
+    j = revisits.join(found, (F.col("canonical_url") == F.col("f_url"))
+                      & (F.col("date") == F.col("f_date")), "left").join(
+        responses, F.col("source_row") == F.col("r_row"), "left")
     tag = lambda c: F.regexp_replace(F.col(c)["etag"], "^W/", "")
     tags = tag("own").isNotNull() & tag("theirs").isNotNull()
     own_mod, their_mod = F.col("own")["last-modified"], F.col("theirs")["last-modified"]
     mods = own_mod.isNotNull() & their_mod.isNotNull()
-    outcome = (F.when(F.col("r_id").isNull(), "no response")
+    outcome = (F.when(F.col("r_row").isNull(), "no response")
                .when(tags, F.when(tag("own") == tag("theirs"), "resolved").otherwise("changed"))
                .when(mods, F.when(own_mod == their_mod, "resolved").otherwise("changed"))
                .otherwise("unverified"))
