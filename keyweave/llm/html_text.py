@@ -10,10 +10,15 @@ two-means clustering of the smoothed ratios gives a threshold between boilerplat
 Lines that reach it choose the content regions: article or main elements where a page has any (all
 of them if no line of theirs reaches it), else the blocks that hold such lines and the blocks beside
 them (see ``Lines.beside``). A chosen region gives all its lines, so short paragraphs and headings
-of the article stay; text directly in the body is judged line by line.
+of the article stay; text directly in the body is judged line by line, and so is a paragraph
+of an article whose class word is a weak mark (``legal``, ``notice``, ``side``, ...).
+
+A part that was left out but holds most of the page's letters outside links is the page itself and
+is taken back (the page is then parsed again): a form around the page, a menu or header whose
+end tag is missing, a container with a misleading class word beside which nothing is left.
 
 Edge cases: null and empty html give an empty text; unclosed and stray tags end with the block
-that holds them; character references are decoded; white space inside a block becomes one
+that holds them; an unclosed head ends at the first element of a body; character references are decoded; white space inside a block becomes one
 space; repeated pages give repeated rows; very long pages are parsed in whole; other columns
 are kept, and result columns replace input columns of the same name.
 """
@@ -47,15 +52,22 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 # Elements that an opening block closes when they are still open.
 CLOSED_BY_BLOCK = frozenset(["p"])
 SAME_CLOSES = frozenset("li dt dd tr td th option p".split())
-# Words of a class, id or role that mark what is not the article.
+# Elements of a head; others end it.
+HEAD = frozenset("base link meta title style script noscript template head".split())
+# Words of a class, id or role that mark what is not the article ...
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|popup|"
-    r"modal|overlay|newsletter|subscri\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|header|"
-    r"masthead|comments?|replies|disqus|related|recommend\w*|share|sharing|social|toolbar|"
-    r"widget|login|signup|copyright|legal|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
-# Whole words of a class, id or role that mark an article element as a reader's comment.
-COMMENT = re.compile(r"(?:^|\s)(?:div-)?comments?[-_]?(?:list|body|item|content|text|area|thread|"
-                     r"section|box|entry|\d+)?(?:\s|$)", re.I)
+    r"(?:^|[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|"
+    r"overlay|newsletter|subscri\w*|nav\w*|menu|breadcrumbs?|sidebar|masthead|replies|disqus|"
+    r"related|recommend\w*|share|sharing|social|toolbar|widget|login|signup|complementary|"
+    r"contentinfo|search)(?:$|[_-])", re.I)
+# ... and such that may also stand on a paragraph of the article.
+WEAK = re.compile(r"(?:^|[_-])(?:notice|side|footer|header|copyright|legal)(?:$|[_-])", re.I)
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt".split())
+# Whole words that mark a part with readers' comments (or one of them).
+COMMENT = re.compile(r"(?:\w+?[-_])*?comments?(?:[-_]?(?:list|body|item|content|text|area|thread|"
+                     r"section|box|entry|wrap|wrapper|container|form|respond|\d+))*", re.I)
+# A word that says what a part has, or in which state it is, marks nothing.
+STATE = re.compile(r"(?:has|with|no|without|not)[-_]", re.I)
 SPACES = re.compile(r"\s+")
 
 
@@ -65,12 +77,17 @@ class Lines(HTMLParser):
     ``around`` has each region's parent element, that one's tag, and the region's class words;
     ``letters`` has its characters and those of them in links."""
 
-    def __init__(self) -> None:
+    def __init__(self, lifted: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
-        # (tag, left out, article, region around, number)
-        self.open: list[tuple[str, bool, bool, int, int]] = []
-        self.out = self.inside = self.region = self.n_open = 0
+        self.lines: list[tuple[str, int, int, bool]] = []  # the last: judged by its ratio
+        # (tag, left out, article, region around, number, hidden, doubtful)
+        self.open: list[tuple[str, bool, bool, int, int, bool, bool]] = []
+        self.out = self.inside = self.region = self.n_open = self.hidden = self.doubt = 0
+        self.lifted = lifted
+        # of parts that were left out and may be taken back: letters, letters in links, closed, sort
+        self.left_out: dict[int, list] = {}
+        self.outside: list[int] = []  # those that are open
+        self.visible = [0, 0]  # letters outside links: of the page, and of what was kept
         self.n_regions, self.articles = 0, set()
         self.around: dict[int, tuple[int, str, set[str]]] = {}
         self.letters: dict[int, list[int]] = {}
@@ -81,7 +98,7 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = SPACES.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append((text, self.tags, self.region))
+            self.lines.append((text, self.tags, self.region, self.doubt > 0))
             self.tags = 0
             letters = self.letters.setdefault(self.region, [0, 0])
             letters[0] += len(text)
@@ -92,9 +109,13 @@ class Lines(HTMLParser):
         """Close the open element k and all inside it."""
         self.flush()
         self.link = False
-        for _, out, article, *_ in self.open[k:]:
+        for _, out, article, _, number, hidden, doubt in self.open[k:]:
             self.out -= out
             self.inside -= article
+            self.hidden -= hidden
+            self.doubt -= doubt
+            if self.outside and self.outside[-1] == number:
+                self.outside.pop()
         self.region = self.open[k][3]
         del self.open[k:]
 
@@ -113,6 +134,10 @@ class Lines(HTMLParser):
                 return
             if not any(k in ("class", "id", "hidden") for k, _ in attrs):
                 return
+        if tag not in HEAD and tag not in ("html", "svg"):
+            head = next((k for k, x in enumerate(self.open[:3]) if x[0] == "head"), None)
+            if head is not None:
+                self._close(head)
         if tag not in INLINE:
             self.flush()
             last = next((k for k in range(len(self.open) - 1, -1, -1)
@@ -120,11 +145,18 @@ class Lines(HTMLParser):
             if last is not None and (self.open[last][0] in CLOSED_BY_BLOCK
                                      or (tag in SAME_CLOSES and self.open[last][0] == tag)):
                 self._close(last)
-        out = tag in HIDDEN or tag in ASIDE or bool(attrs and self._noise(tag, attrs))
-        article = tag in MAIN and not out
+        mark = "hidden" if tag in HIDDEN else self._mark(tag, attrs)
         self.n_open += 1
+        if mark in ("part", "words") and self.n_open in self.lifted:
+            mark = ""
+        doubt = mark == "words" and self.inside > 0 and tag in LEAVES and self._weak(attrs)
+        out = bool(mark) and not doubt
+        article = tag in MAIN and not out
+        if out and mark in ("part", "words"):
+            self.left_out[self.n_open] = [0, 0, False, tag if mark == "part" else "words"]
+            self.outside.append(self.n_open)
         around = next((x for x in reversed(self.open) if x[0] not in INLINE), ("", 0, 0, 0, 0))
-        self.open.append((tag, out, article, self.region, self.n_open))
+        self.open.append((tag, out, article, self.region, self.n_open, mark == "hidden", doubt))
         if not self.inside and tag in CONTAINERS:
             self.n_regions += 1
             self.region = self.n_regions
@@ -134,18 +166,47 @@ class Lines(HTMLParser):
                 self.articles.add(self.region)
         self.out += out
         self.inside += article
+        self.hidden += mark == "hidden"
+        self.doubt += doubt
 
     @staticmethod
-    def _noise(tag, attrs) -> bool:
+    def _words(attrs) -> list[str]:
+        """Class, id and role words that can mark something."""
+        return [w for k, v in attrs if v and k in ("class", "id", "role") for w in v.split()
+                if not STATE.match(w)]
+
+    @classmethod
+    def _weak(cls, attrs) -> bool:
+        return not any(NOISE.search(w) for w in cls._words(attrs))
+
+    @classmethod
+    def _mark(cls, tag, attrs) -> str:
+        """Why the element is left out: "hidden", "comment", "part" (by what it is), "words" (by
+        a class word), or "" (it is not)."""
         if any(k == "hidden" or (k == "style" and v and re.search(
                 r"display\s*:\s*none", v, re.I)) for k, v in attrs):
-            return True
-        if tag in ("html", "body"):
-            return False
-        marks = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        if tag in MAIN:
-            return bool(COMMENT.search(marks))
-        return bool(marks and NOISE.search(marks)) or "comment" in marks.lower()
+            return "hidden"
+        if tag in ASIDE:
+            return "part"
+        if tag in ("html", "body") or not attrs:
+            return ""
+        words = cls._words(attrs)
+        if any(COMMENT.fullmatch(w) for w in words):
+            return "comment"
+        if tag not in MAIN and any(NOISE.search(w) or WEAK.search(w) for w in words):
+            return "words"
+        return ""
+
+    def taken_back(self) -> set[int]:
+        """Of the parts left out those that are the page itself (see the module docstring)."""
+        total, kept = self.visible
+        out = set()
+        for number, (letters, linked, closed, sort) in self.left_out.items():
+            n = letters - linked
+            if 2 * n > total and (sort in ("form", "fieldset") or not closed
+                                  or (sort == "words" and 10 * kept < n)):
+                out.add(number)
+        return out
 
     def beside(self, chosen: set[int]) -> set[int]:
         """The regions of ``chosen`` and those under the same parent, unless half of a region's
@@ -176,8 +237,15 @@ class Lines(HTMLParser):
             self.link = False
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
+                if self.open[k][4] in self.left_out:
+                    self.left_out[self.open[k][4]][2] = True
                 if tag in INLINE:
-                    self.out -= self.open.pop(k)[1]
+                    _, out, _, _, number, hidden, doubt = self.open.pop(k)
+                    self.out -= out
+                    self.hidden -= hidden
+                    self.doubt -= doubt
+                    if number in self.outside:
+                        self.outside.remove(number)
                 else:
                     self._close(k)
                 return
@@ -187,10 +255,18 @@ class Lines(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
+        n = len(data.strip())
+        if n and not self.hidden:
+            for number in self.outside:
+                self.left_out[number][0] += n
+                self.left_out[number][1] += n * self.link
+            if not self.link:
+                self.visible[0] += n
+                self.visible[1] += n * (not self.out)
         if not self.out:
             self.parts.append(data)
             if self.link:
-                self.linked += len(data.strip())
+                self.linked += n
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -218,14 +294,20 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The page's main text, blocks joined by an empty line."""
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
+    lifted: frozenset[int] = frozenset()
+    while True:
+        parser = Lines(lifted)
+        parser.feed(html)
+        parser.close()
+        parser.flush()
+        more = parser.taken_back()
+        if not more:
+            break
+        lifted |= more  # grows each time, by parts that hold most of the page: few times
     lines = parser.lines
     if not lines:
         return ""
-    ratios = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
+    ratios = np.array([len(text) / max(1, tags) for text, tags, *_ in lines])
     smooth = smoothed(ratios, sigma)
     content = smooth >= threshold(smooth)
     chosen = {line[2] for line, keep in zip(lines, content, strict=True) if keep}
@@ -235,7 +317,7 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     else:
         chosen = parser.beside(chosen)
     return "\n\n".join(line[0] for line, keep in zip(lines, content, strict=True)
-                       if line[2] in chosen and (keep or line[2]))
+                       if line[2] in chosen and (keep or (line[2] and not line[3])))
 
 
 def extract(pages: DataFrame, *, html: str = "html", sigma: float = 1.0) -> DataFrame:

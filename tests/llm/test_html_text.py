@@ -48,6 +48,48 @@ def test_paragraphs_wrapped_one_by_one():
         assert main_text(page) == "\n\n".join(lines)
 
 
+MORE = "Another paragraph, of other words, that says some more about it and then comes to an end."
+
+
+def test_layouts_that_look_like_something_else():
+    body = f"<article><h1>Title</h1><p>{LONG}</p><p>{MORE}</p></article>"
+    plain = f"<div><h1>Title</h1><p>{LONG}</p><p>{MORE}</p></div>"
+    want = "\n\n".join(["Title", LONG, MORE])
+    menu = '<ul><li><a href="1">Home page</a></li><li><a href="2">About us</a></li></ul>'
+    for inner in (body, plain):
+        pages = {
+            "head without end": f"<html><head><title>T</title><body>{inner}</body></html>",
+            "form around": f"<body><form action=x>{inner}<input name=q></form></body>",
+            "unclosed nav": f"<body><nav>{menu}<main>{inner}</main></body>",
+            "commentary": f'<body><div class="match-commentary">{inner}</div></body>',
+            "open comments": f'<body><div class="post hentry comments-open">{inner}</div></body>',
+            "has sidebar": f'<body><div class="has-sidebar">{inner}</div><div>{menu}</div></body>',
+            "with sidebar": f'<body><main><div class="content with-sidebar">{inner}</div></main></body>',
+            "misleading": f'<body><div class="widget-area">{inner}</div><footer>x</footer></body>',
+        }
+        for name, page in pages.items():
+            assert main_text(page) == want, name
+    said = f'<div class="user-comments"><div class="comment-12">{LONG} said.</div></div>'
+    assert main_text(f"<body>{body}{said}</body>") == want
+    assert main_text(f"<body>{said}{said}{said}</body>") == ""  # nothing but comments
+
+
+def test_weakly_marked_paragraphs_of_an_article_are_judged_by_their_ratio():
+    lines = "".join(f"<p>{LONG}</p>" for _ in range(4))
+    legal = f'<p class="legal">{MORE}</p>'
+    links = '<p class="legal"><a href=1>a</a><a href=2>b</a><a href=3>c</a><a href=4>d</a></p>'
+    got = main_text(f"<article>{lines}{legal}{lines}{links}{links}{links}</article>")
+    assert got == "\n\n".join([*[LONG] * 4, MORE, *[LONG] * 4])
+    assert MORE not in main_text(f'<article>{lines}<p class="ad">{MORE}</p></article>')
+
+
+def test_parts_that_hold_less_stay_out():
+    page = f"""<body><header><p>{MORE}</p></header><article><p>{LONG}</p></article>
+    <aside><p>{MORE}</p><p>{MORE}</p><p>{MORE}</p></aside><div class="related"><p>{MORE}</p></div>
+    <form><p>{LONG}</p></form><footer><p>{MORE}</p></footer></body>"""
+    assert main_text(page) == LONG
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<!-- x -->") == ""
     assert main_text("no markup &lt;at all") == "no markup <at all"
