@@ -152,7 +152,8 @@ def _features(batch: pa.RecordBatch, at: int) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, *, doc_id: str = "doc_id",
           text: str = "text", label: str = "quality", fit_rows: int = 20_000, **kw) -> Trees:
-    """Trees fitted on at most ``fit_rows`` labelled rows: those whose id hashes lowest."""
+    """Trees fitted on at most ``fit_rows`` labelled rows: those whose id hashes lowest, with one
+    text of each id (where an id repeats with several, the one that hashes lowest)."""
     marks = (labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
              .groupBy(F.col(doc_id).alias("l_id")).agg(F.max(label).cast("double").alias("y")))
     order = F.xxhash64("l_id", F.lit(17))
@@ -162,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, doc_id: str = "d
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0), **kw)
     chosen = cut.where(order <= last).select("l_id", "y")
     rows = docs.select(F.col(doc_id).alias("d_id"), F.col(text).alias("t")).join(
-        chosen, F.col("d_id") == F.col("l_id")).select("d_id", "t", "y")
+        chosen, F.col("d_id") == F.col("l_id")).groupBy("d_id", "y").agg(
+        F.min_by("t", F.xxhash64("t")).alias("t")).select("d_id", "t", "y")
 
     def run(batches):
         for b in batches:
@@ -171,9 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, doc_id: str = "d
                  b.column(2)], names=["id", "x", "y"])
 
     kind = dict(rows.dtypes)["d_id"]
-    # the limit holds only if rows repeat a chosen id
-    t = rows.mapInArrow(run, f"id {kind}, x array<double>, y double").limit(2 * fit_rows)
-    t = t.toArrow().sort_by("id")
+    t = rows.mapInArrow(run, f"id {kind}, x array<double>, y double").toArrow().sort_by("id")
     x = np.array(t.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, t.column("y").to_numpy(), **kw)
 
@@ -181,14 +181,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, doc_id: str = "d
 def predict(docs: DataFrame, trees: Trees, *, text: str = "text", cut: float = 0.3) -> DataFrame:
     """``docs`` without the text, with score and predicted."""
     model = docs.sparkSession.sparkContext.broadcast(trees)  # rounds * 2**(depth + 1) nodes at most
-    keep = [c for c in docs.columns if c not in (text, "score", "predicted")]
-    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "integer")
+    # the other columns as one, so that their names do not matter
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (text, "score", "predicted")])
+    rows = docs.select(row.alias("row"), F.col(text).alias("t"))
+    schema = rows.select("row").schema.add("score", "double").add("predicted", "integer")
 
     def run(batches):
         for b in batches:
-            s = model.value.score(_features(b, b.schema.get_field_index(text)))
+            s = model.value.score(_features(b, 1))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(s),
-                 pa.array((s >= cut).astype(np.int32))], names=[*keep, "score", "predicted"])
+                [b.column(0), pa.array(s), pa.array((s >= cut).astype(np.int32))],
+                names=["row", "score", "predicted"])
 
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("row.*", "score", "predicted")

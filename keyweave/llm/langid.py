@@ -35,7 +35,7 @@ SPACE = np.array([32], np.uint32)
 def letter_table() -> np.ndarray:
     """For each code point: its lower case if it is a letter, else a space."""
     out = np.full(0x110000, 32, np.uint32)
-    for k in range(0x30000):  # no letters beyond
+    for k in range(0x110000):
         ch = chr(k)
         if ch.isalpha():
             low = ch.lower()

@@ -61,3 +61,20 @@ def test_odd_rows_and_empty_tables(spark, documents):
     assert predict(documents([]), trees).count() == 0
     assert statistics(None) == statistics("") == [0.0] * len(FEATURES)
     assert all(np.isfinite(statistics(t)).all() for _, t, *_ in rows)
+
+
+def test_repeated_ids_give_one_row_each_and_any_column_names(spark, documents, monkeypatch):
+    from keyweave.llm import gbt
+
+    seen = []
+    real = gbt.fit
+    monkeypatch.setattr(gbt, "fit", lambda x, y, **kw: seen.append(x) or real(x, y, **kw))
+    rows = [(i, quality(i)[0]) for i in range(60)] + [(7, prose(900 + j, 30)) for j in range(40)]
+    labels = spark.createDataFrame([(i, quality(i)[1], 0) for i in range(60)],
+                                   "doc_id long, quality int, toxic int")
+    train(documents(rows), labels, F.lit(True), fit_rows=50)
+    train(documents(rows[::-1]).repartition(5), labels, F.lit(True), fit_rows=50)
+    assert len(seen[0]) == 50 and (seen[0] == seen[1]).all()
+    trees = real(np.zeros((0, len(FEATURES))), np.zeros(0))
+    odd = documents(rows[:3]).select("doc_id", "text", F.lit(1).alias("a.b"))
+    assert predict(odd, trees).columns == ["doc_id", "a.b", "score", "predicted"]
