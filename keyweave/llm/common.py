@@ -81,18 +81,23 @@ _INVERSE = pow(_MULTIPLIER, -1, 2**64)
 _BYTE = np.random.default_rng(11).integers(0, 2**64, 256, np.uint64)
 
 
+_KEPT_POWERS = 1 << 17  # 2 MB in all; longer texts make their own
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, at least ``n`` of each."""
-    kept = worker_object(("powers",), dict)
-    if kept.get("n", 0) < n:
-        n = max(n, 1 << 16, 2 * kept.get("n", 0))
-        for name, m in (("up", _MULTIPLIER), ("down", _INVERSE)):
-            x = np.full(n, m, np.uint64)
+    def make(size: int) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        for m in (_MULTIPLIER, _INVERSE):
+            x = np.full(size, m, np.uint64)
             x[0] = 1
             with np.errstate(over="ignore"):
-                kept[name] = np.multiply.accumulate(x)
-        kept["n"] = n
-    return kept["up"], kept["down"]
+                out.append(np.multiply.accumulate(x))
+        return out[0], out[1]
+
+    if n > _KEPT_POWERS:
+        return make(n)
+    return worker_object(("powers",), lambda: make(_KEPT_POWERS))
 
 
 def word_hashes(text: str | None, word_bytes: bytes = WORD_BYTES) -> np.ndarray:

@@ -62,7 +62,7 @@ class ByteBPE(dict):
     token, as in the file; plain text if ``added_as_text``) go through tokenizers in one go.
     """
 
-    LIMIT, LONGEST = 600_000, 64
+    LIMIT, LONGEST = 200_000, 32  # about 40 MB
 
     def __init__(self, path: str, added_as_text: bool = True):
         import json
