@@ -228,15 +228,29 @@ def _rare_pairs(texts: DataFrame, k: int, threshold: float) -> DataFrame:
     1 - threshold with the first 1 - 2 threshold / (1 + threshold) of the other (prefix filter).
     """
     y = _rare_shingles(texts, k, threshold)
+    # shingles of several roots only; most of a shingle's texts may have one root, and a pair of
+    # different roots has one text outside it
+    each = y.groupBy("s", "root").agg(F.count("*").alias("m"))
+    several = each.groupBy(F.col("s").alias("g_s")).agg(
+        F.max(F.struct("m", "root"))["root"].alias("most"), F.count("*").alias("roots")).where("roots > 1")
+    several = materialise(several.select("g_s", "most"), "rare-groups")
+    y = materialise(y.join(several, F.col("s") == F.col("g_s")).select(
+        "tid", "root", "n", "s", "place", (F.col("root") == F.col("most")).alias("common")),
+        "rare-of-several")
     both = 2 * threshold / (1 + threshold)
     x = y.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * both - 1e-9) + 1).select(
         F.col("s").alias("x_s"), F.col("tid").alias("a"), F.col("root").alias("x_root"),
-        F.col("n").alias("x_n"))
+        F.col("n").alias("x_n"), F.col("place").alias("x_place"), F.col("common").alias("x_common"))
     larger = (F.col("n") > F.col("x_n")) | ((F.col("n") == F.col("x_n")) & (F.col("tid") > F.col("a")))
-    return x.join(y, (F.col("x_s") == F.col("s")) & (F.col("x_root") != F.col("root")) & larger
-                  & (F.col("x_n") >= F.col("n") * threshold - 1e-9)).select(
-        "a", F.col("tid").alias("b"), F.col("x_root").alias("root"),
-        F.col("root").alias("c_root")).distinct()
+    # the shingles from the shared one on must be enough on both sides (its places are by rarity)
+    need = F.ceil((F.col("n") + F.col("x_n")) * (threshold / (1 + threshold)) - 1e-9)
+    enough = F.least(F.col("n") - F.col("place"), F.col("x_n") - F.col("x_place")) + 1 >= need
+    near = (F.col("x_s") == F.col("s")) & (F.col("x_root") != F.col("root")) & larger & enough \
+        & (F.col("x_n") >= F.col("n") * threshold - 1e-9)
+    found = x.where("not x_common").join(y, near).union(
+        x.where("x_common").join(y.where("not common"), near))
+    return found.select("a", F.col("tid").alias("b"), F.col("x_root").alias("root"),
+                        F.col("root").alias("c_root")).distinct()
 
 
 def _buckets(texts: DataFrame, k: int, bands: int, rows: int, size: int) -> DataFrame:
