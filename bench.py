@@ -35,6 +35,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, shuffle_partitions=max(cpus, 8))
+    # a query of fixed plan: its time tells one machine, or one state of it, from another
+    fixed = spark.range(0, 40_000_000, 1, cpus).selectExpr("sum(xxhash64(id) % 1000) AS s")
+    run(fixed)
+    machine = round(statistics.median(run(fixed) for _ in range(runs)), 3)
     times = {}
     for name in HEADLINE:
         q = catalog.QUERIES[name]
@@ -55,6 +59,7 @@ def main() -> None:
         "cpus": cpus,
         "shuffle_partitions": max(cpus, 8),
         "runs": runs,
+        "machine_s": machine,
     }))
 
 

@@ -58,6 +58,7 @@ GRACE_MS = 3600 * 1000
 COMMIT_MS = 30 * 60 * 1000
 # The changelog's replay, and how many of its slices the table is read as of.
 REPLAY_SLICES, AS_OF_SLICE = 10, 7
+LATE_SLICES = 6  # micro-batches of the replay in arrival order
 # Message framing: the registry id of the writer schema, and one that is not accepted.
 SCHEMA_ID, OTHER_SCHEMA_ID = 42, 7
 LOOKUP_POINTS = [1, 7, 42, 1_000_000_000]
@@ -352,6 +353,18 @@ def stream_emp_table(spark, sf_dir):
     return floats_as_double(t.select(*FULL, "l_id", "r_id"))
 
 
+def stream_late_rows(spark, sf_dir):
+    """The rows that come too late for a stream of the events in arrival order, from its
+    quarantine: a micro-batch's watermark is that of the batches before it."""
+    from keyweave.streaming.replay import replayed_quarantine
+
+    t = F.unix_micros("ts")
+    late = replayed_quarantine(
+        spark, sf_dir, window_ms=WINDOW_MS, grace=f"{GRACE_MS} milliseconds", slices=LATE_SLICES,
+        arrival=t + F.floor(F.col("value") * DELAY_MICROS).cast("long"))
+    return late.select("side", "key", "id")
+
+
 def stream_join_settled(spark, sf_dir):
     """The settled join of the replayed streams, stopped and restarted half-way."""
     from keyweave.streaming.replay import replayed_settled_join
@@ -412,4 +425,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "emp_table_as_of_batch": emp_table_as_of_batch,
     "stream_emp_table": stream_emp_table,
     "stream_join_settled": stream_join_settled,
+    "stream_late_rows": stream_late_rows,
 }

@@ -17,6 +17,7 @@ from keyweave.plans.catalog import (
     GRACE_MS,
     HOT_KEY,
     HOT_KEY_BELOW,
+    LATE_SLICES,
     LOOKUP_POINTS,
     LOOKUP_RANGE,
     NULL_AGE_FROM,
@@ -248,6 +249,15 @@ FROM (
   FROM v LEFT JOIN f ON f.empId = v.empId AND f.emit_t <= v.u) WHERE rn = 1""",
         "emp_table": _table_sql(),
         "stream_emp_table": _table_sql(),
+        # Spark keeps the watermark in whole milliseconds
+        "stream_late_rows": f"""
+WITH b AS (SELECT min({ARRIVAL}) AS lo, max({ARRIVAL}) AS hi FROM events),
+w AS (SELECT 0 AS side, key, id, t, seq FROM ({_personal()})
+      UNION ALL SELECT 1, key, id, t, seq FROM ({_address()})),
+s AS (SELECT *, (seq - lo) // ((hi - lo) // {LATE_SLICES} + 1) AS slice FROM w, b WHERE key IS NOT NULL),
+m AS (SELECT slice, max(max(t)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING
+                                      AND 1 PRECEDING) AS seen FROM s GROUP BY slice)
+SELECT side, key, id FROM s JOIN m USING (slice) WHERE t < (seen // 1000) * 1000 - {GRACE_MS * 1000}""",
         # the slices of the replay are as wide as whole microseconds allow
         "emp_table_as_of_batch": _table_sql(source=f"""(
     SELECT f.* FROM f, (SELECT min(emit_t) AS lo, max(emit_t) AS hi FROM f) b

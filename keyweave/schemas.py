@@ -77,10 +77,6 @@ def required_fields(fields) -> list[str]:
     return [n for n, _, nullable in fields if not nullable]
 
 
-def float_fields(fields) -> list[str]:
-    return [n for n, t, _ in fields if isinstance(t, T.FloatType)]
-
-
 # Envelope columns every stream row carries next to its value fields: the message
 # key, the event timestamp and an arrival id (offset, or a replay sequence).
 ENVELOPE = [
@@ -90,11 +86,6 @@ ENVELOPE = [
 ]
 
 
-def stream_schema(kind: str) -> T.StructType:
-    """Flat schema of a conformed stream: envelope + record fields."""
-    return struct_type(ENVELOPE + FIELDS[kind])
-
-
 _AVRO_TYPES = {T.IntegerType: "int", T.FloatType: "float", T.StringType: "string"}
 
 

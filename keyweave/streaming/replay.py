@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,6 +29,14 @@ KINDS = ("personal", "address")
 END = "__end__"  # message key of the rows that close a replay; not a key of the data
 
 
+def _arrivals(ev: DataFrame, arrival: Column | None) -> tuple[DataFrame, str]:
+    """``ev`` with the column by which a replay is sliced: ``ts``, or the arrival sequence
+    (microseconds) as a timestamp."""
+    if arrival is None:
+        return ev, "ts"
+    return ev.withColumn("_seq", F.timestamp_micros(arrival)), "_seq"
+
+
 def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with wall-clock times as UTC instants, whatever the session's zone."""
     ev = events(spark, sf_dir)
@@ -36,15 +44,17 @@ def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_event_replay(spark: SparkSession, sf_dir: str, base: str, slices: int,
-                       only: Iterable[int] | None = None) -> int:
+                       only: Iterable[int] | None = None, arrival: Column | None = None) -> int:
     """Replay folders ``<base>/<kind>/part-<i>`` (of ``only`` these slices); returns the number
-    of input rows written so far."""
-    ev = _instants(spark, sf_dir)
-    lo, hi = replay_bounds(ev)
+    of input rows written so far. ``arrival``: microseconds over ``events`` by which rows arrive
+    (default: event time)."""
+    ev, by = _arrivals(_instants(spark, sf_dir), arrival)
+    lo, hi = replay_bounds(ev, by)
     n, only = 0, None if only is None else list(only)
     for kind in KINDS:
-        write_replay(raw_stream(ev, kind), f"{base}/{kind}", slices, bounds=(lo or 0, hi or 0),
-                     only=only)
+        raw = raw_stream(ev, kind, arrival=None if arrival is None else F.col(by))
+        raw = raw if arrival is None else raw.withColumnRenamed("seq", by)
+        write_replay(raw, f"{base}/{kind}", slices, bounds=(lo or 0, hi or 0), ts=by, only=only)
         n += spark.read.parquet(f"{base}/{kind}/part-*").count()
     return n
 
@@ -70,7 +80,7 @@ def replay_stream(spark: SparkSession, base: str, kind: str) -> DataFrame:
 def replay_with_restart(spark: SparkSession, sf_dir: str,
                         start: Callable[[DataFrame, DataFrame, str], StreamingQuery], *,
                         slices: int = 4, end_after_ms: int | None = None,
-                        state_partitions: int | None = None) -> str:
+                        arrival: Column | None = None, state_partitions: int | None = None) -> str:
     """Run ``start(personal, address, folder)`` over the first half of the slices until it stops,
     then again, from its checkpoint, over the rest. Returns the folder.
 
@@ -83,7 +93,7 @@ def replay_with_restart(spark: SparkSession, sf_dir: str,
     own.conf.set("spark.sql.shuffle.partitions",
                  str(state_partitions or spark.sparkContext.defaultParallelism))
     for part in (range(slices // 2), range(slices // 2, slices)):
-        write_event_replay(spark, sf_dir, f"{base}/src", slices, only=part)
+        write_event_replay(spark, sf_dir, f"{base}/src", slices, only=part, arrival=arrival)
         if end_after_ms is not None and part.stop == slices:
             write_end(spark, sf_dir, f"{base}/src", slices, end_after_ms)
         q = start(*[replay_stream(own, f"{base}/src", kind) for kind in KINDS], base)
@@ -103,6 +113,20 @@ def replayed_table(spark: SparkSession, sf_dir: str, *, window_ms: int, slices:
     return read_state_table(spark, f"{base}/checkpoint")
 
 
+def replayed_quarantine(spark: SparkSession, sf_dir: str, *, window_ms: int, grace: str,
+                        arrival: Column, slices: int = 4) -> DataFrame:
+    """The late rows (side, key, ts, id, l, r, batch) that a replay in arrival order, with a
+    restart, keeps beside the table."""
+    def start(personal, address, base):
+        return start_employee_table(
+            personal.sparkSession, personal, address, f"{base}/table", name="replayed_quarantine",
+            checkpoint=f"{base}/checkpoint", trigger={"availableNow": True}, emit="eager",
+            window_ms=window_ms, grace=grace, quarantine=f"{base}/late")
+
+    base = replay_with_restart(spark, sf_dir, start, slices=slices, arrival=arrival)
+    return spark.read.parquet(f"{base}/late")
+
+
 def replayed_settled_join(spark: SparkSession, sf_dir: str, *, window_ms: int,
                           grace: str = DEFAULT_GRACE, grace_ms: int = 24 * 3600 * 1000,
                           slices: int = 4) -> DataFrame:

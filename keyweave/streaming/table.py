@@ -108,6 +108,35 @@ class TableSink:
          .parquet(f"{self.path}/batch={int(batch_id)}"))
 
 
+class QuarantineSink(TableSink):
+    """Update log, and the rows that the eager join dropped as late, kept beside it.
+
+    A micro-batch holds ``update`` rows (the changelog) and ``arrived`` rows (side, key, ts, id and
+    the side's columns as ``l`` or ``r``; ids are unique within a side), one struct of each kind or
+    null. The eager join emits every row that it takes in, at its arrival; so what arrived in a
+    batch and emitted nothing in it was late. Both folders are named by the batch id, so a
+    repeated batch overwrites its own, and what arrived is always emitted or in quarantine.
+    """
+
+    def __init__(self, path: str, quarantine: str, **kw):
+        super().__init__(path, **kw)
+        self.quarantine = quarantine.rstrip("/")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read by both writes; the stateful plan runs once
+        try:
+            updates = batch.where(F.col("update").isNotNull()).select("update.*")
+            super().__call__(updates, batch_id)
+            emitted = updates.select(F.col("emit_side").alias("e_side"),
+                                     F.col("emit_id").alias("e_id")).distinct()
+            arrived = batch.where(F.col("arrived").isNotNull()).select("arrived.*")
+            late = arrived.join(emitted, (F.col("side") == F.col("e_side"))
+                                & (F.col("id") == F.col("e_id")), "left_anti")
+            late.write.mode("overwrite").parquet(f"{self.quarantine}/batch={int(batch_id)}")
+        finally:
+            batch.unpersist()
+
+
 def _log(spark: SparkSession, path: str, snapshot: str | None) -> DataFrame:
     """All rows that define the table, each with the ``batch`` it came in."""
     updates = spark.read.parquet(path.rstrip("/"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keyweave.operators.flatten import flatten_full_details
@@ -16,7 +17,7 @@ from keyweave.session import checkpoint_location
 from keyweave.sources.conform import conform
 from keyweave.sources.kafka import kafka_raw
 from keyweave.streaming.join import DEFAULT_GRACE, eager_join_stream, settled_join_stream
-from keyweave.streaming.table import TableSink, lww_stream
+from keyweave.streaming.table import QuarantineSink, TableSink, lww_stream
 
 
 def joined_stream(personal: DataFrame, address: DataFrame, *, emit: str = "eager",
@@ -60,10 +61,11 @@ def start_employee_table(spark: SparkSession, personal: DataFrame, address: Data
                          table_path: str, *, name: str = "employee_table",
                          checkpoint: str | None = None, trigger: dict | None = None,
                          table: str = "sink", tap: str | None = None,
-                         **kw) -> StreamingQuery:
+                         quarantine: str | None = None, **kw) -> StreamingQuery:
     """Run the topology into the update log at ``table_path`` (see ``TableSink``).
 
     ``tap``: name of an observed metric that counts the personal rows as they pass.
+    ``quarantine``: a folder for the rows that the eager join drops as late (``QuarantineSink``).
 
     The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``; a restart
     with the same checkpoint resumes from the last committed micro-batch.
@@ -71,14 +73,37 @@ def start_employee_table(spark: SparkSession, personal: DataFrame, address: Data
     if tap:
         personal = tap_stream(personal, tap)
     upd = table_updates(personal, address, table=table, **kw)
+    sink = TableSink(table_path)
+    if quarantine:
+        if table != "sink" or kw.get("emit", "eager") != "eager":
+            raise ValueError("quarantine needs emit='eager' and table='sink'")
+        upd = _with_arrivals(upd, personal, address)
+        sink = QuarantineSink(table_path, quarantine)
     w = (upd.writeStream.queryName(name).outputMode("append")
          .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
-         .foreachBatch(TableSink(table_path)))
+         .foreachBatch(sink))
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
 
 
+def _with_arrivals(updates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """``update`` rows and, past the join, the rows of both sides that reach it (``arrived``)."""
+    kinds = [df.select(F.struct("*").alias("x")).schema["x"].dataType for df in (left, right)]
+
+    def arrived(df: DataFrame, side: int) -> DataFrame:
+        own = [F.struct("*") if s == side else F.lit(None).cast(kinds[s]) for s in (0, 1)]
+        row = F.struct(F.lit(side).alias("side"), "key", "ts", F.col("id").cast("long").alias("id"),
+                       own[0].alias("l"), own[1].alias("r"))
+        return df.where(F.col("key").isNotNull() & F.col("ts").isNotNull()).select(
+            F.lit(None).cast(upd.schema["update"].dataType).alias("update"), row.alias("arrived"))
+
+    upd = updates.select(F.struct("*").alias("update"))
+    arrivals = arrived(left, 0).union(arrived(right, 1))
+    none = F.lit(None).cast(arrivals.schema["arrived"].dataType)
+    return upd.select("update", none.alias("arrived")).union(arrivals)
+
+
 class KafkaTopology(NamedTuple):
     table: StreamingQuery  # the employee table's query
     vehicle: DataFrame  # conformed vehicle rows, which join nothing

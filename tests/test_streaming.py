@@ -189,3 +189,33 @@ def test_settled_join_equals_batch(spark, folder, method):
         "l_id", "r_id", "emit_id", "ts")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_late_rows_are_kept_after_a_restart_too(spark, mk, folder):
+    """Everything that arrived is emitted at its arrival or in quarantine."""
+    def start():
+        return start_employee_table(
+            spark, src(spark, folder, "personal"), src(spark, folder, "address"),
+            f"{folder}/table", name="quarantine", checkpoint=f"{folder}/ck", emit="eager",
+            trigger={"availableNow": True}, window_ms=1000, grace="1 second",
+            quarantine=f"{folder}/late")
+
+    write_batches(mk, folder, "personal", [[("a", 100000, 1, P(1))], [("a", 100500, 3, P(1)),
+                                                                     (None, 1, 90, P(9))]])
+    write_batches(mk, folder, "address", [[], [("a", 10000, 2, A(1)), ("b", 100600, 7, A(7))]])
+    start().awaitTermination()
+    late = spark.read.parquet(f"{folder}/late")
+    assert [(r.side, r.key, r.id, r.batch) for r in late.collect()] == [(1, "a", 2, 1)]
+    assert late.first().r.houseName == A(1)["houseName"] and late.first().l is None
+
+    mk("personal", [("a", 5000, 5, P(1))]).coalesce(1).write.parquet(f"{folder}/personal/part-0002")
+    mk("address", [("a", 100700, 4, A(1))]).coalesce(1).write.parquet(f"{folder}/address/part-0002")
+    start().awaitTermination()
+    late = spark.read.parquet(f"{folder}/late")
+    kept = {(r.side, r.id) for r in late.collect()}
+    assert kept == {(1, 2), (0, 5)}
+    table = read_table(spark, f"{folder}/table")
+    assert {(r.empId, r.l_id, r.r_id) for r in table.collect()} == {(1, 3, 4), (7, None, 7)}
+    with pytest.raises(ValueError):
+        start_employee_table(spark, src(spark, folder, "personal"), src(spark, folder, "address"),
+                             f"{folder}/x", emit="settled", quarantine=f"{folder}/y")
