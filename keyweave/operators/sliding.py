@@ -60,21 +60,30 @@ def window_extremes(probes: DataFrame, others: DataFrame, w: int,
     group = ["_key", "_g"]
     ahead = Window.partitionBy(*group).orderBy("_slice")
     back = Window.partitionBy(*group).orderBy(F.desc("_slice"))
-    inside = Window.partitionBy(*group, "_slice")
-    so_far = (Window.unboundedPreceding, Window.currentRow)
     earlier = (Window.unboundedPreceding, -1)
     suffix = lambda n: F.when(F.col("_first"), F.col("_v_" + n))
     prefix = lambda n: F.when(~F.col("_first"), F.col("_v_" + n))
-    sums, carries, found = [], [], []
+    sums, from_later, from_earlier, found = [], [], [], []
+    inside = Window.partitionBy(*group, "_slice")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
     for n, (_, kind) in best.items():
         agg, pick = _AGG[kind]
         sums += [agg(suffix(n)).alias("_s_" + n), agg(prefix(n)).alias("_p_" + n)]
-        carries += [agg("_s_" + n).over(back.rowsBetween(*earlier)).alias("_cs_" + n),
-                    agg("_p_" + n).over(ahead.rowsBetween(*earlier)).alias("_cp_" + n)]
+        from_later.append(agg("_s_" + n).over(back.rowsBetween(*earlier)).alias("_v_" + n))
+        from_earlier.append(agg("_p_" + n).over(ahead.rowsBetween(*earlier)).alias("_v_" + n))
         found.append(pick(
-            "_cs_" + n, "_cp_" + n,
             agg(suffix(n)).over(inside.orderBy(F.desc("_o")).rowsBetween(*so_far)),
             agg(prefix(n)).over(inside.orderBy("_o").rowsBetween(*so_far))).alias(n))
-    carry = rows.groupBy(*group, "_slice").agg(*sums).select(*group, "_slice", *carries)
-    rows = rows.join(carry, [*group, "_slice"], "left")
+    # what other slices hand on stands as a row before (or, for suffixes, behind) all of a slice
+    carry = rows.groupBy(*group, "_slice").agg(*sums).select(
+        *group, "_slice", F.struct(*from_later, F.lit(True).alias("first"),
+                                   F.lit(2 * width + 2).cast("long").alias("o")).alias("later"),
+        F.struct(*from_earlier, F.lit(False).alias("first"),
+                 F.lit(-1).cast("long").alias("o")).alias("earlier"))
+    values = ["_v_" + n for n in names]
+    carry = carry.select(*group, "_slice", F.explode(F.array("later", "earlier")).alias("c")).where(
+        F.coalesce(*[F.when(F.col("c." + v).isNotNull(), True) for v in values], F.lit(False))).select(
+        *group, "_slice", F.col("c.first").alias("_first"), *["c." + v for v in values],
+        none.cast(row).alias("_row"), F.col("c.o").alias("_o"))
+    rows = rows.select(*group, "_slice", "_first", *values, "_row", "_o").union(carry)
     return rows.select("_row", *found).where(F.col("_row").isNotNull()).select("_row.*", *names)
