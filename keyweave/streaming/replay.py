@@ -101,7 +101,7 @@ def replay_with_restart(spark: SparkSession, sf_dir: str,
     return base
 
 
-def replayed_table(spark: SparkSession, sf_dir: str, *, window_ms: int, slices: int = 4) -> DataFrame:
+def replayed_table(spark: SparkSession, sf_dir: str, *, window_ms: int, slices: int = 3) -> DataFrame:
     """The employee table in keyed state after a replay with a restart, read from the checkpoint."""
     def start(personal, address, base):
         return start_employee_table(
@@ -129,7 +129,7 @@ def replayed_quarantine(spark: SparkSession, sf_dir: str, *, window_ms: int, gra
 
 def replayed_settled_join(spark: SparkSession, sf_dir: str, *, window_ms: int,
                           grace: str = DEFAULT_GRACE, grace_ms: int = 24 * 3600 * 1000,
-                          slices: int = 4) -> DataFrame:
+                          slices: int = 3) -> DataFrame:
     """The rows of the settled join after a replay with a restart and an end row that lets all
     unmatched rows go. ``grace_ms`` is ``grace`` in milliseconds."""
     def start(personal, address, base):
