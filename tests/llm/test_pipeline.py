@@ -11,7 +11,7 @@ from tests.llm.conftest import prose
 from tools.check_oracle import digest
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["documents", "embeddings", "pages", "benchmark", "labels"]
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def names():
@@ -19,7 +19,7 @@ def names():
 
 
 def test_all_operators_are_registered():
-    assert [n for n in (f"op{i}_" for i in range(1, 11))
+    assert [n for n in (f"op{i}_" for i in range(1, 14))
             if sum(x.startswith(n) for x in names()) != 1] == []
     assert "pipeline" in names()
 
