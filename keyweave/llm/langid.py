@@ -249,3 +249,30 @@ def accepted(docs: DataFrame, model: Model, *, text: str = "text",
             yield b.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
+
+
+def labelled(docs: DataFrame, model: Model, *, text: str = "text", lang: str = "lang",
+             min_score: float = 0.5) -> DataFrame:
+    """The documents with letters, each with its language; columns as they were.
+
+    ``lang`` becomes the predicted language where that has at least ``min_score`` or none is
+    given; less sure predictions leave the given one. Without a fitted language it stays.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at, own = docs.columns.index(text), docs.columns.index(lang)
+
+    def label(batches):
+        m = shared.value
+        for b in batches:
+            texts, given = b.column(at).to_pylist(), b.column(own)
+            if m.languages:
+                found = [m.predict(t) for t in texts]
+                good = [y != UND for y, _ in found]
+                named = pa.array([y if p >= min_score or old is None else str(old) for (y, p), old
+                                  in zip(found, given.to_pylist(), strict=True)], pa.string())
+                b = b.set_column(own, b.schema.field(own), named.cast(given.type))
+            else:
+                good = [len(grams(t, m.bits)) > 0 for t in texts]
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(label, docs.schema)

@@ -100,3 +100,21 @@ def test_the_stage_keeps_short_and_mixed_documents(spark, documents):
 def test_letters_of_all_planes_count():
     for code in (0x30000, 0x31350, 0x20000, 0x1E900):
         assert len(grams(chr(code), 14)) == 6, hex(code)  # " x ": three, two and one grams
+
+
+def test_the_stage_names_the_languages(spark, documents):
+    import corpus_pipeline
+
+    rows = [(i, t, y) for i, t, y in sample()]
+    true = {i: y for i, _, y in rows}
+    given = [(i, t, None if i % 10 == 0 else "cc" if i % 10 == 1 else y) for i, t, y in rows]
+    docs = documents([*given, (1000, "12 !", "aa")])
+    out = corpus_pipeline.language_id(spark, docs, "")
+    assert out.schema == docs.schema
+    found = {r.doc_id: (r.lang, r.text) for r in out.collect()}
+    assert {i: t for i, (_, t) in found.items()} == {i: t for i, t, _ in rows}
+    wrong = [i for i, (y, _) in found.items() if y != true[i]]
+    assert len(wrong) < 0.02 * len(rows), wrong
+    no_labels = documents([(1, "ka", None), (2, "1", None)])
+    assert [tuple(r)[:3] for r in corpus_pipeline.language_id(spark, no_labels, "").collect()] == [
+        (1, "ka", None)]
