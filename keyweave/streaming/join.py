@@ -1,8 +1,8 @@
 """Streaming interval outer join, eager and settled.
 
 Both produce the same columns as the batch ``interval_outer_join`` so the flatten
-and table operators apply unchanged. State is keyed by ``(message key, time bucket)``
-with buckets two windows wide, so a hot key spreads over its active buckets.
+and table operators apply unchanged. State is kept by time buckets two windows wide, so a
+hot key spreads over its active buckets.
 
 * ``settled``: Spark's stream-stream joins. A left outer join of the left rows (in
   their home bucket) with the right rows (copied to the neighbour their window
@@ -11,7 +11,9 @@ with buckets two windows wide, so a hot key spreads over its active buckets.
   does it in :class:`IntervalJoinProcessor` instead.
 * ``eager``: Spark has no join that emits a row alone at its arrival. The two sides
   are tagged and unioned, grouped and fed to :class:`IntervalJoinProcessor`, which
-  keeps a group's rows in keyed list state. Each arriving row (in ``(o1, side, id)``
+  keeps a group's rows in keyed list state. A group is a bucket's rows of all message keys of
+  one slot (a hash of the key): most keys have a row or two in a bucket, and a group of its
+  own for each of them would cost more in calls to the state than the join itself. Each arriving row (in ``(o1, side, id)``
   order within a micro-batch) joins the stored rows of the other side in its window,
   or is emitted alone at once. Groups are dropped whole by event-time timers once the
   watermark (max event time minus the grace period) has passed them.
@@ -24,6 +26,7 @@ in the observed metric ``late_rows``.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
+from collections import defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -101,6 +104,7 @@ def tagged_union(left: DataFrame, right: DataFrame, *, key: str = "key", ts: str
 
 
 LATE = -1  # emit_side of a dropped row's marker
+SLOTS = 256  # groups of message keys in a bucket; fixed for the life of a checkpoint
 
 
 def _time(entry: tuple) -> tuple:
@@ -112,10 +116,10 @@ def _place(entry: tuple) -> tuple:
 
 
 class IntervalJoinProcessor(StatefulProcessor):
-    """Record-at-a-time outer join for one ``(message key, time bucket)``, eager
+    """Record-at-a-time outer join for the message keys of one ``(slot, time bucket)``, eager
     (unmatched rows at arrival) or settled (unmatched rows when the group closes).
 
-    The group holds the rows whose home is its bucket (``home`` true: they probe)
+    The group holds, for each key, the rows whose home is its bucket (``home`` true: they probe)
     and copies of the neighbouring bucket's rows that can reach it (they are only
     stored), so every partner of a home row is in the group and each pair is
     produced once, by the home row of the later-arrived side.
@@ -128,8 +132,9 @@ class IntervalJoinProcessor(StatefulProcessor):
         self.settled = emit == "settled"
         # stored rows keep every input column but the watermark and group columns
         self.state_schema = T.StructType(
-            [f for f in input_schema.fields if f.name not in ("ts", "g")])
+            [f for f in input_schema.fields if f.name not in ("ts", "g", "slot")])
         self.cols = [f.name for f in self.state_schema.fields]
+        self.key_at = self.cols.index("key")
         self.left_cols = [c for c in self.cols if c.startswith("l_")]
         self.right_cols = [c for c in self.cols if c.startswith("r_")]
         self.out_cols = [f.name for f in output_schema.fields]
@@ -138,14 +143,16 @@ class IntervalJoinProcessor(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buffer", self.state_schema)
 
-    def _load(self) -> dict[int, list[tuple]]:
-        """The stored rows by side, as (t, o1, id, row) in that order."""
-        bufs: dict[int, list[tuple]] = {LEFT: [], RIGHT: []}
+    def _load(self, keys: set | None = None) -> dict[str, dict[int, list[tuple]]]:
+        """The stored rows (of ``keys`` only) by key and side, as (t, o1, id, row) in that order."""
+        bufs = defaultdict(lambda: {LEFT: [], RIGHT: []})
         for tup in self.buf.get():
-            r = dict(zip(self.cols, tup))
-            bufs[r["side"]].append(self._entry(r))
-        for rows in bufs.values():
-            rows.sort(key=_place)
+            if keys is None or tup[self.key_at] in keys:
+                r = dict(zip(self.cols, tup))
+                bufs[r["key"]][r["side"]].append(self._entry(r))
+        for sides in bufs.values():
+            for rows in sides.values():
+                rows.sort(key=_place)
         return bufs
 
     @staticmethod
@@ -174,8 +181,7 @@ class IntervalJoinProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row],
                         timerValues: TimerValues) -> Iterator[Row]:
-        k, g = key
-        horizon = self._horizon(g)
+        horizon = self._horizon(key[1])
         wm = timerValues.getCurrentWatermarkInMs() * 1000
         batch = [r.asDict() for r in rows]
         if wm > 0:
@@ -183,7 +189,7 @@ class IntervalJoinProcessor(StatefulProcessor):
             late = [r for r in batch if wm >= horizon or r["t"] < wm]
             for r in late:
                 if r["home"]:
-                    yield self._late(k, r)
+                    yield self._late(r["key"], r)
             if wm >= horizon:
                 return
             if late:
@@ -192,20 +198,22 @@ class IntervalJoinProcessor(StatefulProcessor):
             return
         batch.sort(key=lambda r: (r["o1"], r["side"], r["aid"]))
         # the buffer is read only when a home row has to probe it
-        bufs = self._load() if any(r["home"] for r in batch) else None
-        fresh = (not bufs[LEFT] and not bufs[RIGHT]) if bufs is not None \
-            else not self.buf.exists()
+        homes = {r["key"] for r in batch if r["home"]}
+        fresh = not self.buf.exists()
+        bufs = self._load(homes) if homes and not fresh else \
+            defaultdict(lambda: {LEFT: [], RIGHT: []})
         for rec in batch:
-            side = rec["side"]
+            k, side = rec["key"], rec["side"]
+            if k not in homes:
+                continue
             if rec["home"]:
-                other = bufs[1 - side]
+                other = bufs[k][1 - side]
                 near = self._near(other, rec["t"])
                 if not near and not self.settled:
                     yield self._out(k, rec, None)
                 for i in near:
                     yield self._out(k, rec, other[i][3])
-            if bufs is not None:
-                insort(bufs[side], self._entry(rec), key=_place)
+            insort(bufs[k][side], self._entry(rec), key=_place)
         self.buf.appendList([tuple(r[c] for c in self.cols) for r in batch])
         if fresh:
             self.handle.registerTimer(horizon // 1000 + 1)
@@ -234,11 +242,11 @@ class IntervalJoinProcessor(StatefulProcessor):
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         if self.settled:
             # home rows with no partner at all leave now, once
-            bufs = self._load()
-            for side in (LEFT, RIGHT):
-                for *_, rec in sorted(bufs[side], key=lambda e: (e[1], e[2])):
-                    if rec["home"] and not self._near(bufs[1 - side], rec["t"]):
-                        yield self._out(key[0], rec, None)
+            for k, sides in self._load().items():
+                for side in (LEFT, RIGHT):
+                    for *_, rec in sorted(sides[side], key=lambda e: (e[1], e[2])):
+                        if rec["home"] and not self._near(sides[1 - side], rec["t"]):
+                            yield self._out(k, rec, None)
         self.buf.clear()
 
     def close(self) -> None:
@@ -261,7 +269,7 @@ def ensure_rocksdb_state(spark) -> None:
 def _bucketed_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int, grace: str,
                           key: str, ts: str, id: str, arrival: str | None,
                           emit: str) -> DataFrame:
-    """State keyed by ``(key, bucket)`` with buckets two windows wide: a row is sent
+    """State keyed by ``(slot of the key, bucket)`` with buckets two windows wide: a row is sent
     to its home bucket and, as a stored copy, to the one neighbour its window
     reaches (the previous bucket from the first half, the next from the second).
     A hot key is spread over its active buckets, each group's list only grows by
@@ -276,12 +284,13 @@ def _bucketed_join_stream(left: DataFrame, right: DataFrame, *, window_ms: int,
     u = (u.withColumn("_g", F.explode(F.array(
             F.struct(b.alias("g"), F.lit(True).alias("home")),
             F.struct(nb.alias("g"), F.lit(False).alias("home")))))
-         .select(*u.columns, F.col("_g.g").alias("g"), F.col("_g.home").alias("home"))
+         .select(*u.columns, F.col("_g.g").alias("g"), F.col("_g.home").alias("home"),
+                 F.pmod(F.xxhash64("key"), F.lit(SLOTS)).alias("slot"))
          .withWatermark("ts", grace))
     out_schema = join_output_schema(left, right, key, ts)
     py_schema = T.StructType(_as_micros(out_schema.fields))
     proc = IntervalJoinProcessor(window_ms, width, u.schema, py_schema, emit=emit)
-    j = u.groupBy("key", "g").transformWithState(
+    j = u.groupBy("slot", "g").transformWithState(
         statefulProcessor=proc, outputStructType=py_schema, outputMode="Append",
         timeMode="EventTime")
     j = j.observe("late_rows", F.count_if(F.col("emit_side") == LATE).alias("late_rows")) \

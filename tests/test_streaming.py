@@ -219,3 +219,21 @@ def test_late_rows_are_kept_after_a_restart_too(spark, mk, folder):
     with pytest.raises(ValueError):
         start_employee_table(spark, src(spark, folder, "personal"), src(spark, folder, "address"),
                              f"{folder}/x", emit="settled", quarantine=f"{folder}/y")
+
+
+def test_a_bucket_has_few_groups_of_state_for_many_keys(spark, mk, folder):
+    from keyweave.streaming.join import SLOTS
+
+    n = 3 * SLOTS
+    write_batches(mk, folder, "personal", [[(str(i), 1000 + i, i, P(i)) for i in range(n)]])
+    write_batches(mk, folder, "address", [[(str(i), 1100 + i, i, A(i)) for i in range(0, n, 2)]])
+    p, a = src(spark, folder, "personal"), src(spark, folder, "address")
+    run_to_end(eager_join_stream(p, a, window_ms=10**6), folder, "out")
+    # pairs of one key only, though keys share a group
+    got = pairs(spark, f"{folder}/out")
+    assert len(got) == n + n // 2
+    assert set(got) == {(i, None) for i in range(n)} | {(i, i) for i in range(0, n, 2)}
+    groups = (spark.read.format("statestore").option("operatorId", 0)
+              .option("stateVarName", "buffer").load(f"{folder}/ck-out")
+              .select("key").distinct().count())
+    assert SLOTS / 2 < groups <= 2 * SLOTS
