@@ -9,7 +9,10 @@ model. Documents belong to blocks of bounded size (by their file and a hash of t
 
 1. Each task sends the distinct n-grams of its blocks, with their counts in training documents, to
    shards: ranges of 64-bit n-gram hashes, packed into one row for a block and shard. An n-gram
-   is sent once for a block however often it occurs, so frequent ones make no large group.
+   is sent once for a block however often it occurs, so frequent ones make no large group. The
+   ``BOOK`` most frequent words of the input have 16-bit codes; an n-gram of such words goes by
+   its codes in place of a hash, in levels of their own (numbered -n), which leaves steps of 2
+   to 4 bytes between a block's keys in place of 7. Which words have codes changes no count.
 2. A shard adds up its n-grams over all blocks and sends the totals back to the blocks that
    asked; the number of shards grows with the input.
 3. A block then has the training counts of all its n-grams: its part of the model. It builds them
@@ -38,6 +41,7 @@ from keyweave.llm.elias_fano import Trie
 TOKEN_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b
                     for b in range(256))
 END = np.array([0x5EED0FE0DD0C0DE5], np.uint64)  # stands for the end token; no word's hash
+BOOK = 1 << 16  # words with codes
 ASK = "level int, shard int, block long, low long, key_width int, keys binary, counts binary"
 TOLD = "level int, shard int, block long, width int, counts binary, n_tokens long, n_types long"
 RESULT = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -56,12 +60,41 @@ def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.array(starts)
 
 
-def ngram_keys(h: np.ndarray, order: int):
-    """By level: (positions whose n-gram stays inside one text, their 64-bit keys, to be used
-    before the next level is asked for)."""
+def code_book(texts: DataFrame, text: str) -> np.ndarray:
+    """Hashes of the most frequent words (and END) in order; a word's code is its place."""
+    def run(batches):
+        for b in batches:
+            words, n = np.unique(encode(b.column(0).to_pylist())[0][1:], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)],
+                                             names=["word", "n"])
+
+    top = texts.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(BOOK).toArrow()
+    return np.sort(top.column("word").to_numpy().view(np.uint64))
+
+
+def _mixed(code: np.ndarray, n: int) -> np.ndarray:
+    """Codes of n words spread over all 64-bit keys that end in 64 - 16 n zeros; a bijection."""
+    top, half = np.uint64(64 - 16 * n), np.uint64(8 * n)
+    with np.errstate(over="ignore"):
+        code = (code * np.uint64(0x9E3779B97F4A7C15)) << top >> top
+        code ^= code >> half
+        return (code * np.uint64(0xBF58476D1CE4E5B9)) << top
+
+
+def ngram_keys(h: np.ndarray, order: int, book: np.ndarray | None = None):
+    """By level: (positions whose n-gram stays inside one text, their 64-bit keys, which of them
+    are mixed codes), to be used before the next level is asked for."""
     key = hash64(h, 1)
-    yield np.arange(1, len(h), dtype=np.int32), key[1:]
+    at = np.arange(1, len(h), dtype=np.int32)
+    yield at, key[1:], np.zeros(len(at), bool)
     ends = np.cumsum(h == END[0], dtype=np.int32)
+    if book is None or not len(book):
+        known, word = np.zeros(len(h), bool), np.zeros(len(h), np.uint64)
+    else:
+        place = np.minimum(np.searchsorted(book, h), len(book) - 1)
+        known, word = book[place] == h, place.astype(np.uint64)
+    coded, code = known, word
     for n in range(2, order + 1):
         with np.errstate(over="ignore"):
             key[1:] = hash64(key[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:], n)
@@ -69,7 +102,13 @@ def ngram_keys(h: np.ndarray, order: int):
         # no END but as the first or the last token
         if n > 2:
             at = at[ends[at - 1] == ends[at - n + 1]]
-        yield at, key[at]
+        if n > 4:  # four codes fill a key
+            yield at, key[at], np.zeros(len(at), bool)
+            continue
+        coded, code = coded.copy(), code.copy()
+        coded[1:], code[1:] = coded[:-1] & known[1:], code[:-1] << np.uint64(16) | word[1:]
+        short = coded[at]
+        yield at, np.where(short, _mixed(code[at], n), key[at]), short
 
 
 def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,22 +126,28 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype("<u1" if top < 256 else "<u2" if top < 65536 else "<u8")
 
 
-def pack_keys(keys: np.ndarray) -> tuple[int, bytes]:
-    """Increasing keys as (byte width, steps from the first key in so many bytes each)."""
-    steps = np.diff(keys, prepend=keys[:1])
+def _zeros(level: int) -> int:
+    """The zero bits that all keys of a level end in."""
+    return 64 + 16 * level if level < 0 else 0
+
+
+def pack_keys(keys: np.ndarray, zeros: int = 0) -> tuple[int, bytes]:
+    """Increasing keys that end in ``zeros`` zero bits as (byte width, steps from the first key in
+    so many bytes each, first all lowest bytes, then the next ones)."""
+    steps = np.diff(keys, prepend=keys[:1]) >> np.uint64(zeros)
     width = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return width, steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    return width, steps.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def unpack_keys(first: int, width: int, raw: bytes) -> np.ndarray:
+def unpack_keys(first: int, width: int, raw: bytes, zeros: int = 0) -> np.ndarray:
     steps = np.zeros((len(raw) // width, 8), np.uint8)
-    steps[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    steps = steps.view(np.uint64)[:, 0]
+    steps[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    steps = steps.view(np.uint64)[:, 0] << np.uint64(zeros)
     steps[0] = first & 0xFFFFFFFFFFFFFFFF
     return np.cumsum(steps, dtype=np.uint64)
 
 
-def _ask(order: int, shards: int, flush_chars: int):
+def _ask(order: int, shards: int, flush_chars: int, book):
     """mapInArrow function over (block, text, learn): ASK rows."""
     width = -(-2**64 // shards)
     edges = np.array([width * s for s in range(1, shards)], np.uint64)
@@ -117,15 +162,17 @@ def _ask(order: int, shards: int, flush_chars: int):
             used = np.zeros(len(h), bool)
             for i, lo, hi in zip(rows, starts[:-1], starts[1:], strict=True):
                 used[lo:hi] = learn[i]
-            for n, (at, key) in enumerate(ngram_keys(h, order), 1):
-                keys, counts = _sums(key, used[at])
-                cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if lo < hi:
-                        row = (n, s, block, int(keys[lo:lo + 1].view(np.int64)[0]),
-                               *pack_keys(keys[lo:hi]), _narrow(counts[lo:hi]).tobytes())
-                        for col, v in zip(out, row, strict=True):
-                            col.append(v)
+            for n, (at, key, short) in enumerate(ngram_keys(h, order, book.value), 1):
+                for level, mine in ((n, ~short), (-n, short)):
+                    keys, counts = _sums(key[mine], used[at[mine]])
+                    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+                    for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                        if lo < hi:
+                            row = (level, s, block, int(keys[lo:lo + 1].view(np.int64)[0]),
+                                   *pack_keys(keys[lo:hi], _zeros(level)),
+                                   _narrow(counts[lo:hi]).tobytes())
+                            for col, v in zip(out, row, strict=True):
+                                col.append(v)
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
                  pa.binary())
         return pa.RecordBatch.from_arrays(
@@ -152,7 +199,7 @@ def _total(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """One shard: the totals of its n-grams, for each block in the order of its keys."""
     level, shard = key[0].as_py(), key[1].as_py()
     blocks = table.column("block").to_numpy()
-    keys = [unpack_keys(*row) for row in zip(*(
+    keys = [unpack_keys(*row, _zeros(level)) for row in zip(*(
         table.column(c).to_pylist() for c in ("low", "key_width", "keys")), strict=True)]
     counts = [np.frombuffer(c, f"<u{len(c) // len(k)}")
               for c, k in zip(table.column("counts").to_pylist(), keys, strict=True)]
@@ -239,7 +286,7 @@ def trie_scores(trie: Trie, x: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
     return score
 
 
-def _score(order: int, n_total: int, n_types: int, mu: float):
+def _score(order: int, n_total: int, n_types: int, mu: float, book):
     """cogroup function: one block's documents and the counts of their n-grams."""
     def score(docs: pa.Table, told: pa.Table) -> pa.Table:
         h, starts = encode(docs.column("text").to_pylist())
@@ -247,15 +294,18 @@ def _score(order: int, n_total: int, n_types: int, mu: float):
         where = np.lexsort((told.column("shard").to_numpy(), told.column("level").to_numpy()))
         level = told.column("level").to_numpy()
         at, inverse, counts = [], [], []
-        for n, (pos, key) in enumerate(ngram_keys(h, order), 1):
-            distinct, inv = np.unique(key, return_inverse=True)
-            inv = inv.astype(np.int32)
-            parts = [np.frombuffer(raw[i], f"<u{width[i]}").astype(np.int64)
-                     for i in where if level[i] == n]
+        for n, (pos, key, short) in enumerate(ngram_keys(h, order, book.value), 1):
+            inv, own, n_distinct = np.empty(len(key), np.int32), [], 0
+            for lev, mine in ((n, ~short), (-n, short)):
+                distinct, places = np.unique(key[mine], return_inverse=True)
+                inv[mine] = places + n_distinct
+                n_distinct += len(distinct)
+                own += [np.frombuffer(raw[i], f"<u{width[i]}").astype(np.int64)
+                        for i in where if level[i] == lev]
             at.append(pos)
             inverse.append(inv)
-            counts.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
-            if len(counts[-1]) != len(distinct):
+            counts.append(np.concatenate(own) if own else np.empty(0, np.int64))
+            if len(counts[-1]) != n_distinct:
                 raise RuntimeError("a block's n-grams differ between two reads of the input")
         # word ids: places of the distinct unigrams; the first END is as the last
         x = np.concatenate([inverse[0][-1:], inverse[0]]) if docs.num_rows else np.zeros(1, np.int32)
@@ -297,11 +347,12 @@ def lm_scores(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: s
     rows = docs.select(block.alias("block"), F.col(doc_id).alias("doc_id"),
                        F.col(text).alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("learn"))
+    book = docs.sparkSession.sparkContext.broadcast(code_book(docs, text))  # half a MB
     asked = rows.select("block", "text", "learn").mapInArrow(
-        _ask(order, shards, 2 * block_bytes), ASK)
+        _ask(order, shards, 2 * block_bytes, book), ASK)
     told = materialise(asked.groupBy("level", "shard").applyInArrow(_total, TOLD), "lm-counts")
     n = told.where("level = 1").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t"),
                                     F.coalesce(F.sum("n_types"), F.lit(0)).alias("v")).first()
     kind = dict(rows.dtypes)["doc_id"]
     return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
-        _score(order, n.t, n.v, mu), f"doc_id {kind}, learn boolean, {RESULT}")
+        _score(order, n.t, n.v, mu, book), f"doc_id {kind}, learn boolean, {RESULT}")

@@ -8,7 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyweave.llm.elias_fano import EliasFano, Quantised, Trie, mapped
-from keyweave.llm.trie_lm import lm_scores
+from keyweave.llm.trie_lm import (
+    _zeros,
+    encode,
+    lm_scores,
+    ngram_keys,
+    pack_keys,
+    unpack_keys,
+)
 from tests.llm.conftest import odd_rows, prose
 
 
@@ -109,3 +116,27 @@ def test_registered_query_uses_contexts_of_two_words(spark, documents):
     got = {r.doc_id: r.score for r in op10_trie_lm(spark, sf_dir).collect()}
     want = {r.doc_id: r.score for r in lm_scores(docs, crc_mod("doc_id", 7) != 2, order=3).collect()}
     assert got == pytest.approx(want)
+
+
+def test_codes_of_frequent_words_make_the_exchange_small():
+    texts = [prose(i, 4000) for i in range(10)]
+    h, _ = encode(texts)
+    book = np.unique(h)[::2]
+    for n, ((at, plain, none), (at2, key, short)) in enumerate(
+            zip(ngram_keys(h.copy(), 3), ngram_keys(h.copy(), 3, book), strict=True), 1):
+        assert (at == at2).all() and not none.any()
+        known = np.isin(h, book)
+        assert (short == (n > 1) & np.all([known[at - j] for j in range(n)], axis=0)).all()
+        # the same n-grams are one, coded or not
+        pairs = np.unique(np.column_stack([plain, key, short]), axis=0)
+        assert len(pairs) == len(np.unique(plain)) == len(np.unique(key[short])) + len(
+            np.unique(key[~short]))
+        for level, keys in ((n, np.unique(key[~short])), (-n, np.unique(key[short]))):
+            if len(keys):
+                zeros = _zeros(level)
+                width, raw = pack_keys(keys, zeros)
+                assert (unpack_keys(int(keys[0]), width, raw, zeros) == keys).all()
+    # a block's bigrams of words with codes: at most 3 bytes each, of hashes 7
+    *_, (_, key, short) = ngram_keys(h.copy(), 2, np.unique(h))
+    assert short.all()
+    assert pack_keys(np.unique(key), _zeros(-2))[0] <= 3
