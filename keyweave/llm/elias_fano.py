@@ -7,6 +7,8 @@ import tempfile
 import numpy as np
 
 ONE = np.uint64(1)
+#: Place of the n-th (from 0) set bit of each byte.
+NTH = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.uint8)
 
 
 def mapped(arrays: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -24,22 +26,10 @@ def mapped(arrays: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def _set_bits(n: int, at: np.ndarray) -> np.ndarray:
-    """Words of 64 bits with the given bits set (positions increase)."""
+    """Bytes with the given bits set (positions increase)."""
     bits = np.zeros((n // 64 + 1) * 64, np.uint8)
     bits[at] = 1
-    return np.packbits(bits, bitorder="little").view(np.uint64)
-
-
-def _nth_set(word: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Position of the n-th (from 0) set bit of each word."""
-    at = np.zeros(len(word), np.uint64)
-    n = n.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        ones = np.bitwise_count((word >> at) & np.uint64((1 << width) - 1)).astype(np.int64)
-        skip = n >= ones
-        n = np.where(skip, n - ones, n)
-        at = np.where(skip, at + np.uint64(width), at)
-    return at.astype(np.int64)
+    return np.packbits(bits, bitorder="little")
 
 
 class EliasFano:
@@ -68,7 +58,8 @@ class EliasFano:
         high = (values >> np.uint64(bits)).astype(np.int64)
         unary = _set_bits(n + (int(high[-1]) if n else 0) + 1, high + np.arange(n))
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(unary), dtype=np.int64)])[:-1]
-        return cls(n, bits, {"low": words, "unary": unary, "ones": ones.astype(np.int64)})
+        return cls(n, bits, {"low": words, "unary": unary,  # ones before each byte
+                             "ones": ones.astype(np.int32 if n < 2**31 else np.int64)})
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -83,28 +74,29 @@ class EliasFano:
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at the indices."""
         ones = self.parts["ones"]
-        word = np.searchsorted(ones, i, side="right") - 1
-        at = _nth_set(self.parts["unary"][word], i - ones[word])
-        high = (word * 64 + at - i).astype(np.uint64)
+        byte = np.searchsorted(ones, i.astype(ones.dtype), side="right") - 1
+        at = NTH[self.parts["unary"][byte], i - ones[byte]]
+        high = (byte * 8 + at - i).astype(np.uint64)
         return high << np.uint64(self.low_bits) | self._low(i)
 
-    def _below(self, high: np.ndarray) -> np.ndarray:
-        """How many values have a high part below ``high``."""
-        ones = self.parts["ones"]
-        zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
-        k = high.astype(np.int64) - 1  # the zero that ends the high part before
-        word = np.searchsorted(zeros, np.maximum(k, 0), side="right") - 1
-        at = _nth_set(~self.parts["unary"][word], np.maximum(k, 0) - zeros[word])
-        return np.where(k < 0, 0, np.minimum(word * 64 + at - k, self.n))
+    def _below(self, high: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+        """How many values have a high part below ``high``; ``zeros`` before each byte."""
+        k = high.astype(zeros.dtype) - 1  # the zero that ends the high part before
+        up = np.maximum(k, 0)
+        byte = np.searchsorted(zeros, up, side="right") - 1
+        at = NTH[~self.parts["unary"][byte], up - zeros[byte]]
+        return np.where(k < 0, 0, np.minimum(byte * 8 + at - k, self.n))
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Index of the first value >= x (n if there is none)."""
         x = x.astype(np.uint64)
         high = x >> np.uint64(self.low_bits)
-        last = (int(self.parts["ones"][-1] >= 0) and len(self.parts["unary"]) * 64 - self.n) - 1
+        last = (int(self.parts["ones"][-1] >= 0) and len(self.parts["unary"]) * 8 - self.n) - 1
         beyond = high >= np.uint64(max(last, 0))
         high = np.minimum(high, np.uint64(max(last - 1, 0)))
-        lo, hi = self._below(high), self._below(high + ONE)
+        ones = self.parts["ones"]
+        zeros = np.arange(len(ones), dtype=np.int64) * 8 - ones
+        lo, hi = self._below(high, zeros), self._below(high + ONE, zeros)
         low = x & np.uint64((1 << self.low_bits) - 1)
         while len(open_ := np.flatnonzero(lo < hi)):
             mid = (lo[open_] + hi[open_]) // 2
@@ -174,6 +166,21 @@ class Trie:
         ok = np.flatnonzero(context >= 0)
         if not words.n or not len(ok):
             return out
+        # children and base once for equal contexts side by side
+        own = context[ok]
+        new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        lo = pointers.access(own[new]).astype(np.int64)
+        hi = pointers.access(own[new] + 1).astype(np.int64)
+        base = np.where(lo > 0, words.access(np.maximum(lo - 1, 0)), np.uint64(0))
+        lo, hi, base = (np.repeat(v, np.diff(np.append(new, len(own)))) for v in (lo, hi, base))
+        some = lo < hi
+        ok, lo, hi, base = ok[some], lo[some], hi[some], base[some]
+        target = base + word[ok].astype(np.uint64) + ONE
+        at = words.successor(target)
+        found = (at >= lo) & (at < hi)
+        found[found] = words.access(at[found]) == target[found]
+        out[ok[found]] = at[found]
+        return out
         lo = pointers.access(context[ok]).astype(np.int64)
         hi = pointers.access(context[ok] + 1).astype(np.int64)
         ok, lo, hi = ok[lo < hi], lo[lo < hi], hi[lo < hi]

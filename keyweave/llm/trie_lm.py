@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyweave.llm.common import hash64, materialise, word_hashes
+from keyweave.llm.common import hash64, many_word_hashes, materialise
 from keyweave.llm.elias_fano import Trie
 
 #: Byte map: A-Z to a-z, ASCII white space to a space; all other bytes are of words.
@@ -52,12 +52,10 @@ def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
     Text i is h[starts[i]:starts[i + 1]] with the END before it at starts[i] - 1.
     """
-    parts, starts = [END], [1]
-    for t in texts:
-        h = word_hashes(t, TOKEN_BYTES)
-        parts += [h, END]
-        starts.append(starts[-1] + len(h) + 1)
-    return np.concatenate(parts), np.array(starts)
+    words, n = many_word_hashes(texts, TOKEN_BYTES)
+    h = np.repeat(END, 1 + len(words) + len(texts))
+    h[np.arange(1, 1 + len(words)) + np.repeat(np.arange(len(texts)), n)] = words
+    return h, np.concatenate([[1], 1 + np.cumsum(n + 1)])
 
 
 def code_book(texts: DataFrame, text: str) -> np.ndarray:
@@ -235,21 +233,29 @@ def build(x: np.ndarray, at: list[np.ndarray], inverse: list[np.ndarray],
     nodes.append(np.where(word_count[x] > 0, x, np.int32(-1)))
     context_count = word_count
     for n in range(2, len(at) + 1):
-        pos, c = at[n - 1], counts[n - 1][inverse[n - 1]]
-        seen = pos[c > 0]
-        context, word = nodes[-1][seen - 1], x[seen]
-        code = context.astype(np.int64) * len(word_count) + word
-        _, first, index = np.unique(code, return_index=True, return_inverse=True)
-        entry = seen[first]
+        pos, inv, c = at[n - 1], inverse[n - 1], counts[n - 1]
+        # a position of each distinct n-gram; those with a count, by context node and word
+        place = np.empty(len(c), pos.dtype)
+        place[inv] = pos
+        seen = np.flatnonzero(c > 0)
+        entry = place[seen]
+        code = nodes[-1][entry - 1].astype(np.int64) * len(word_count) + x[entry]
+        by_code = np.argsort(code)
+        seen, entry = seen[by_code], entry[by_code]
+        context, word = nodes[-1][entry - 1], x[entry]
         n_contexts = len(trie.prob[-1].codes)
-        own = c[c > 0][first]
+        own = c[seen]
         below = exact[entry]
-        over = context_count[context[first]]
+        over = context_count[context]
         prob = (own + mu * below) / (over + mu)
-        trie.add_level(context[first].astype(np.int64), word[first].astype(np.int64), n_contexts, np.log10(prob),
-                       np.log10(mu / (own + mu)))
+        trie.add_level(context.astype(np.int64), word.astype(np.int64), n_contexts,
+                       np.log10(prob), np.log10(mu / (own + mu)))
+        if n == len(at):
+            break  # no level asks for the nodes of the last one
+        rank = np.full(len(c), -1, np.int32)
+        rank[seen] = np.arange(len(seen))
         node = np.full(len(x), -1, np.int32)
-        node[seen] = index
+        node[pos] = rank[inv]
         # an unseen n-gram whose context is known has the backed-off probability
         inside = np.zeros(len(x), bool)
         inside[pos] = True
@@ -272,9 +278,15 @@ def trie_scores(trie: Trie, x: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
         child = np.full(len(x), -1, np.int32)
         ctx = np.full(len(x), -1, np.int32)
         ctx[pos] = node[pos - 1]
-        for lo in range(0, len(pos), 1 << 18):  # the search makes many arrays of this length
-            part = pos[lo:lo + (1 << 18)]
-            child[part] = trie.child(n, ctx[part], x[part])
+        # each context and word once and in order: the searches go on from place to place
+        own = pos[ctx[pos] >= 0]
+        n_words = len(trie.prob[0].codes)
+        code, inv = np.unique(ctx[own].astype(np.int64) * n_words + x[own], return_inverse=True)
+        found = np.empty(len(code), np.int32)
+        for lo in range(0, len(code), 1 << 18):  # the search makes many arrays of this length
+            part = code[lo:lo + (1 << 18)]
+            found[lo:lo + (1 << 18)] = trie.child(n, part // n_words, part % n_words)
+        child[own] = found[inv]
         known = child >= 0
         back = np.zeros(len(x))
         has = ctx >= 0

@@ -140,3 +140,26 @@ def test_codes_of_frequent_words_make_the_exchange_small():
     *_, (_, key, short) = ngram_keys(h.copy(), 2, np.unique(h))
     assert short.all()
     assert pack_keys(np.unique(key), _zeros(-2))[0] <= 3
+
+
+def test_trie_is_asked_for_each_context_and_word_once(monkeypatch):
+    from keyweave.llm.trie_lm import build, trie_scores
+
+    h, _ = encode([prose(i % 5, 200) for i in range(40)])
+    at, inverse, counts = [], [], []
+    for pos, key, _ in ngram_keys(h.copy(), 3):
+        _, inv, n = np.unique(key, return_inverse=True, return_counts=True)
+        at.append(pos)
+        inverse.append(inv.astype(np.int32))
+        counts.append(n)
+    x = np.concatenate([inverse[0][-1:], inverse[0]])
+    asked, child = [], Trie.child
+
+    def count(trie, level, context, word):
+        asked.append((level, len(word)))
+        return child(trie, level, context, word)
+
+    monkeypatch.setattr(Trie, "child", count)
+    trie_scores(build(x, at, inverse, counts, len(h), len(counts[0]), 64.0), x, at)
+    assert asked == [(n, len(counts[n - 1])) for n in (2, 3)]
+    assert len(counts[2]) < len(at[2]) / 4
