@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from keyweave.llm.common import table
+from keyweave.llm.common import CLEAN_SHUFFLES, materialise, table
 from tests.llm.conftest import prose
 from tools.check_oracle import digest
 
@@ -80,3 +80,16 @@ def test_run_on_an_empty_table(spark, documents):
     spark.createDataFrame([], "item_id long, text string").write.mode("overwrite").parquet(
         f"{sf_dir}/benchmark.parquet")
     assert corpus_pipeline.run(spark, sf_dir).count() == 0
+
+
+def test_no_shuffle_files_are_left_of_a_written_step(spark):
+    def shuffles():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        files = env.blockManager().diskBlockManager().getAllFiles().toList()
+        return {n for i in range(files.size())
+                if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    before, was = shuffles(), spark.conf.get(CLEAN_SHUFFLES, None)
+    out = materialise(spark.range(1001).selectExpr("id % 7 AS k").groupBy("k").count(), "few")
+    assert {tuple(r) for r in out.collect()} == {(k, 143) for k in range(7)}
+    assert shuffles() <= before and spark.conf.get(CLEAN_SHUFFLES, None) == was
