@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyweave.llm.common import with_columns, worker_object
+from keyweave.llm.common import with_columns, worker_free, worker_object
 
 UND = "und"
 RESULT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -152,6 +152,7 @@ def train(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str =
         F.col(doc_id).alias("id"), F.col(text).alias("t"), F.col(lang).cast("string").alias("y"))
 
     def frequencies(batches):
+        worker_free("ByteBPE")
         df, n = np.zeros(1 << bits, np.int64), 0
         for b in batches:
             for t in b.column(0).to_pylist():
@@ -262,6 +263,7 @@ def labelled(docs: DataFrame, model: Model, *, text: str = "text", lang: str = "
     at, own = docs.columns.index(text), docs.columns.index(lang)
 
     def label(batches):
+        worker_free("ByteBPE")
         m = shared.value
         for b in batches:
             texts, given = b.column(at).to_pylist(), b.column(own)

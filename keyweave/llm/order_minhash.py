@@ -37,7 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyweave.llm.common import hash64, materialise, shingle_hashes, word_hashes
+from keyweave.llm.common import (
+    hash64,
+    materialise,
+    shingle_hashes,
+    word_hashes,
+    worker_free,
+)
 
 
 def text_key(text: str = "text") -> Column:
@@ -69,7 +75,7 @@ def order_sketches(s: np.ndarray, n: int, size: int) -> np.ndarray:
     odd = rng.integers(0, 2**64, n, np.uint64)[:, None] | np.uint64(1)
     size = min(size, len(s))
     out = np.empty(n, np.uint64)
-    step = max(1, 2_000_000 // len(s))
+    step = max(1, (1 << 18) // len(s))  # 2 MB of hashes at once
     for lo in range(0, n, step):
         with np.errstate(over="ignore"):
             h = (s[None, :] ^ flip[lo:lo + step]) * odd[lo:lo + step]
@@ -125,6 +131,7 @@ def alignment_similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> floa
 def _sketch(texts: DataFrame, k: int, bands: int, rows: int, size: int) -> DataFrame:
     """(band key, text id) of every text that has words."""
     def run(batches):
+        worker_free("ByteBPE")
         for b in batches:
             ids, keys = [], []
             for t, own in zip(b.column(1).to_pylist(), b.column(0).to_pylist(), strict=True):

@@ -199,3 +199,17 @@ def test_clashing_column_names(spark):
     out = deduplicate(df)
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 3]
     assert near_duplicates(df).count() == 3
+
+
+def test_sketches_need_little_memory():
+    import tracemalloc
+
+    s = np.random.default_rng(1).integers(0, 2**64, 3000, np.uint64)
+    whole = order_sketches(s, 1280, 2)
+    tracemalloc.start()
+    try:
+        again = order_sketches(s, 1280, 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (again == whole).all() and peak < 12_000_000  # 3000 * 1280 hashes are 31 MB

@@ -6,7 +6,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from keyweave.llm.common import CLEAN_SHUFFLES, materialise, table
+from keyweave.llm.common import (
+    ARROW_BYTES,
+    BATCH_BYTES,
+    CLEAN_SHUFFLES,
+    materialise,
+    table,
+    worker_free,
+    worker_object,
+)
 from tests.llm.conftest import prose
 from tools.check_oracle import digest
 
@@ -93,3 +101,36 @@ def test_no_shuffle_files_are_left_of_a_written_step(spark):
     out = materialise(spark.range(1001).selectExpr("id % 7 AS k").groupBy("k").count(), "few")
     assert {tuple(r) for r in out.collect()} == {(k, 143) for k in range(7)}
     assert shuffles() <= before and spark.conf.get(CLEAN_SHUFFLES, None) == was
+
+
+def test_stages_bound_their_batches(spark, documents):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    was = spark.conf.get(ARROW_BYTES)
+    try:
+        spark.conf.unset(ARROW_BYTES)
+        corpus_pipeline.STAGES[0][1](spark, documents([(1, prose(1, 9), "en")]), "")
+        long = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("word "), 1000).alias("text"))
+        n = [r.n for r in long.mapInArrow(sizes, "n long").collect()]
+        assert sum(n) >= 30_000_000 and max(n) < 1.1 * BATCH_BYTES
+        spark.conf.set(ARROW_BYTES, "1000000")  # a lower bound stays
+        corpus_pipeline.STAGES[0][1](spark, documents([(1, prose(1, 9), "en")]), "")
+        assert spark.conf.get(ARROW_BYTES).rstrip("b") == "1000000"
+    finally:
+        spark.conf.set(ARROW_BYTES, was)
+
+
+def test_worker_gives_back_what_it_kept():
+    worker_object(("test-kept", 1), list).append(1)
+    worker_object(("test-other",), list).append(2)
+    worker_free("test-kept")
+    assert worker_object(("test-kept", 1), list) == []
+    assert worker_object(("test-other",), list) == [2]
+    worker_free("test-none")
