@@ -146,7 +146,7 @@ class Trie:
         last = np.append(new[1:], n) - 1 if n else new
         bases = np.concatenate([[0], np.cumsum(word[last] + 1)])[:-1]
         values = np.repeat(bases, last - new + 1) + word + 1
-        starts = np.searchsorted(context, np.arange(n_contexts + 1))
+        starts = np.concatenate([[0], np.cumsum(np.bincount(context, minlength=n_contexts))])
         words, pointers = EliasFano.of(values), EliasFano.of(starts)
         for ef in (words, pointers):
             ef.parts = mapped(ef.parts)

@@ -4,13 +4,19 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from keyweave.llm.elias_fano import EliasFano, Quantised, Trie, mapped
 from keyweave.llm.trie_lm import (
+    _narrow,
+    _total,
     _zeros,
+    book_places,
+    distinct,
     encode,
+    in_order,
     lm_scores,
     ngram_keys,
     pack_keys,
@@ -53,6 +59,50 @@ def test_quantised_steps():
     assert Quantised(np.full(3, -2.5)).at(np.array([0, 2])).tolist() == [-2.5, -2.5]
 
 
+@pytest.mark.parametrize("spread", [2**64 - 1, 2**40, 50, 1])
+def test_order_and_distinct_keys(spread):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000, 5000):
+        keys = rng.integers(0, spread, n, np.uint64)
+        # keys that differ in their last bits only, where the places go
+        for many in (40, n):
+            keys = np.concatenate([keys, keys[:many] ^ np.uint64(1), keys[:many] ^ np.uint64(2)])
+        order, got = in_order(keys)
+        assert order.tolist() == np.argsort(keys, kind="stable").tolist()
+        assert (got == np.sort(keys)).all()
+        want, inverse = np.unique(keys, return_inverse=True)
+        at, numbers = distinct(keys)
+        assert (keys[at] == want).all() and (numbers == inverse).all()
+
+
+def test_places_in_the_book():
+    rng = np.random.default_rng(4)
+    book = np.unique(np.concatenate([rng.integers(0, 2**64 - 1, 3000, np.uint64),
+                                     np.arange(7, 60, dtype=np.uint64),  # one crowded slot
+                                     np.array([0, 2**64 - 1], np.uint64)]))
+    h = np.concatenate([book, rng.integers(0, 2**64 - 1, 3000, np.uint64),
+                        np.arange(100, dtype=np.uint64)])
+    where = {int(v): i for i, v in enumerate(book)}
+    assert book_places(book, h).tolist() == [where.get(int(v), -1) for v in h]
+
+
+def test_totals_of_a_block_in_pieces(monkeypatch):
+    # pieces of one block meet by sorted places, never by a hash table of all their keys
+    def hashed(*_, **__):
+        raise AssertionError("np.unique")
+
+    monkeypatch.setattr(np, "unique", hashed)
+    pieces = [(5, [3, 9, 2**63], [1, 0, 300]), (6, [9], [2]), (5, [3, 10], [4, 0])]
+    rows = [(1, 0, b, k[0], *pack_keys(np.array(k, np.uint64)), _narrow(np.array(c)).tobytes())
+            for b, k, c in pieces]
+    names = ["level", "shard", "block", "low", "key_width", "keys", "counts"]
+    out = _total((pa.scalar(1), pa.scalar(0)),
+                 pa.table([list(c) for c in zip(*rows, strict=True)], names=names)).to_pylist()
+    told = {r["block"]: np.frombuffer(r["counts"], f"<u{r['width']}").tolist() for r in out}
+    assert told == {5: [5, 2, 0, 300], 6: [2]}
+    assert sum(r["n_tokens"] for r in out) == 307 and sum(r["n_types"] for r in out) == 3
+
+
 def brute(rows, learn, order, mu):
     texts = [(t or "").encode().lower().split() + [b" "] for _, t, *_ in rows]
     c = [Counter() for _ in range(order + 1)]
