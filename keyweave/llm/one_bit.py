@@ -11,8 +11,9 @@ with an error of about |q| * n * sqrt(1 - a**2) / (a * sqrt(bits - 1)) (one stan
 for a random rotation). Only candidates whose estimate plus ``errors`` such deviations reaches the
 k-th best exact score known so far are scored on the original vectors.
 
-Every row is coded, in blocks of packed bits, scalars and vectors; a tile of a query block and a
-code block returns at most k rows for a query. Nothing is fitted on a sample. The rotation is
+Every row is coded, in blocks of packed bits, scalars and vectors, each a few rows of bounded size;
+a tile of a query block and a code block takes them one by one and its queries in slices, so what
+it holds beside its input does not grow with either, and returns at most k rows for a query. Nothing is fitted on a sample. The rotation is
 random (``seed``), so a neighbour is missed with the small chance that an error exceeds its
 bound; scores are exact: products added in double precision in the order of the components.
 
@@ -35,6 +36,9 @@ from keyweave.llm.blocks import blocks_of, deal, every, matrix, numbered, tiles
 CODES = "cb int, rids binary, ids binary, signs binary, norms binary, cosines binary, vectors binary"
 FOUND = "rid long, vec_id long, score double"
 CHUNK = 4096  # codes unpacked at a time
+QUERIES = 128  # queries estimated at a time
+CODES_A_ROW = 8192  # at most
+TILES = 64  # query blocks grow up to 8 times while there are more
 
 
 def rotation(dims: int, bits: int, seed: int) -> np.ndarray:
@@ -85,47 +89,68 @@ class Best:
 
 
 def scan(q: np.ndarray, q_rids: np.ndarray, block: dict, centre: np.ndarray, rotate: np.ndarray,
-         k: int, errors: float) -> tuple[Best, int]:
-    """Best neighbours of the queries in one code block; how many were scored exactly."""
+         k: int, errors: float, so_far: list[Best] | None = None) -> tuple[Best, int]:
+    """Best neighbours of the queries in one code block; how many were scored exactly. ``so_far``
+    keeps the best of each ``QUERIES`` queries from block to block."""
     bits = rotate.shape[0]
-    found, scored = Best(len(q), k), 0
+    slices = [slice(lo, lo + QUERIES) for lo in range(0, len(q), QUERIES)]
+    best, scored = [] if so_far is None else so_far, 0
+    if not best:
+        best += [Best(len(q[s]), k) for s in slices]
     turned = (q @ rotate.T / np.sqrt(bits)).astype(np.float32)
     base, length = q @ centre, np.sqrt((q * q).sum(axis=1))
-    qt = np.ascontiguousarray(q.T)
+    far = np.sqrt((centre * centre).sum())
     for lo in range(0, len(block["rids"]), CHUNK):
         rids, ids, packed, norms, cosines, x = (
             block[c][lo:lo + CHUNK] for c in ("rids", "ids", "signs", "norms", "cosines", "vectors"))
         signs = np.unpackbits(packed, axis=1, count=bits).astype(np.float32) * 2 - 1
-        estimate = base[:, None] + turned @ signs.T * (norms / cosines)
         spread = norms * np.sqrt(np.maximum(0, 1 - cosines**2)) / cosines / np.sqrt(max(1, bits - 1))
-        own = q_rids[:, None] == rids
-        estimate[own] = -np.inf
         xt = np.ascontiguousarray(x.T)
-        # the k best estimates give a first threshold (or a better one)
-        if len(rids) > k:
-            j = np.argpartition(-estimate, k - 1, axis=1)[:, :k]
-            i = np.repeat(np.arange(len(q)), k)
-            first = np.where(own[i, j.ravel()], -np.inf, dots(qt, xt, i, j.ravel()))
-            least = np.maximum(found.least(), first.reshape(-1, k).min(axis=1))
-        else:
-            least = found.least()
-        slack = 1e-5 * (length[:, None] * (norms + np.sqrt((centre * centre).sum())))
-        bound = estimate + errors * length[:, None] * spread + slack
-        i, j = np.nonzero((bound >= least[:, None]) & ~own)
-        scored += len(i)
-        found.add(i, ids[j], dots(qt, xt, i, j))
-    return found, scored
+        for s, found in zip(slices, best, strict=True):
+            qt = np.ascontiguousarray(q[s].T)
+            estimate = base[s, None] + turned[s] @ signs.T * (norms / cosines)
+            own = q_rids[s, None] == rids
+            estimate[own] = -np.inf
+            # the k best estimates give a first threshold (or a better one)
+            if len(rids) > k:
+                j = np.argpartition(-estimate, k - 1, axis=1)[:, :k]
+                i = np.repeat(np.arange(found.m), k)
+                first = np.where(own[i, j.ravel()], -np.inf, dots(qt, xt, i, j.ravel()))
+                least = np.maximum(found.least(), first.reshape(-1, k).min(axis=1))
+            else:
+                least = found.least()
+            slack = 1e-5 * (length[s, None] * (norms + far))
+            bound = estimate + errors * length[s, None] * spread + slack
+            i, j = np.nonzero((bound >= least[:, None]) & ~own)
+            scored += len(i)
+            found.add(i, ids[j], dots(qt, xt, i, j))
+    return joined(best, k), scored
+
+
+def joined(best: list[Best], k: int) -> Best:
+    """The best of all queries from those of their slices."""
+    out = Best(sum(b.m for b in best), k)
+    if best:
+        out.query = np.concatenate([b.query + QUERIES * n for n, b in enumerate(best)])
+        out.id, out.score = (np.concatenate([getattr(b, c) for b in best]) for c in ("id", "score"))
+    return out
 
 
 def _encode(dims: int, centre: np.ndarray, rotate: np.ndarray):
     def rows(t: pa.Table) -> pa.Table:
-        x = matrix(t.column("v"), dims)
-        signs, norms, cosines = encode(x, centre, rotate)
-        raw = {"rids": t.column("rid").to_numpy().astype("<i8"),
-               "ids": t.column("vec_id").to_numpy().astype("<i8"), "signs": signs,
-               "norms": norms, "cosines": cosines, "vectors": x}
-        return pa.table({"cb": pa.array([t.column("cb")[0].as_py()], pa.int32()),
-                         **{n: pa.array([a.tobytes()], pa.binary()) for n, a in raw.items()}})
+        out: dict[str, list] = {n: [] for n in ("rids", "ids", "signs", "norms", "cosines", "vectors")}
+        for lo in range(0, len(t), CODES_A_ROW):
+            part = t.slice(lo, CODES_A_ROW)
+            x = matrix(part.column("v"), dims)
+            codes = [encode(x[i:i + 1024], centre, rotate) for i in range(0, len(x), 1024)]
+            signs, norms, cosines = (np.concatenate(c) for c in zip(*codes, strict=True))
+            raw = {"rids": part.column("rid").to_numpy().astype("<i8"),
+                   "ids": part.column("vec_id").to_numpy().astype("<i8"), "signs": signs,
+                   "norms": norms, "cosines": cosines, "vectors": x}
+            for n, a in raw.items():
+                out[n].append(a.tobytes())
+        return pa.table({"cb": t.column("cb")[:len(out["rids"])],
+                         **{n: pa.array(a, pa.binary()) for n, a in out.items()}})
     return rows
 
 
@@ -141,17 +166,25 @@ def opened(row: dict, dims: int) -> dict:
 
 def _search(dims: int, centre: np.ndarray, rotate: np.ndarray, k: int, errors: float):
     def search(queries: pa.Table, codes: pa.Table) -> pa.Table:
-        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         q = matrix(queries.column("v"), dims)
         q_rids = queries.column("rid").to_numpy()
-        for row in codes.to_pylist():
-            found, _ = scan(q, q_rids, opened(row, dims), centre, rotate, k, errors)
-            out.append((q_rids[found.query], found.id, found.score))
-        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
+        best: list[Best] = []
+        for i in range(len(codes)):
+            row = {n: codes.column(n)[i].as_py() for n in codes.column_names}
+            scan(q, q_rids, opened(row, dims), centre, rotate, k, errors, best)
+        found = joined(best, k)
+        return pa.table([pa.array(q_rids[found.query]), pa.array(found.id), pa.array(found.score)],
                         names=["rid", "vec_id", "score"])
     return search
 
 
+def query_blocks(queries: int, size: int, code_blocks: int) -> int:
+    """How many blocks of the queries: every code block is copied to each of them, so where there
+    are many tiles they are up to 8 times as large."""
+    return min(blocks_of(queries, size), max(blocks_of(queries, 8 * size),
+                                             blocks_of(TILES, code_blocks)))
+
+
 def _sums(dims: int):
     """Partial sums of the components, one row a task."""
     def sums(batches):
@@ -181,7 +214,7 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 20, vec_id: str =
     centre = np.sum([r.total for r in parts] or [np.zeros(n.dims)], axis=0) / max(1, n.n)
     rotate = rotation(n.dims, bits, seed)
     cbs = blocks_of(n.n, max(256, block_bytes // (8 * n.dims)))
-    qbs = blocks_of(n.q, query_block)
+    qbs = query_blocks(n.q, query_block, cbs)
     codes = v.withColumn("cb", deal(cbs, 1)).groupBy("cb").applyInArrow(
         _encode(n.dims, centre, rotate), CODES)
     queries = v.where("is_query").select("rid", "vec_id", "v")

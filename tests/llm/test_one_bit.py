@@ -1,10 +1,20 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from keyweave.llm.one_bit import _encode, encode, nearest, opened, rotation, scan
+from keyweave.llm.one_bit import (
+    _encode,
+    encode,
+    nearest,
+    opened,
+    query_blocks,
+    rotation,
+    scan,
+)
 
 SCHEMA = "vec_id long, embedding array<double>"
 
@@ -91,3 +101,32 @@ def test_few_rows_empty_table_one_vector_and_clashing_columns(spark):
     df = spark.createDataFrame([(0, [1.0], 3, 4, 5), (1, [2.0], 3, 4, 5)],
                                SCHEMA + ", rid int, is_query int, `a.b` int")
     assert [tuple(r) for r in nearest(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 2.0)]
+
+
+def test_what_a_tile_holds_does_not_grow_with_it():
+    x = unit(20000, 64, 9)
+    centre, rotate = x.mean(axis=0), rotation(64, 256, 7)
+    t = pa.table({"cb": pa.array([0] * len(x), pa.int32()), "rid": pa.array(range(len(x))),
+                  "vec_id": pa.array(range(len(x))), "v": pa.array(x.tolist())})
+    tracemalloc.start()
+    rows = _encode(64, centre, rotate)(t).to_pylist()
+    coded = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    best = []
+    for r in rows:
+        scan(x[:1500], np.arange(1500), opened(r, 64), centre, rotate, 20, 3.0, best)
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert coded < 60e6 and peak < 60e6
+    assert len(rows) == 3 and max(len(r["vectors"]) for r in rows) < 5e6
+    # slices and rows change nothing: the best of each query are those of a scan of its own
+    found = [sorted(zip(b.query.tolist(), b.id.tolist(), b.score.tolist())) for b in best]
+    top = np.argsort(-(x[:128] @ x.T), axis=1)[:, 1:21]
+    hit = [len({i for p, i, _ in found[0] if p == n} & set(top[n])) for n in range(128)]
+    assert sum(hit) >= 0.99 * 128 * 20 and len(found) == 12
+
+
+def test_query_blocks_grow_where_tiles_are_many():
+    assert query_blocks(2565, 512, 2) == 6 and query_blocks(100, 512, 1) == 1
+    assert query_blocks(30000, 512, 20) == 8 and query_blocks(0, 512, 1) == 1
